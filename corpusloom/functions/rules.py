@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom import values as V
-from corpusloom.functions.text import trim_spaces
+from corpusloom.functions.text import trim_spaces, upper
 
 
 def _c(col) -> Column:
@@ -107,7 +107,7 @@ def simple_anomaly(length, ratio) -> Column:
 
 
 def is_nav_word(text) -> Column:
-    return F.upper(trim_spaces(_c(text))).isin(*V.NAV_WORDS)
+    return upper(trim_spaces(_c(text))).isin(*V.NAV_WORDS)
 
 
 def full_content_type(text, length, ratio) -> Column:

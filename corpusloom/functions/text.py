@@ -49,6 +49,11 @@ def url_domain(col) -> Column:
     return F.when(url.like("http%"), F.regexp_extract(url, r"https?://([^/]+)", 1))
 
 
+def upper(col) -> Column:
+    """Upper case, character by character: a sharp s stays one letter."""
+    return F.upper(F.translate(col, "ß", "ẞ"))
+
+
 def first_paragraph(col, separator: str = "\n\n") -> Column:
     return F.split_part(col, F.lit(separator), F.lit(1))
 

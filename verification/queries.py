@@ -348,7 +348,7 @@ def text_functions(spark, folder):
         X.first_paragraph("text", "\n").alias("first_line"),
         X.section_count("text", "##").alias("hash_marks"),
         F.left(text, F.lit(50)).alias("start_50"),
-        F.upper(F.left(X.trim_spaces("text"), F.lit(20))).alias("upper_start"),
+        X.upper(F.left(X.trim_spaces("text"), F.lit(20))).alias("upper_start"),
         X.preview("text").alias("preview"),
         X.last_segment("_meta_dataset_name").alias("dataset_short"),
         X.chunk_path(
