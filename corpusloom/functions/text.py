@@ -32,10 +32,8 @@ def script_class(script: str) -> str:
 
 
 def has_script(col, script: str = "narrow") -> Column:
-    """True when the text holds a character of the script, false when not."""
-    return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).rlike(
-        f"[{script_class(script)}]"
-    )
+    """Whether the text holds a character of the script; NULL for a NULL text."""
+    return (F.col(col) if isinstance(col, str) else col).rlike(f"[{script_class(script)}]")
 
 
 def count_class(col, char_class: str) -> Column:

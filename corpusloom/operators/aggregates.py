@@ -13,42 +13,57 @@ def histogram(df: DataFrame, *columns) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(FREQ))
 
 
-def exact_median(hist: DataFrame, keys, value: str, cell, name: str) -> DataFrame:
-    """Exact median per key from a histogram, with linear interpolation.
+def exact_medians(hist: DataFrame, keys, measures: dict) -> DataFrame:
+    """Exact medians per key from a histogram, with linear interpolation.
 
-    `cell` is a coarse, order-preserving integer of the value with a bounded
-    number of steps. Cell totals show which cells hold the two middle ranks;
-    only the values in those cells are ranked. So no task sees all the
-    distinct values of a group.
+    `measures` maps a result name to (column, cell), where the cell is a coarse,
+    order-preserving integer of the value with a bounded number of steps. Cell
+    totals show which cells hold the two middle ranks; only the values in those
+    cells are ranked. So no task sees all the distinct values of a group.
+
+    The histogram is read twice and should be a written table.
     """
     keys = list(keys)
+    entries = [
+        F.struct(
+            F.lit(name).alias("_measure"),
+            cell.cast("long").alias("_cell"),
+            F.col(column).cast("double").alias("_value"),
+            F.col(FREQ).alias(FREQ),
+        )
+        for name, (column, cell) in measures.items()
+    ]
+    group = [*keys, "_measure"]
     counted = (
-        hist.filter(F.col(value).isNotNull())
-        .withColumn("_cell", cell)
-        .groupBy(*keys, "_cell", F.col(value).alias("_value"))
+        hist.select(*keys, F.inline(F.array(*entries)))
+        .filter("_value IS NOT NULL")
+        .groupBy(*group, "_cell", "_value")
         .agg(F.sum(FREQ).alias(FREQ))
     )
-    cells = counted.groupBy(*keys, "_cell").agg(F.sum(FREQ).alias("_in"))
-    up_to = W.partitionBy(*keys).orderBy("_cell")
-    whole = W.partitionBy(*keys)
+    cells = counted.groupBy(*group, "_cell").agg(F.sum(FREQ).alias("_in"))
+    up_to = W.partitionBy(*group).orderBy("_cell")
+    whole = W.partitionBy(*group)
     middle = (
         cells.withColumn("_total", F.sum("_in").over(whole))
         .withColumn("_before", F.sum("_in").over(up_to) - F.col("_in"))
         .withColumn("_low", F.floor((F.col("_total") - 1) / 2))
         .withColumn("_high", F.ceil((F.col("_total") - 1) / 2))
         .filter("_before <= _high AND _before + _in > _low")
-        .select(*keys, "_cell", "_before", "_low", "_high")
+        .select(*group, "_cell", "_before", "_low", "_high")
     )
-    inside = W.partitionBy(*keys, "_cell").orderBy("_value")
-    ranked = counted.join(middle, [*keys, "_cell"]).withColumn(
+    inside = W.partitionBy(*group, "_cell").orderBy("_value")
+    ranked = counted.join(middle, [*group, "_cell"]).withColumn(
         "_to", F.col("_before") + F.sum(FREQ).over(inside)
     )
     since = F.col("_to") - F.col(FREQ)
-    at = lambda rank: F.max(
-        F.when((since <= F.col(rank)) & (F.col("_to") > F.col(rank)), F.col("_value"))
+    at = lambda rank: F.when(
+        (since <= F.col(rank)) & (F.col("_to") > F.col(rank)), F.col("_value")
+    )
+    here = lambda name, rank: F.max(
+        F.when(F.col("_measure") == name, at(rank))
     )
     return ranked.groupBy(*keys).agg(
-        ((at("_low").cast("double") + at("_high").cast("double")) / 2).alias(name)
+        *[((here(m, "_low") + here(m, "_high")) / 2).alias(m) for m in measures]
     )
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from corpusloom import values as V
 from corpusloom.functions import rules as R
 from corpusloom.functions.numeric import percent, ratio, round_to
-from corpusloom.operators.aggregates import FREQ, exact_median
+from corpusloom.operators.aggregates import FREQ, exact_medians
+from corpusloom.sources.workdir import materialize
 
 TOTAL = "TOTAL"
 
@@ -36,8 +37,8 @@ LENGTH_CELL, RATIO_CELLS = 1024, 65_536
 def _compact(quality: DataFrame) -> DataFrame:
     """Rows per distinct combination of everything the summary looks at.
 
-    The only shuffle over all records. It carries no text, and every later
-    step starts from its result.
+    The only shuffle over all records. It carries no text, is written once, and
+    every later step starts from it.
     """
     flags = [c for c in FLAG_COUNTS.values() if c in quality.columns]
     chunk = [c for c in ("_meta_chunk_index",) if c in quality.columns]
@@ -107,26 +108,33 @@ def with_total(level: DataFrame, name: str, sums=(), lows=(), highs=(), only_gro
     )
 
 
-MEDIANS = {
-    "median_text_length": ("text_length", lambda c: F.floor(F.col(c) / LENGTH_CELL)),
-    "median_japanese_ratio": ("japanese_ratio", lambda c: F.floor(F.col(c) * RATIO_CELLS)),
-    "median_quality_score": ("quality_score", lambda c: F.col(c).cast("long")),
+MEDIAN_COLUMNS = {
+    "median_text_length": "text_length",
+    "median_japanese_ratio": "japanese_ratio",
+    "median_quality_score": "quality_score",
 }
 
 
+def median_measures(*names) -> dict:
+    """Result name -> (column, cell) for the median search."""
+    cells = {
+        "text_length": F.floor(F.col("text_length") / LENGTH_CELL),
+        "japanese_ratio": F.floor(F.col("japanese_ratio") * RATIO_CELLS),
+        "quality_score": F.col("quality_score"),
+    }
+    return {n: (MEDIAN_COLUMNS[n], cells[MEDIAN_COLUMNS[n]]) for n in names or MEDIAN_COLUMNS}
+
+
 def dataset_quality_summary(quality: DataFrame, run_ts: str) -> DataFrame:
     """Quality per dataset and in total, from either quality model.
 
     With the full model the encoding, repetition, date and punctuation counts
     are real; with the simple one they are zero.
     """
-    compact = _compact(quality)
-    level = _dataset_level(compact)
-    for name, (column, cell) in MEDIANS.items():
-        medians = exact_median(
-            compact.select("dataset_name", column, FREQ), ["dataset_name"], column, cell(column), name
-        )
-        level = level.join(medians, "dataset_name", "left")
+    compact = materialize(_compact(quality), "compact")
+    level = _dataset_level(compact).join(
+        exact_medians(compact, ["dataset_name"], median_measures()), "dataset_name", "left"
+    )
     counts = [c for c in level.columns if c.endswith("_count")]
     table = with_total(
         level,
@@ -134,7 +142,7 @@ def dataset_quality_summary(quality: DataFrame, run_ts: str) -> DataFrame:
         sums=["total_records", *counts, "length_sum", "ratio_sum", "score_sum", "unique_chunks"],
         lows=["min_text_length", "min_japanese_ratio", "min_quality_score"],
         highs=["max_text_length", "max_japanese_ratio", "max_quality_score"],
-        only_groups=list(MEDIANS),
+        only_groups=list(MEDIAN_COLUMNS),
     )
     mean = lambda c: ratio(c, "total_records")
     run = F.lit(run_ts).cast("timestamp_ntz")

@@ -47,12 +47,10 @@ def web_rows(raw: DataFrame, script: str = "narrow") -> DataFrame:
 
     Both rules depend on the text alone, which is part of the dedup key, so
     applying them first drops whole groups and never changes a winner. It
-    keeps rejected texts out of the shuffle.
+    keeps rejected texts out of the shuffle. NULL texts fail the first rule.
     """
     return raw.filter(
-        F.col("text").isNotNull()
-        & X.has_script("text", script)
-        & R.valid_content(X.trim_spaces("text"))
+        X.has_script("text", script) & R.valid_content(X.trim_spaces("text"))
     )
 
 

@@ -29,18 +29,26 @@ def _seconds(key: str, hours: int = 0):
     return base + F.make_dt_interval(hours=F.lit(hours), secs=F.col(key).cast("decimal(18,6)"))
 
 
+def _by(column, cases: dict, default):
+    """A literal per value of a column."""
+    case = None
+    for value, result in cases.items():
+        case = (F if case is None else case).when(column == value, F.lit(result))
+    return case.otherwise(F.lit(default))
+
+
 def _script_text(text, lang, source):
-    marked = F.when(
-        source == "src5", F.replace(text, F.lit("|"), F.lit(REPLACEMENT_CHAR))
-    ).otherwise(text)
-    return (
-        F.when(lang == "es", marked)
-        .when(lang == "fr", F.translate(marked, LETTERS, SCRIPT_LETTERS))
-        .when(
-            lang == "de",
-            F.concat(F.lit("　"), F.translate(marked, VOWELS, SCRIPT_VOWELS), F.lit(" ")),
-        )
-        .otherwise(F.concat(F.lit(PREFIX), marked))
+    """The text in a Japanese guise. The text itself appears once in the
+    expression, so filters on the result stay cheap."""
+    marked = F.replace(text, _by(source, {"src5": "|"}, ""), F.lit(REPLACEMENT_CHAR))
+    swapped = F.call_function(
+        "translate",
+        marked,
+        _by(lang, {"fr": LETTERS, "de": VOWELS}, ""),
+        _by(lang, {"fr": SCRIPT_LETTERS, "de": SCRIPT_VOWELS}, ""),
+    )
+    return F.concat(
+        _by(lang, {"es": "", "fr": "", "de": "　"}, PREFIX), swapped, _by(lang, {"de": " "}, "")
     )
 
 
@@ -59,9 +67,8 @@ def _web_columns(text, url, stamp, key):
 
 def web_from_documents(documents: DataFrame) -> DataFrame:
     """Documents as web texts without an address."""
-    body = F.when(
-        F.col("n_chars") >= LONG_FROM, F.repeat(F.col("text"), F.lit(LONG_TIMES))
-    ).otherwise(F.col("text"))
+    times = F.when(F.col("n_chars") >= LONG_FROM, LONG_TIMES).otherwise(1)
+    body = F.repeat(F.col("text"), times)
     text = _script_text(body, F.col("lang"), F.col("source"))
     return documents.select(
         *_web_columns(text, F.lit(None).cast("string"), _seconds("doc_id"), "doc_id")
@@ -94,12 +101,12 @@ def raw_articles(documents: DataFrame) -> DataFrame:
         .when(source == "src3", F.lit(None).cast("string"))
         .otherwise(F.concat(source, F.lit("-"), key.cast("string"), F.lit("　")))
     )
-    body = _script_text(F.col("text"), lang, source)
-    text = (
-        F.when(source == "src4", F.concat(F.lit("日本の redirect "), body))
-        .when(source == "src6", F.concat(F.lit("リダイレクト "), body))
-        .when(lang == "fr", F.concat(F.lit("概要\n\n== 一 ==\n"), body, F.lit("\n== 二 ==")))
-        .otherwise(body)
+    marks = {"src4": "日本の redirect ", "src6": "リダイレクト "}
+    sections = (lang == "fr") & ~source.isin(*marks)
+    text = F.concat(
+        F.when(sections, "概要\n\n== 一 ==\n").otherwise(_by(source, marks, "")),
+        _script_text(F.col("text"), lang, source),
+        F.when(sections, "\n== 二 ==").otherwise(""),
     )
     stamp = _seconds("doc_id")
     return documents.select(

@@ -436,18 +436,13 @@ def exact_median(spark, folder):
     rows = quality.measured_rows(*unfiltered(spark, folder)).select(
         F.col("_meta_dataset_name").alias("dataset_name"), "text_length", "japanese_ratio"
     )
-    hist = A.histogram(rows, "dataset_name", "text_length", "japanese_ratio")
-    medians = [
-        A.exact_median(hist, ["dataset_name"], column, marts.MEDIANS[name][1](column), name)
-        for name, column in (
-            ("median_text_length", "text_length"),
-            ("median_japanese_ratio", "japanese_ratio"),
-        )
-    ]
-    return (
-        medians[0]
-        .join(medians[1], "dataset_name")
-        .withColumn("median_japanese_ratio", N.round_to("median_japanese_ratio", 6))
+    hist = materialize(
+        A.histogram(rows, "dataset_name", "text_length", "japanese_ratio"), "histogram"
+    )
+    names = ("median_text_length", "median_japanese_ratio")
+    medians = A.exact_medians(hist, ["dataset_name"], marts.median_measures(*names))
+    return medians.withColumn(
+        "median_japanese_ratio", N.round_to("median_japanese_ratio", 6)
     )
 
 
