@@ -107,7 +107,11 @@ def simple_anomaly(length, ratio) -> Column:
 
 
 def is_nav_word(text) -> Column:
-    return upper(trim_spaces(_c(text))).isin(*V.NAV_WORDS)
+    """Whether a text is nothing but a navigation word. Longer texts are not
+    even upper-cased."""
+    word = trim_spaces(_c(text))
+    short = F.length(word) <= max(len(w) for w in V.NAV_WORDS)
+    return F.when(short, upper(word).isin(*V.NAV_WORDS)).otherwise(F.lit(False))
 
 
 def full_content_type(text, length, ratio) -> Column:

@@ -26,9 +26,16 @@ def length_of(col) -> Column:
     return F.length(col).cast("long")
 
 
+# No preset script has a character below this one. Testing one range first
+# lets Latin text pass without walking the whole class.
+SCRIPT_FLOOR = "\u2e80"
+
+
 def script_class(script: str) -> str:
     """Body of a regex character class for a preset name, or the given class."""
-    return SCRIPTS.get(script, script)
+    if script not in SCRIPTS:
+        return script
+    return rf"{SCRIPT_FLOOR}-\x{{10FFFF}}&&[{SCRIPTS[script]}]"
 
 
 def has_script(col, script: str = "narrow") -> Column:

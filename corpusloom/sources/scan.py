@@ -13,6 +13,9 @@ FILE, ROW, ORDINAL = "_file", "_row", "_ordinal"
 # (about 200 bytes a row, so at most 20 MB); beyond, the join shuffles on file.
 MAX_BROADCAST_FILES = 100_000
 
+# Part file names carry five digits, so their name order is their number order.
+MAX_PART_FILES = 99_999
+
 # A slice that spans more files than this is cut from the full numbering.
 MAX_LITERAL_FILES = 500
 
@@ -86,6 +89,8 @@ def order_by_key(df: DataFrame, *keys, partitions: int | None = None) -> DataFra
     numbering to be repeatable.
     """
     spark = df.sparkSession
+    if (partitions or 0) > MAX_PART_FILES:
+        raise ValueError(f"part files sort by name only up to {MAX_PART_FILES}")
     columns = [F.col(k) if isinstance(k, str) else k for k in keys]
     ranged = (
         df.repartitionByRange(partitions, *columns)

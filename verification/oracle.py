@@ -7,13 +7,10 @@ the ones it reads.
 from corpusloom import values as V
 from corpusloom.sources.raw_views import (
     CHUNK_ROWS,
-    LETTERS,
+    FILL_EVERY,
     LONG_FROM,
     LONG_TIMES,
     PREFIX,
-    SCRIPT_LETTERS,
-    SCRIPT_VOWELS,
-    VOWELS,
 )
 from verification.queries import BATCH, CAP, MAX_CHUNKS, RUN_TS, SIZE
 
@@ -38,9 +35,9 @@ def marked(text):
 def script_text(text):
     m = marked(text)
     return f"""CASE lang WHEN 'es' THEN {m}
-      WHEN 'fr' THEN translate({m}, '{LETTERS}', '{SCRIPT_LETTERS}')
-      WHEN 'de' THEN chr(12288) || translate({m}, '{VOWELS}', '{SCRIPT_VOWELS}') || ' '
-      ELSE '{PREFIX}' || {m} END"""
+      WHEN 'fr' THEN ({m}) || repeat('{PREFIX}', n_chars // {FILL_EVERY['fr']})
+      WHEN 'de' THEN chr(12288) || ({m}) || repeat('{PREFIX}', n_chars // {FILL_EVERY['de']}) || ' '
+      ELSE '{PREFIX}' || ({m}) END"""
 
 
 def stamp(key, hours=0):

@@ -697,7 +697,7 @@ def check_type_consistency(spark, folder):
 
 @query
 def check_total_consistency(spark, folder):
-    rows = measured(spark, folder)
+    rows = materialize(measured(spark, folder), "measures")
     return K.total_consistency(rows, marts.dataset_quality_summary(rows, RUN_TS))
 
 
