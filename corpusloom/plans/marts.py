@@ -95,10 +95,13 @@ def _dataset_level(compact: DataFrame) -> DataFrame:
 def with_total(level: DataFrame, name: str, sums=(), lows=(), highs=(), only_groups=()) -> DataFrame:
     """Add a TOTAL row to a grouped frame in the same pass.
 
-    Each group row counts once under its own name and once under TOTAL.
+    Each group row counts once under its own name and once under TOTAL. An
+    all-NULL row joins the total, so that it exists even without groups.
     Columns in `only_groups` cannot be combined and are NULL in the total.
     """
-    both = level.withColumn("_name", F.explode(F.array(F.col(name), F.lit(TOTAL))))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in level.schema]
+    seed = level.sparkSession.range(1).select(*nulls, F.lit(TOTAL).alias("_name"))
+    both = level.withColumn("_name", F.explode(F.array(F.col(name), F.lit(TOTAL)))).union(seed)
     own = F.col("_name") != TOTAL
     return both.groupBy(F.col("_name").alias(name)).agg(
         *[F.sum(c).alias(c) for c in sums],
