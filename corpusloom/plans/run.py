@@ -49,14 +49,16 @@ def article_corpus(frame: DataFrame, mapping=None) -> Corpus:
 
 
 def numbered(corpus: Corpus) -> DataFrame:
-    """The corpus fields with a row ordinal and defaults for missing fields."""
-    rows = scan.scan_with_ordinal(scan.project_fields(corpus.frame, corpus.mapping))
-    return scan.field_defaults(rows, corpus.defaults)
+    """The corpus fields with a row ordinal."""
+    return scan.scan_with_ordinal(scan.project_fields(corpus.frame, corpus.mapping))
 
 
 def chunked(corpus: Corpus, size: int, max_chunks=None, cap=None) -> DataFrame:
-    """Rows with chunk columns and metadata, limited as asked."""
+    """Rows with chunk columns and metadata, limited as asked. A source without
+    a text column has no valid chunk and gives no rows."""
     rows = C.assign_chunks(numbered(corpus), size)
+    if "text" not in rows.columns:
+        rows = rows.filter(F.lit(False))
     if max_chunks is not None:
         rows = C.limit_chunks(rows, max_chunks)
     if cap is not None:
@@ -65,25 +67,48 @@ def chunked(corpus: Corpus, size: int, max_chunks=None, cap=None) -> DataFrame:
     return stamped.withColumn("dataset_key", F.lit(corpus.key)).drop("start_idx", scan.ORDINAL)
 
 
+def store_chunks(corpus: Corpus, base: str, size: int, max_chunks=None, cap=None) -> DataFrame:
+    """Write the chunks of a corpus in one pass over it and read them back."""
+    rows = chunked(corpus, size, max_chunks, cap)
+    path = f"{base}/chunks/{corpus.key}"
+    C.write_chunks(rows, path)
+    return read_table(corpus.frame.sparkSession, path, rows.schema)
+
+
 def ingest(corpus: Corpus, base: str, size: int, max_chunks=None, cap=None, batch_size=500):
     """Write the chunks of a corpus and return (stored chunks, manifest).
 
-    One pass over the source writes the chunks. The manifest compares row
-    counts taken from footers; it does not read texts again.
+    The manifest compares row counts taken from footers; it does not read texts
+    again.
     """
-    spark = corpus.frame.sparkSession
-    rows = chunked(corpus, size, max_chunks, cap)
-    path = f"{base}/chunks/{corpus.key}"
-    C.write_chunks(rows, path)
-    stored = read_table(spark, path, rows.schema)
+    stored = store_chunks(corpus, base, size, max_chunks, cap)
     plan = C.chunk_plan(
         C.row_total(corpus.frame), size, corpus.dataset, corpus.config, corpus.key, batch_size
     )
     wanted = expected_records(plan, max_chunks, cap)
+    if "text" not in stored.columns:
+        wanted = wanted.filter(F.lit(False))
     manifest = C.chunk_manifest(plan, C.stored_counts(stored), wanted, max_chunks)
-    manifest_path = f"{base}/manifest/{corpus.key}"
-    manifest.write.mode("overwrite").parquet(manifest_path)
-    return stored, read_table(spark, manifest_path, manifest.schema)
+    path = f"{base}/manifest/{corpus.key}"
+    manifest.write.mode("overwrite").parquet(path)
+    return stored, read_table(stored.sparkSession, path, manifest.schema)
+
+
+def direct_load(corpus: Corpus, run_ts: str, limit: int | None = None) -> DataFrame:
+    """The raw table straight from the source, without chunk files: the first
+    `limit` rows, with defaults for fields the source does not have."""
+    rows = scan.field_defaults(numbered(corpus), corpus.defaults)
+    if limit is not None:
+        rows = rows.filter(F.col(scan.ORDINAL) < limit)
+    stamped = rows.withColumns(
+        {
+            "timestamp": F.lit(run_ts).cast("timestamp_ntz"),
+            "_meta_dataset_name": F.lit(corpus.dataset),
+            "_dbt_extracted_at": F.lit(run_ts).cast("timestamp_ntz"),
+            "_dbt_source_table": F.lit(V.SOURCE_TABLE),
+        }
+    )
+    return align(stamped, corpus.schema)
 
 
 def expected_records(plan: DataFrame, max_chunks=None, cap=None) -> DataFrame:

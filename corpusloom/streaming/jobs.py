@@ -96,27 +96,43 @@ def append_files(stream: DataFrame, path: str, checkpoint: str):
     )
 
 
-def latest_wins(stream: DataFrame, table: str, checkpoint: str, order, buckets: int = 64):
-    """Keep the latest row per (text, url) in a keyed table.
+DEDUP_KEYS = ["_digest", "url"]
+
+
+def latest_wins(stream: DataFrame, log: str, checkpoint: str, order):
+    """Log the latest row per (text, url) of every batch.
 
     The stream's own duplicate removal keeps the first row it sees, so this
-    merges each batch into the table instead. Merging a batch twice changes
-    nothing.
+    keeps all batch winners and `read_latest` picks the newest of them. A batch
+    costs what it holds, however large the log is. A replayed batch overwrites
+    its own partition.
     """
     keyed = stream.withColumn("_digest", digest("text"))
-    keys = ["_digest", "url"]
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        upsert_latest(latest_rows(batch, keys, order), table, keys, order, buckets)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        winners = latest_rows(batch, DEDUP_KEYS, order).withColumn("_batch", F.lit(batch_id))
+        write_table(winners, log, "overwrite", ["_batch"], balance=False)
 
     return (
-        keyed.writeStream.foreachBatch(merge)
+        keyed.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def read_latest(spark: SparkSession, log: str, order) -> DataFrame:
+    """The latest row per (text, url) over all logged batches."""
+    return latest_rows(read_table(spark, log), DEDUP_KEYS, order).drop("_digest", "_batch")
+
+
+def compact_latest(spark: SparkSession, log: str, table: str, order, buckets: int = 64) -> None:
+    """Merge the log into a keyed table, bucket by bucket. Choose the number of
+    buckets so that one bucket is about a gigabyte."""
+    logged = read_table(spark, log).drop("_batch")
+    upsert_latest(latest_rows(logged, DEDUP_KEYS, order), table, DEDUP_KEYS, order, buckets)
+
+
 def quality_counters(stream: DataFrame) -> DataFrame:
     """Running counts per dataset. State is one row per dataset; medians need
     all values and stay with the batch summary."""

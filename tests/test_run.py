@@ -48,3 +48,16 @@ def test_empty_corpora_leave_fallback_rows(spark, sources):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert V.preset("TEST") == V.PRESETS["test"]
+
+
+def test_source_without_text_stores_nothing(spark, sources):
+    frame = sources[0].frame.select("url")
+    stored, manifest = run.ingest(run.web_corpus(frame), fresh_dir(spark, "no-text"), 100)
+    assert stored.count() == 0
+    assert {r["status"] for r in manifest.collect()} == {"no_data"}
+
+
+def test_direct_load_limits_and_fills(spark, sources):
+    corpus = run.article_corpus(sources[1].frame.select("text"))
+    loaded = run.direct_load(corpus, RUN, limit=5)
+    assert sorted(r["id"] for r in loaded.collect()) == [f"wp_{i}" for i in range(5)]

@@ -58,10 +58,14 @@ def test_dedup_over_many_batches(spark):
     for part in range(4):
         spark.createDataFrame(rows[part::4], schema).coalesce(1).write.mode("append").parquet(source)
     stream = jobs.file_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
-    table = fresh_dir(spark, "table")
-    jobs.drain(jobs.latest_wins(stream, table, fresh_dir(spark, "ckpt"), [F.col("ts").desc()], 4))
-    got = sorted((r["text"], r["ts"]) for r in tables.read_table(spark, table).collect())
-    assert got == sorted([("hot", 29)] + [(f"t{i}", i) for i in range(10)])
+    log, table, order = fresh_dir(spark, "log"), fresh_dir(spark, "table"), [F.col("ts").desc()]
+    jobs.drain(jobs.latest_wins(stream, log, fresh_dir(spark, "ckpt"), order))
+    expected = sorted([("hot", 29)] + [(f"t{i}", i) for i in range(10)])
+    pairs = lambda df: sorted((r["text"], r["ts"]) for r in df.collect())
+    assert pairs(jobs.read_latest(spark, log, order)) == expected
+    for _ in range(2):
+        jobs.compact_latest(spark, log, table, order, buckets=4)
+        assert pairs(tables.read_table(spark, table)) == expected
 
 
 def test_counters_and_missing_table(spark):

@@ -744,10 +744,12 @@ QUERIES = {
     ),
     "field_defaults": (
         ("ordered", "pages_ordered"),
-        """SELECT page_id::VARCHAR AS id, 'Title ' || ordinal AS title, 'Content ' || ordinal AS text,
-          CAST(NULL AS VARCHAR) AS url FROM pages_ordered
-        UNION ALL SELECT 'wp_' || ordinal, 'Title ' || ordinal, text, 'https://example.com/' || ordinal
-        FROM ordered""",
+        f"""SELECT page_id::VARCHAR AS id, 'Title ' || ordinal AS title, 'Content ' || ordinal AS text,
+          CAST(NULL AS VARCHAR) AS url, CAST(NULL AS TIMESTAMP) AS "timestamp",
+          '{V.ARTICLE_DATASET}' AS _meta_dataset_name, {RUN} AS _dbt_extracted_at,
+          '{V.SOURCE_TABLE}' AS _dbt_source_table FROM pages_ordered
+        UNION ALL SELECT NULL, NULL, text, 'https://example.com/' || ordinal, {RUN},
+          '{V.WEB_DATASET}', {RUN}, '{V.SOURCE_TABLE}' FROM ordered""",
     ),
     "example_models": (
         (),

@@ -147,7 +147,7 @@ def chunk_key(spark, folder):
 def pending_chunks(spark, folder):
     base = fresh_dir(spark, "pending")
     corpus = document_corpus(spark, folder)
-    stored, _ = run.ingest(corpus, base, SIZE, max_chunks=MAX_CHUNKS)
+    stored = run.store_chunks(corpus, base, SIZE, max_chunks=MAX_CHUNKS)
     return C.pending_chunks(document_plan(spark, folder), stored).select(
         "dataset_key", "chunk_index", "start_idx", "end_idx", "expected_size"
     )
@@ -194,7 +194,7 @@ def chunk_manifest(spark, folder):
     base = fresh_dir(spark, "manifest")
     corpus = document_corpus(spark, folder)
     docs, pages = table(spark, folder, "documents"), table(spark, folder, "pages")
-    stored, _ = run.ingest(corpus, base, SIZE)
+    stored = run.store_chunks(corpus, base, SIZE)
     announced = C.row_total(docs.select("text").union(docs.select("text")).union(pages.select("html")))
     plan = document_plan(spark, folder, announced)
     return C.chunk_manifest(plan, C.stored_counts(stored))
@@ -238,19 +238,12 @@ def fallback_row(spark, folder):
 
 @query
 def field_defaults(spark, folder):
-    """Pages lack title and text; documents lack url and id."""
-    pages = scan.field_defaults(
-        scan.scan_with_ordinal(table(spark, folder, "pages").select(F.col("page_id").alias("id"))),
-        scan.ARTICLE_DEFAULTS,
+    """Direct loads: pages lack title and text, documents lack url."""
+    pages = run.article_corpus(table(spark, folder, "pages"), {"id": "page_id"})
+    docs = run.web_corpus(table(spark, folder, "documents"))
+    return run.direct_load(pages, RUN_TS).unionByName(
+        run.direct_load(docs, RUN_TS), allowMissingColumns=True
     )
-    docs = scan.field_defaults(
-        scan.scan_with_ordinal(table(spark, folder, "documents").select("text")),
-        {**scan.WEB_DEFAULTS, **scan.ARTICLE_DEFAULTS},
-    )
-    shape = lambda df, url: df.select(
-        F.col("id").cast("string").alias("id"), "title", "text", url.alias("url")
-    )
-    return shape(pages, F.lit(None).cast("string")).union(shape(docs, F.col("url")))
 
 
 @query
@@ -623,9 +616,16 @@ def check_content_type(spark, folder):
     return K.run_rules(measured_unfiltered(spark, folder), [K.content_type_rule()])
 
 
+def _stored_measures(spark, folder, *columns):
+    """Measures as a written table: the rule then reads stored flags instead of
+    being folded into their definition."""
+    return materialize(measured_unfiltered(spark, folder).select(*columns), "measures")
+
+
 @query
 def check_encoding(spark, folder):
-    return K.run_rules(measured_unfiltered(spark, folder), [K.encoding_rule()])
+    rows = _stored_measures(spark, folder, "has_encoding_issues", "has_replacement_char")
+    return K.run_rules(rows, [K.encoding_rule()])
 
 
 @query
@@ -650,7 +650,18 @@ def check_ratios(spark, folder):
 
 @query
 def check_anomaly_flag(spark, folder):
-    return K.run_rules(measured_unfiltered(spark, folder), [K.anomaly_flag_rule()])
+    rows = _stored_measures(
+        spark,
+        folder,
+        "is_anomaly",
+        "is_too_short",
+        "is_too_long",
+        "has_encoding_issues",
+        "content_type",
+        "japanese_ratio",
+        "has_repetition",
+    )
+    return K.run_rules(rows, [K.anomaly_flag_rule()])
 
 
 @query
@@ -761,8 +772,8 @@ def stream_dedup(spark, folder):
     base = fresh_dir(spark, "stream-dedup")
     order = [F.col("_dbt_extracted_at").desc(), F.col("_row_key").desc()]
     stream = _web_stream(spark, folder)
-    jobs.drain(jobs.latest_wins(stream, f"{base}/table", f"{base}/checkpoint", order, buckets=8))
-    return tables.read_table(spark, f"{base}/table").select(
+    jobs.drain(jobs.latest_wins(stream, f"{base}/log", f"{base}/checkpoint", order))
+    return jobs.read_latest(spark, f"{base}/log", order).select(
         "text", "url", "_dbt_extracted_at", "_row_key"
     )
 
