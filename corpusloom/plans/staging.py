@@ -69,7 +69,13 @@ def stg_web(
         [F.col("_dbt_extracted_at").desc(), *[F.col(c).desc() for c in tie]],
     )
     return clean_web(latest, script, keep).withColumns(
-        {"row_rank": F.lit(1), **_run_columns(batch_id, run_ts)}
+        {
+            # Every remaining row passed both rules; no need to test it again.
+            "contains_japanese_chars": F.lit(True),
+            "is_valid_content": F.lit(True),
+            "row_rank": F.lit(1),
+            **_run_columns(batch_id, run_ts),
+        }
     )
 
 
@@ -128,5 +134,12 @@ def stg_articles(
     return (
         clean_articles(raw, script, paragraph, heading, keep)
         .filter("is_valid_article AND contains_japanese_chars AND article_type = 'article'")
-        .withColumns(_run_columns(batch_id, run_ts))
+        .withColumns(
+            {
+                "article_type": F.lit("article"),
+                "contains_japanese_chars": F.lit(True),
+                "is_valid_article": F.lit(True),
+                **_run_columns(batch_id, run_ts),
+            }
+        )
     )
