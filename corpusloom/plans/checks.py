@@ -142,10 +142,10 @@ def encoding_rule() -> Rule:
     )
 
 
-def score_band_rule() -> Rule:
+def score_band_rule(medium_below: int = 90) -> Rule:
     label, score = F.col("quality_class"), F.col("quality_score")
     # --- fixed values: allowed score band [low, high) of each class
-    bands = {"high": (70, None), "medium": (50, 90), "low": (30, 70), "poor": (None, 50)}
+    bands = {"high": (70, None), "medium": (50, medium_below), "low": (30, 70), "poor": (None, 50)}
     outside = []
     for name, (low, high) in bands.items():
         if low is not None:

@@ -196,6 +196,12 @@ def dataset_quality_summary(quality: DataFrame, run_ts: str) -> DataFrame:
     ).orderBy(F.when(F.col("dataset_name") == TOTAL, 1).otherwise(0), "dataset_name")
 
 
+def content_start():
+    """The first fifty characters, which stand for a text when counting how
+    many different ones a group holds."""
+    return F.left("content_text", F.lit(50))
+
+
 def _content_group(df: DataFrame, source, keys, group, length, floor, unique) -> DataFrame:
     n = F.col(length)
     return df.groupBy(*keys).agg(
@@ -234,7 +240,7 @@ def content_quality_metrics(
         "url_domain",
         "content_length",
         V.WEB_MEDIUM,
-        F.left("content_text", F.lit(50)),
+        F.col("content_start") if "content_start" in web.columns else content_start(),
     ).union(
         _content_group(
             articles,

@@ -17,7 +17,7 @@ from corpusloom.plans import checks, marts, quality, staging
 from corpusloom.sources import fields as S
 from corpusloom.sources import scan
 from corpusloom.sources.tables import read_table, write_table
-from corpusloom.sources.workdir import materialize
+from corpusloom.sources.workdir import path_exists
 
 
 @dataclass(frozen=True)
@@ -67,21 +67,45 @@ def chunked(corpus: Corpus, size: int, max_chunks=None, cap=None) -> DataFrame:
     return stamped.withColumn("dataset_key", F.lit(corpus.key)).drop("start_idx", scan.ORDINAL)
 
 
-def store_chunks(corpus: Corpus, base: str, size: int, max_chunks=None, cap=None) -> DataFrame:
-    """Write the chunks of a corpus in one pass over it and read them back."""
-    rows = chunked(corpus, size, max_chunks, cap)
-    path = f"{base}/chunks/{corpus.key}"
-    C.write_chunks(rows, path)
-    return read_table(corpus.frame.sparkSession, path, rows.schema)
+# Stored chunk keys are broadcast up to this many (a few megabytes).
+MAX_BROADCAST_CHUNKS = 100_000
+
 
+def store_chunks(
+    corpus: Corpus, base: str, size: int, max_chunks=None, cap=None, resume: bool = False
+) -> DataFrame:
+    """Write the chunks of a corpus in one pass over it and read them back.
 
-def ingest(corpus: Corpus, base: str, size: int, max_chunks=None, cap=None, batch_size=500):
+    `resume` writes only chunks that are not stored yet.
+    """
+    spark = corpus.frame.sparkSession
+    rows = chunked(corpus, size, max_chunks, cap)
+    path = f"{base}/chunks/{corpus.key}"
+    pending = rows
+    if resume and path_exists(spark, path):
+        done = read_table(spark, path, rows.schema).select(*C.CHUNK_KEYS).distinct()
+        if done.limit(MAX_BROADCAST_CHUNKS + 1).count() <= MAX_BROADCAST_CHUNKS:
+            done = F.broadcast(done)
+        pending = rows.join(done, list(C.CHUNK_KEYS), "left_anti").select(*rows.columns)
+    C.write_chunks(pending, path)
+    return read_table(spark, path, rows.schema)
+
+
+def ingest(
+    corpus: Corpus,
+    base: str,
+    size: int,
+    max_chunks=None,
+    cap=None,
+    batch_size: int = 500,
+    resume: bool = False,
+):
     """Write the chunks of a corpus and return (stored chunks, manifest).
 
     The manifest compares row counts taken from footers; it does not read texts
     again.
     """
-    stored = store_chunks(corpus, base, size, max_chunks, cap)
+    stored = store_chunks(corpus, base, size, max_chunks, cap, resume)
     plan = C.chunk_plan(
         C.row_total(corpus.frame), size, corpus.dataset, corpus.config, corpus.key, batch_size
     )
@@ -157,24 +181,26 @@ def load_or_fallback(raw: DataFrame, corpus: Corpus, run_ts: str) -> DataFrame:
 CHUNK_FIELD = T.StructField("_meta_chunk_index", T.LongType(), True)
 
 
-def fact_tables(web: DataFrame, articles: DataFrame, script: str = "narrow"):
-    """Both staged corpora with their measures, written once for many readers.
+def web_facts(web: DataFrame, script: str = "narrow") -> DataFrame:
+    """Staged web rows with their measures, without long texts.
 
-    Long texts are replaced by their digests: tests need to know that a text is
-    there, and everything read from its characters is already measured.
+    Texts are replaced by their digests: tests need to know that a text is
+    there, and everything that is read from its characters is measured here or
+    kept as `content_start`. Write it once; all later steps read only this.
     """
-    web_facts = quality.measure(web, "content_text", "content_length", script).withColumn(
+    measured = quality.measure(web, "content_text", "content_length", script)
+    return measured.withColumn("content_start", marts.content_start()).withColumn(
         "content_text", digest("content_text")
     )
-    article_facts = (
-        quality.measure(articles, "article_text", "text_length", script)
-        .withColumn("article_text", digest("article_text"))
-        .drop("first_paragraph")
-    )
-    return materialize(web_facts, "web-facts"), materialize(article_facts, "article-facts")
 
 
-def facts_as_records(web_facts: DataFrame, article_facts: DataFrame) -> DataFrame:
+def article_facts(articles: DataFrame, script: str = "narrow") -> DataFrame:
+    """Staged articles with their measures, without long texts."""
+    measured = quality.measure(articles, "article_text", "text_length", script)
+    return measured.withColumn("article_text", digest("article_text")).drop("first_paragraph")
+
+
+def facts_as_records(web: DataFrame, articles: DataFrame) -> DataFrame:
     """The two fact tables in the shape of the full quality model."""
     skip = {"text", "text_length", "_meta_dataset_name"}
     measures = [c for c in quality.FULL_COLUMNS if c not in skip]
@@ -185,8 +211,8 @@ def facts_as_records(web_facts: DataFrame, article_facts: DataFrame) -> DataFram
         F.col("source_dataset").alias("_meta_dataset_name"),
         *carried,
     )
-    return shape(web_facts, "content_text", "content_length").unionByName(
-        shape(article_facts, "article_text", "text_length")
+    return shape(web, "content_text", "content_length").unionByName(
+        shape(articles, "article_text", "text_length")
     )
 
 
@@ -200,11 +226,13 @@ def run_corpora(
     mode: str = V.DEFAULT_PRESET,
     script: str = "narrow",
     full: bool = False,
+    resume: bool = False,
 ) -> dict:
     """Run everything below `base` and return the resulting tables by name.
 
     `mode` picks chunk sizes and limits; `full=True` lifts the chunk limit and
-    the row cap, so that the whole corpora are processed.
+    the row cap, so that the whole corpora are processed. `resume=True` keeps
+    the chunks that an earlier run stored.
     """
     settings = V.preset(mode)
     max_chunks = None if full else settings["max_chunks"]
@@ -220,7 +248,7 @@ def run_corpora(
     manifests, raw = [], {}
     for corpus, size in ((web, "web_chunk_size"), (articles, "article_chunk_size")):
         stored, manifest = ingest(
-            corpus, base, settings[size], max_chunks, cap, settings["batch_size"]
+            corpus, base, settings[size], max_chunks, cap, settings["batch_size"], resume
         )
         manifests.append(manifest)
         loaded = load_raw(stored, manifest, corpus.schema, run_ts, [CHUNK_FIELD])
@@ -233,21 +261,20 @@ def run_corpora(
     stg_articles = table(
         "stg_articles", staging.stg_articles(raw[articles.key], batch_id, run_ts, script, keep=keep)
     )
-    simple = quality.quality_checks(stg_web, stg_articles)
-    measured = table(
-        "quality_measures", quality.measured_rows(stg_web, stg_articles, script).drop("text")
-    )
+    # The last reads of the texts. Everything below works on the fact tables.
+    web_rows = table("web_facts", web_facts(stg_web, script))
+    article_rows = table("article_facts", article_facts(stg_articles, script))
+    simple = quality.quality_checks(web_rows, article_rows)
+    records = facts_as_records(web_rows, article_rows)
     anomalies = table("anomaly_report", quality.anomaly_report(simple))
     table("quality_report", quality.quality_report(anomalies))
     table("dataset_quality_summary", marts.dataset_quality_summary(simple, run_ts))
-    full_summary = table(
-        "dataset_quality_summary_full", marts.dataset_quality_summary(measured, run_ts)
-    )
+    summary = table("dataset_quality_summary_full", marts.dataset_quality_summary(records, run_ts))
     table(
         "content_quality_metrics",
-        marts.content_quality_metrics(stg_web, stg_articles, batch_id, run_ts),
+        marts.content_quality_metrics(web_rows, article_rows, batch_id, run_ts),
     )
-    table("content_summary", marts.content_summary(stg_web, stg_articles, batch_id, run_ts))
+    table("content_summary", marts.content_summary(web_rows, article_rows, batch_id, run_ts))
     table("processing_summary", marts.processing_summary(anomalies, batch_id, run_ts))
-    table("check_suite", checks.suite(stg_web, stg_articles, measured, full_summary, run_ts))
+    table("check_suite", checks.suite(web_rows, article_rows, records, summary, run_ts))
     return out

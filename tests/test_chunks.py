@@ -129,6 +129,16 @@ def test_limits_leave_skipped_and_pending_chunks(spark, files):
     assert sorted(r["chunk_index"] for r in pending.collect()) == [2, 3]
 
 
+def test_resume_writes_only_missing_chunks(spark, files):
+    base = fresh_dir(spark, "resume")
+    run.store_chunks(corpus(files), base, 300, max_chunks=2)
+    changed = corpus(files.withColumn("text", F.concat(F.lit("new "), "text")))
+    stored = run.store_chunks(changed, base, 300, resume=True)
+    got = stored.groupBy("chunk_index").agg(F.count_if(F.col("text").startswith("new")).alias("n"))
+    assert {r["chunk_index"]: r["n"] for r in got.collect()} == {0: 0, 1: 0, 2: 300, 3: 100}
+    assert stored.count() == 1000
+
+
 def test_manifest_statuses(spark):
     plan = C.chunk_plan(C.declared_total(spark, 400), 100, "o/n", "c", "k")
     frame = lambda rows: spark.createDataFrame(rows, "dataset_key string, chunk_index long, records long")

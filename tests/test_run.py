@@ -30,6 +30,11 @@ def test_whole_run(spark, sources):
     bad = out["check_suite"].filter("status <> 'pass'").collect()
     assert [r["test_name"] for r in bad] == []
     assert out["dataset_quality_summary"].count() == 3
+    # Marts from the fact tables equal marts from the staged texts.
+    from corpusloom.plans import marts
+
+    staged = marts.content_quality_metrics(out["stg_web"], out["stg_articles"], "b", RUN)
+    assert staged.exceptAll(out["content_quality_metrics"]).count() == 0
     assert out["processing_summary"].first()["analysis_reliability"] == "full_real_analysis"
     assert {r["dataset_key"] for r in out["run_summary"].collect()} == {"fineweb", "wikipedia", "TOTAL"}
 

@@ -715,10 +715,12 @@ def check_total_consistency(spark, folder):
 @query
 def check_suite(spark, folder):
     """All tests, over staging facts that are written once."""
-    web_facts, article_facts = run.fact_tables(*both(spark, folder, (CHUNK,)))
-    rows = run.facts_as_records(web_facts, article_facts)
+    staged_web, staged_articles = both(spark, folder, (CHUNK,))
+    web_rows = materialize(run.web_facts(staged_web), "web-facts")
+    article_rows = materialize(run.article_facts(staged_articles), "article-facts")
+    rows = run.facts_as_records(web_rows, article_rows)
     summary = materialize(marts.dataset_quality_summary(rows, RUN_TS), "summary")
-    return K.suite(web_facts, article_facts, rows, summary, RUN_TS)
+    return K.suite(web_rows, article_rows, rows, summary, RUN_TS)
 
 
 # ---- streams --------------------------------------------------------------
