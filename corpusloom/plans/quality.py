@@ -78,7 +78,7 @@ def measure(df: DataFrame, text: str, length: str, script: str = "narrow") -> Da
     counted = df.withColumns(
         {
             "total_japanese_chars": X.count_class(body, X.script_class(script)),
-            "_ascii": X.count_class(body, r"\x00-\x7F"),
+            "_ascii": X.count_ascii(body, n),
             "_space": X.count_class(body, r" \t\r\n　"),
             "_symbol": X.count_class(body, r"\p{P}\p{S}"),
         }
