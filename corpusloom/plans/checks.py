@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import values as V
+from corpusloom.functions.rules import full_anomaly
 from corpusloom.functions.text import trim_spaces
+from corpusloom.operators.aggregates import uniqueness_deficit
 from corpusloom.plans.marts import TOTAL
 from corpusloom.sources import fields as S
 
@@ -187,8 +189,6 @@ def ratios_rule() -> Rule:
 
 
 def anomaly_flag_rule() -> Rule:
-    from corpusloom.functions.rules import full_anomaly
-
     expected = full_anomaly(
         "is_too_short",
         "is_too_long",
@@ -346,8 +346,7 @@ def article_rules(run_ts: str) -> list:
 
 
 def primary_key(articles: DataFrame, key: str = "article_id") -> DataFrame:
-    deficit = articles.agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("failing_records"))
-    return named(deficit, "primary_key_uniqueness", "Wikipedia article IDs should be unique")
+    return named(uniqueness_deficit(articles, key), "primary_key_uniqueness", "Wikipedia article IDs should be unique")
 
 
 def required_columns(df: DataFrame, required=S.REQUIRED_WEB_COLUMNS) -> DataFrame:

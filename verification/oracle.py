@@ -330,7 +330,7 @@ def rows_where(condition):
     return f"count(*) FILTER (WHERE {condition})"
 
 
-def not_null(model, source, columns, skip=()):
+def not_null(model, source, columns):
     return [
         check(f"not_null_{model}_{c}", f"{c} must not be NULL", rows_where(f"{c} IS NULL"), source)
         for c in columns
@@ -625,7 +625,7 @@ FROM (SELECT *, CASE WHEN test_name IN ({', '.join(f"'{w}'" for w in WARNING)})
 
 # ---- chunks ---------------------------------------------------------------
 
-WEB_SHORT, ARTICLE_SHORT = "fineweb-2_jpn_Jpan", "wikipedia_20231101.ja"
+ARTICLE_SHORT = "wikipedia_20231101.ja"
 
 
 def plan(total):
