@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, licenses, packing, token_counts
+from corpusloom.llm import decontaminate, licenses, packing, quality_rules, token_counts
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -39,3 +39,12 @@ def op9_benchmark_decontamination(spark, folder):
     found = decontaminate.judged(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     digest = F.sha2(F.array_join(F.array_sort("items"), ","), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+@query
+def op10_quality_rules(spark, folder):
+    source = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules.verdicts(source).select(
+        "doc_id", *[F.col(f"quality.{n}") for n in (*names, "char_distance", "word_distance")]
+    )
