@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, licenses, packing, quality_rules, token_counts
+from corpusloom.llm import decontaminate, licenses, packing, parity_join, quality_rules, token_counts
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -48,3 +48,8 @@ def op10_quality_rules(spark, folder):
     return quality_rules.verdicts(source).select(
         "doc_id", *[F.col(f"quality.{n}") for n in (*names, "char_distance", "word_distance")]
     )
+
+
+@query
+def op2_parity_jaccard_join(spark, folder):
+    return parity_join.join(table(spark, folder, "documents"))
