@@ -5,7 +5,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, licenses, packing, parity_join, quality_rules, token_counts
+from corpusloom.llm import (
+    decontaminate,
+    html_text,
+    licenses,
+    packing,
+    parity_join,
+    quality_rules,
+    token_counts,
+    url_filter,
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -53,3 +62,13 @@ def op10_quality_rules(spark, folder):
 @query
 def op2_parity_jaccard_join(spark, folder):
     return parity_join.join(table(spark, folder, "documents"))
+
+
+@query
+def op1_url_filter(spark, folder):
+    return url_filter.verdicts(table(spark, folder, "pages"))
+
+
+@query
+def op3_main_text(spark, folder):
+    return html_text.main_text(table(spark, folder, "pages"))
