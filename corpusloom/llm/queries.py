@@ -9,6 +9,7 @@ from corpusloom.llm import (
     decontaminate,
     html_text,
     licenses,
+    ordinal_quality,
     packing,
     parity_join,
     quality_rules,
@@ -72,3 +73,9 @@ def op1_url_filter(spark, folder):
 @query
 def op3_main_text(spark, folder):
     return html_text.main_text(table(spark, folder, "pages"))
+
+
+@query
+def op7_ordinal_quality(spark, folder):
+    ratings = ordinal_quality.graded(table(spark, folder, "labels"))
+    return ordinal_quality.assessed(table(spark, folder, "documents"), ratings)
