@@ -9,6 +9,7 @@ from corpusloom.llm import (
     decontaminate,
     html_text,
     licenses,
+    line_dedup,
     ordinal_quality,
     packing,
     parity_join,
@@ -79,3 +80,8 @@ def op3_main_text(spark, folder):
 def op7_ordinal_quality(spark, folder):
     ratings = ordinal_quality.graded(table(spark, folder, "labels"))
     return ordinal_quality.assessed(table(spark, folder, "documents"), ratings)
+
+
+@query
+def op8_line_dedup(spark, folder):
+    return line_dedup.report(table(spark, folder, "documents"))
