@@ -274,12 +274,17 @@ def verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
 def links(documents: DataFrame, sets: DataFrame) -> DataFrame:
     """Verified links (`a`, `b`) that connect all similar sets.
 
-    First every set is compared with the smallest set in the parts it shares, by the
-    one it shares most parts with. Then all sets of a part that are still apart are
+    First every set is compared with one representative: of the sets in a part, the one
+    that shares most parts with others stands for it (the original of a group of edited
+    copies, since edits are shared with few), and of the representatives of its parts a
+    set takes the most frequent one. Then all sets of a part that are still apart are
     compared with each other.
     """
     parts = materialize(shared_parts(documents), "parts")
-    leaders = parts.groupBy("key").agg(F.min("node").alias("a"))
+    shared = parts.join(parts.groupBy("key").agg(F.count("*").alias("n")), "key")
+    weights = materialize(shared.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+    weighed = parts.join(weights, "node")
+    leaders = weighed.groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("a"))
     counted = parts.withColumnRenamed("node", "b").join(leaders, "key").where("a <> b").groupBy("a", "b").count()
     best = counted.groupBy("b").agg(F.max_by("a", F.struct("count", F.negate("a"))).alias("a")).select("a", "b")
     near = materialize(verified(plausible(best, sets), documents), "links")
