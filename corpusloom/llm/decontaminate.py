@@ -194,8 +194,14 @@ def judged(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, share
 def clean(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: int = 20) -> DataFrame:
     """The rows of `documents` that are not contaminated, with their columns.
 
-    The verdict is joined by id, so rows that share an id share the harshest verdict;
-    rows without an id are kept.
+    Rows are told apart by id and text, so rows that share an id keep their own verdicts.
     """
-    verdict = judged(documents, benchmark, width, share).where("contaminated").select("doc_id").distinct()
-    return documents.join(verdict, "doc_id", "left_anti")
+    name = "row_key"
+    while name in documents.columns:
+        name += "_"
+    rows = documents.withColumn(name, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    keyed = rows.select(F.col(name).alias("doc_id"), "text")
+    found = judged(keyed, benchmark, width, share).where("contaminated")
+    found = found.select(F.col("doc_id").alias(name)).distinct()
+    kept = rows.join(found, name, "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -216,8 +216,12 @@ def report(documents: DataFrame) -> DataFrame:
     )
 
 
-def dedup(documents: DataFrame) -> DataFrame:
-    """`documents` without the removed lines; `n_chars`, if there, follows the text."""
+def dedup(documents: DataFrame, drop_emptied: bool = False) -> DataFrame:
+    """`documents` without the removed lines; `n_chars`, if there, follows the text.
+
+    With `drop_emptied`, documents go whose every word stood in a removed line; those
+    that had no words before stay.
+    """
     number = _free(documents, "number")
     rows = numbered(documents, number)
     gone = materialize(removals(rows, number), "removals")
@@ -228,5 +232,6 @@ def dedup(documents: DataFrame) -> DataFrame:
     columns = {"text": text}
     if "n_chars" in documents.columns:
         columns["n_chars"] = F.when(own.isNull(), F.col("n_chars")).otherwise(F.length(text))
-    found = found.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns])
-    return found
+    if drop_emptied:
+        found = found.where(own.isNull() | (F.trim(text, F.lit(BLANKS)) != ""))
+    return found.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns])
