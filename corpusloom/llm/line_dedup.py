@@ -9,11 +9,13 @@ positional filter and a parity bit sketch (its Hamming distance never exceeds th
 of differing words) discard pairs before the Jaccard similarity is verified.
 
 Equal sets are first reduced to their earliest line. Then lines are compared with the
-earliest line that has the same smallest or largest word hashes, which settles most
+earliest line that has the same two smallest or largest word hashes, which settles most
 copies in large groups by one comparison; all lines that are still open are compared
-through the whole prefix index. Only built-in expressions are used.
+through the whole prefix index. Words are cut, hashed and ordered in Arrow batches (a
+version with built-in expressions only cost too much, see the README); grouping and
+joins are Spark's.
 
-Words are compared by 32-bit hashes inside a line pair, line sets by 64-bit hashes.
+Words are compared by 64-bit hashes.
 
 Defined results: null or empty texts have no lines to remove and keep their value; an
 empty table gives an empty result; rows that repeat id and text are one document and get
@@ -22,10 +24,13 @@ last), are ordered by content. A text has at most 2**27 lines. Helper columns ar
 so that they never clash with columns of the table.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusloom.llm.bytesets import SPACED, mix, slices, text_bytes, word_bounds, word_hashes
 from corpusloom.sources.workdir import materialize
 
 PERCENT = 75
@@ -36,7 +41,10 @@ CELLS = 1 << 16
 # Narrow rows (one number each) that may be broadcast; more take a shuffled join.
 BROADCAST_ROWS = 1_000_000
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LINE_NAMES = ["line", "lines", "n", "parity", "low", "high"]
+# Groups that index rows are dealt into, for each shuffle partition; pairs tried at once.
+GROUPS_PER_PARTITION, PAIRS_AT_ONCE = 4, 2_000_000
+
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -73,117 +81,241 @@ def numbered(documents: DataFrame, name: str) -> DataFrame:
     return documents.withColumn(f"{name}_key", key).join(numbers, f"{name}_key").drop(f"{name}_key")
 
 
+def line_words(numbers: np.ndarray, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every line with words, the start of its words, and the sorted distinct word hashes."""
+    data, offsets = text_bytes(texts)
+    starts, ends, counts = word_bounds(data, offsets, SPACED)
+    breaks = np.flatnonzero(data == 0x0A)
+    at = np.searchsorted(breaks, starts) - np.repeat(np.searchsorted(breaks, offsets[:-1]), counts)
+    line = (np.repeat(numbers, counts) << LINE_BITS) + at
+    hashes = word_hashes(data, starts, ends)
+    # Rows are apart even where they repeat a number.
+    part = np.cumsum(np.append(True, (line[1:] != line[:-1]))) if len(line) else line
+    order = np.lexsort((hashes, part))
+    part, line, hashes = part[order], line[order], hashes[order]
+    fresh = np.append(True, (part[1:] != part[:-1]) | (hashes[1:] != hashes[:-1]))[: len(part)]
+    part, line, hashes = part[fresh], line[fresh], hashes[fresh]
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+    return line[first], first, hashes
+
+
 def lines_of(documents: DataFrame, number: str) -> DataFrame:
-    """`line`, `tokens` (sorted distinct word hashes) and `lines` (hash of the set) of
-    every line with words; `line` orders all lines of the corpus."""
+    """Per line with words: `line`, which orders all lines of the corpus, `lines` (hash of
+    its word set), size `n`, `parity` bits, and `low` and `high`, hashes of its two
+    smallest and largest words."""
+
+    def measured(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                line, first, hashes = line_words(np.asarray(part.column(0)), part.column(1))
+                if not len(line):
+                    continue
+                sizes = np.diff(np.append(first, len(hashes)))
+                last = first + sizes - 1
+                sets = mix(np.add.reduceat(mix(hashes), first) + sizes.astype(np.uint64))
+                low = mix(hashes[first] + mix(hashes[np.minimum(first + 1, last)]))
+                high = ~mix(hashes[last] + mix(hashes[np.maximum(last - 1, first)]))
+                columns = [line, sets.view(np.int64), sizes, parity(hashes, first), low.view(np.int64), high.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], LINE_NAMES)
+
     source = documents.select(F.col(number).alias("number"), F.col("text").cast("string").alias("text"))
-    cut = source.select("number", F.posexplode(F.split("text", "\n")).alias("at", "content"))
-    content = F.trim(F.translate("content", UPPER, LOWER), F.lit(BLANKS))
-    cut = cut.select(
-        (F.shiftleft("number", LINE_BITS) + F.col("at")).alias("line"), content.alias("content")
-    ).where("content <> ''")
-    words = F.array_distinct(F.split("content", r"[ \t-\r]+"))
-    tokens = F.array_sort(F.array_distinct(F.transform(words, lambda w: F.hash(w))))
-    return cut.select("line", tokens.alias("tokens")).select("line", "tokens", F.xxhash64("tokens").alias("lines"))
+    return source.mapInArrow(measured, ", ".join(f"{name} long" for name in LINE_NAMES))
 
 
-def parity(tokens: Column) -> Column:
+def parity(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """One bit for each of 64 hash slots: whether an odd number of words fell into it."""
-    one = F.lit(1).cast("long")
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda s, t: s.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)))))
+    bits = np.uint64(1) << (hashes & np.uint64(63))
+    return np.bitwise_xor.reduceat(bits, first).view(np.int64)
 
 
 def fits(n: Column, m: Column, parity_n: Column, parity_m: Column) -> Column:
     """Length filter and sketch filter."""
     differing = F.bit_count(parity_n.bitwiseXOR(parity_m))
-    return (
-        (F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m))
-        & (differing * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (n + m))
+    return (F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m)) & (
+        differing * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (n + m)
     )
 
 
-def matching(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+def matching(pairs: DataFrame, documents: DataFrame, number: str) -> DataFrame:
     """The pairs (`line`, `other`) whose word sets reach the similarity."""
     pairs = materialize(pairs, "line-pairs")
-    needed = materialize(pairs.select("line").union(pairs.select(F.col("other"))).distinct(), "needed")
-    tokens = materialize(lines.select("line", "tokens").join(few(needed), "line", "left_semi"), "tokens")
-    other = tokens.select(F.col("line").alias("other"), F.col("tokens").alias("other_tokens"))
-    both = pairs.join(tokens, "line").join(other, "other")
-    shared = F.size(F.array_intersect("tokens", "other_tokens"))
-    either = F.size("tokens") + F.size("other_tokens") - shared
-    return both.where(F.lit(100) * shared >= F.lit(PERCENT) * either).select("line", "other")
+    needed = materialize(pairs.select("line").union(pairs.select("other")).distinct(), "needed")
+    cut = documents.select(F.col(number).alias("number"), F.posexplode(F.split("text", "\n")).alias("at", "content"))
+    cut = cut.select((F.shiftleft("number", LINE_BITS) + F.col("at")).alias("line"), "content")
+    # Rows that repeat a document repeat its lines.
+    found = materialize(cut.join(few(needed), "line", "left_semi").dropDuplicates(["line"]), "contents")
+    other = found.select(F.col("line").alias("other"), F.col("content").alias("other_content"))
+    both = pairs.join(found, "line").join(other, "other").select("line", "other", "content", "other_content")
+
+    def checked(batches):
+        for batch in batches:
+            for part in slices(batch, "content"):
+                sides = [_sets(part.column(name)) for name in ("content", "other_content")]
+                kept = []
+                for a, b in zip(*sides, strict=True):
+                    shared = len(np.intersect1d(a, b, assume_unique=True))
+                    kept.append(100 * shared >= PERCENT * (len(a) + len(b) - shared))
+                pair = pa.RecordBatch.from_arrays([part.column("line"), part.column("other")], ["line", "other"])
+                yield pair.filter(pa.array(kept, pa.bool_()))
+
+    return both.mapInArrow(checked, "line long, other long")
+
+
+def _sets(contents) -> list[np.ndarray]:
+    data, offsets = text_bytes(contents)
+    starts, ends, counts = word_bounds(data, offsets, SPACED)
+    return [np.unique(x) for x in np.split(word_hashes(data, starts, ends), np.cumsum(counts)[:-1])]
 
 
 def by_ends(firsts: DataFrame) -> DataFrame:
-    """Candidates by equal smallest or largest word hashes: the earliest such line."""
-    n = F.size("tokens")
-    ends = [F.slice("tokens", 1, 2), F.slice("tokens", F.greatest(n - 1, F.lit(1)), F.lit(2))]
-    keys = F.explode(F.array(*[F.xxhash64(F.lit(k), e) for k, e in enumerate(ends)]))
-    rows = firsts.where(n > 1).select(
-        keys.alias("key"), "line", n.alias("n"), parity(F.col("tokens")).alias("parity")
-    )
-    group = W.partitionBy("key")
-    lead = F.min(F.struct("line", "n", "parity")).over(group)
-    led = rows.withColumn("lead", lead).where(F.col("lead.line") < F.col("line"))
+    """Candidates by equal smallest or largest words: the earliest such line."""
+    rows = firsts.where("n > 1").select(F.explode(F.array("low", "high")).alias("key"), "line", "n", "parity")
+    lead = F.min(F.struct("line", "n", "parity")).alias("lead")
+    led = rows.join(rows.groupBy("key").agg(lead), "key").where(F.col("lead.line") < F.col("line"))
     led = led.where(fits(F.col("n"), F.col("lead.n"), F.col("parity"), F.col("lead.parity")))
     return led.groupBy("line").agg(F.min("lead.line").alias("other"))
 
 
-def prefix_index(firsts: DataFrame, cells: DataFrame) -> DataFrame:
-    """`token`, `place`, `line`, `n`, `parity` for the rarest words of every line."""
-    counts = cells.agg(F.sort_array(F.collect_list(F.struct("cell", "count"))).alias("all"))
-    counts = counts.select(F.transform("all", lambda c: c["count"]).alias("counts")).scalar()
-    firsts = firsts.withColumn("counts", counts)
-    rarity = F.transform(
-        "tokens",
-        lambda t: F.shiftleft(F.element_at("counts", F.pmod(t, F.lit(CELLS)) + 1), 32)
-        + t.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)),
-    )
-    n = F.size("tokens")
-    prefix = n - F.ceil(n * F.lit(PERCENT) / 100).cast("int") + 1
-    rarest = F.slice(F.array_sort(rarity), F.lit(1), prefix)
-    own = (n.alias("n"), parity(F.col("tokens")).alias("parity"), rarest.alias("rarest"))
-    rows = firsts.select("line", "closed", *own)
-    # A closed line is only an earlier line for others: its number is stored negative.
-    rank = F.when(F.col("closed"), -F.col("line") - 1).otherwise(F.col("line"))
-    # Sets of one or two words match equal sets only.
-    rows = rows.where("n > 2").select(rank.alias("rank"), "n", "parity", F.posexplode("rarest").alias("place", "rare"))
-    token = F.col("rare").bitwiseAND(F.lit(0xFFFFFFFF)).alias("token")
-    return rows.select(token, "place", "rank", "n", "parity")
+def word_cells(documents: DataFrame) -> np.ndarray:
+    """How many words of all lines fall into each of `CELLS` hash cells."""
+
+    def counted(batches):
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                data, offsets = text_bytes(part.column("text"))
+                starts, ends, _ = word_bounds(data, offsets, SPACED)
+                total += np.bincount(_cell(word_hashes(data, starts, ends)), minlength=CELLS)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CELLS)), pa.array(total)], ["cell", "n"])
+
+    parts = documents.select(F.col("text").cast("string")).mapInArrow(counted, "cell long, n long")
+    sums = parts.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    cells = np.zeros(CELLS, np.int64)
+    cells[sums.cell.to_numpy()] = sums.n.to_numpy()
+    return cells
 
 
-def by_prefix(index: DataFrame) -> DataFrame:
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes >> np.uint64(16)) & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def prefix_index(documents: DataFrame, number: str, cells: np.ndarray) -> DataFrame:
+    """Per line of at least three words, `line` and its rarest words as an array `rarest`.
+
+    Sets of one or two words match equal sets only.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(cells)
+
+    def ordered(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                line, first, hashes = line_words(np.asarray(part.column(0)), part.column(1))
+                sizes = np.diff(np.append(first, len(hashes)))
+                owner = np.repeat(np.arange(len(line)), sizes)
+                order = np.lexsort((hashes, shared.value[_cell(hashes)], owner))
+                place = np.arange(len(hashes)) - np.repeat(first, sizes)
+                prefix = np.where(sizes > 2, sizes - -(-PERCENT * sizes // 100) + 1, 0)
+                kept = place < np.repeat(prefix, sizes)
+                words = pa.array(hashes[order][kept].view(np.int64))
+                bounds = np.append(0, np.cumsum(prefix)).astype(np.int32)
+                rarest = pa.ListArray.from_arrays(pa.array(bounds), words)
+                yield pa.RecordBatch.from_arrays([pa.array(line), rarest], ["line", "rarest"])
+
+    source = documents.select(F.col(number).alias("number"), F.col("text").cast("string").alias("text"))
+    return source.mapInArrow(ordered, "line long, rarest array<long>")
+
+
+def dealt(index: DataFrame, groups: int) -> DataFrame:
+    """The index rows packed by groups of words, so that they travel as plain numbers."""
+
+    def packed(batches):
+        for batch in batches:
+            sizes = np.diff(np.asarray(batch.column("rarest").offsets))
+            if not sizes.sum():
+                continue
+            word = np.asarray(batch.column("rarest").flatten()).view(np.uint64)
+            rows = np.repeat(np.arange(batch.num_rows), sizes)
+            place = (np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype("<u4")
+            columns = {n: np.asarray(batch.column(n)).astype(np.int64)[rows] for n in ("rank", "parity")}
+            n = np.asarray(batch.column("n")).astype("<u4")[rows]
+            group = (word % np.uint64(groups)).astype(np.int32)
+            order = np.argsort(group, kind="stable")
+            cuts = np.flatnonzero(np.append(True, np.diff(group[order]) != 0))
+            parts = [order[low:high] for low, high in zip(cuts, [*cuts[1:], len(order)], strict=True)]
+            arrays = [pa.array([int(group[p[0]]) for p in parts], pa.int32())]
+            for values in (word, place, columns["rank"], n, columns["parity"]):
+                arrays.append(pa.array([values[p].tobytes() for p in parts], pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, ["part", "word", "place", "rank", "n", "parity"])
+
+    kinds = "part int, word binary, place binary, rank binary, n binary, parity binary"
+    return index.mapInArrow(packed, kinds)
+
+
+def _near(table: pa.Table) -> pa.Table:
+    """Plausible pairs of one group of words: an open line and an earlier one."""
+
+    def joined(name, kind):
+        return np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
+
+    word, rank, bits = joined("word", np.uint64), joined("rank", np.int64), joined("parity", np.uint64)
+    place, n = joined("place", "<u4").astype(np.int64), joined("n", "<u4").astype(np.int64)
+    order = np.lexsort((n, word))
+    word, rank, bits, place, n = (x[order] for x in (word, rank, bits, place, n))
+    line = np.where(rank < 0, -rank - 1, rank)
+    # Rows of a word lie together, ordered by size: a row's partners are a range.
+    bucket = np.cumsum(np.append(True, word[1:] != word[:-1]))
+    width = int(n.max()) * 200 + 1
+    key = bucket * width + n
+    open_rows = np.flatnonzero(rank >= 0)
+    low = np.searchsorted(key, bucket[open_rows] * width + -(-PERCENT * n[open_rows] // 100))
+    high = np.searchsorted(key, bucket[open_rows] * width + 100 * n[open_rows] // PERCENT, "right")
+    found = []
+    sizes = high - low
+    done = 0
+    while done < len(open_rows):
+        upto = done + max(1, int(np.searchsorted(np.cumsum(sizes[done:]), PAIRS_AT_ONCE, "right")))
+        own = sizes[done:upto]
+        a = np.repeat(open_rows[done:upto], own)
+        b = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own) + np.repeat(low[done:upto], own)
+        done = upto
+        kept = line[b] < line[a]
+        a, b = a[kept], b[kept]
+        both = n[a] + n[b]
+        kept = (100 + PERCENT) * np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64) <= (100 - PERCENT) * both
+        a, b, both = a[kept], b[kept], both[kept]
+        # Words before the shared one can agree in the shorter part, words behind it too.
+        most = np.minimum(place[a], place[b]) + np.minimum(n[a] - place[a], n[b] - place[b])
+        kept = (100 + PERCENT) * most >= PERCENT * both
+        found.append(np.stack([line[a[kept]], line[b[kept]]]))
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+    return pa.table({"line": pairs[0], "other": pairs[1]})
+
+
+def by_prefix(documents: DataFrame, number: str, firsts: DataFrame, settled: DataFrame) -> DataFrame:
     """Candidates of every open line: earlier lines that share one of the rarest words."""
-    left = index.select("token", *[F.col(c).alias(f"l_{c}") for c in index.columns[1:]])
-    right = index.select("token", *[F.col(c).alias(f"r_{c}") for c in index.columns[1:]])
-    earlier = F.when(F.col("r_rank") < 0, -F.col("r_rank") - 1).otherwise(F.col("r_rank"))
-    n, m = F.col("l_n"), F.col("r_n")
-    # Words before the shared one can agree in the shorter part, words behind it too.
-    most = F.least("l_place", "r_place") + F.least(n - F.col("l_place"), m - F.col("r_place"))
-    enough = F.lit(100 + PERCENT) * most >= F.lit(PERCENT) * (n + m)
-    near = (earlier < F.col("l_rank")) & fits(n, m, F.col("l_parity"), F.col("r_parity")) & enough
-    joined = left.join(right, (left["token"] == right["token"]) & near)
-    return joined.select(F.col("l_rank").alias("line"), earlier.alias("other")).distinct()
+    spark = documents.sparkSession
+    known = settled.select("line", F.lit(True).alias("closed"))
+    # A closed line is only an earlier line for others: its number is passed on negative.
+    rank = F.when(F.col("closed"), -F.col("line") - 1).otherwise(F.col("line"))
+    own = firsts.join(few(known), "line", "left").select("line", rank.alias("rank"), "n", "parity")
+    index = prefix_index(documents, number, word_cells(documents))
+    rows = index.join(own, "line").select("rank", "n", "parity", "rarest")
+    groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = dealt(rows, groups).groupBy("part").applyInArrow(_near, "line long, other long")
+    return pairs.distinct()
 
 
 def removed_lines(documents: DataFrame, number: str) -> DataFrame:
     """`line` of every line to remove; `documents` has its number in column `number`."""
     lines = materialize(lines_of(documents, number), "lines")
     earliest = lines.groupBy("lines").agg(F.min("line").alias("first"))
-    earliest = materialize(earliest, "earliest")
     again = lines.select("line", "lines").join(earliest, "lines").where("line <> first")
-    again = materialize(again.select("line", "lines"), "repeated")
-    firsts = lines.select("line", "tokens").join(few(again.select("line")), "line", "left_anti")
-    settled = materialize(matching(by_ends(firsts), lines).select("line").distinct(), "settled")
-
-    token = F.explode("tokens")
-    cells = lines.select(token.alias("token")).groupBy(F.pmod("token", F.lit(CELLS)).alias("cell")).count()
-    cells = cells.union(lines.sparkSession.range(CELLS).select(F.col("id").cast("int"), F.lit(0).cast("long")))
-    cells = materialize(cells.groupBy("cell").agg(F.sum("count").alias("count")), "cells")
-    known = settled.select("line", F.lit(True).alias("closed"))
-    firsts = firsts.join(few(known), "line", "left").withColumn("closed", F.coalesce("closed", F.lit(False)))
-    late = matching(by_prefix(prefix_index(firsts, cells)), lines).select("line").distinct()
-    return again.select("line").union(settled).union(materialize(late, "late"))
+    again = materialize(again.select("line"), "repeated")
+    firsts = lines.join(few(again), "line", "left_anti").dropDuplicates(["line"])
+    firsts = materialize(firsts.drop("lines"), "firsts")
+    settled = materialize(matching(by_ends(firsts), documents, number).select("line").distinct(), "settled")
+    late = matching(by_prefix(documents, number, firsts, settled), documents, number).select("line").distinct()
+    return again.union(settled).union(materialize(late, "late")).distinct()
 
 
 def _free(documents: DataFrame, name: str) -> str:

@@ -93,8 +93,3 @@ def test_shared_missing_and_distant_ids(spark):
 
 def test_empty_table(spark):
     assert line_dedup.dedup(frame(spark, [])).collect() == []
-
-
-def test_native_plan(spark, plan_of):
-    plan = plan_of(line_dedup.lines_of(frame(spark, [(1, "a")]).withColumn("k", F.lit(0).cast("long")), "k"))
-    assert "Python" not in plan and "Arrow" not in plan
