@@ -42,6 +42,8 @@ PERCENT = 75
 SMALL_SET, SMALL_PARTS, LEAST_PARTS = 16, 1 << 14, 64
 # Groups that part hashes are dealt into, for each shuffle partition.
 GROUPS_PER_PARTITION = 4
+# 64-bit words of sketches compared at once.
+CELLS_AT_ONCE = 4 << 20
 
 _TAG = np.uint64(0xD6E8FEB86659FD93)
 
@@ -97,20 +99,24 @@ def part_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def bit_sketch(hashes: np.ndarray) -> bytes:
-    """Parity bits of the set, two to four for each shingle."""
-    bits = 64 << max(0, band_of(len(hashes)) - 4)
+    """Parity bits of the set, one to two for each shingle, 64 at least."""
+    bits = 64 << max(0, band_of(len(hashes)) - 5)
     odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(sketch: bytes, words: int) -> np.ndarray:
+    """A sketch of so many 64-bit words, from one as long or longer."""
+    bits = np.frombuffer(sketch, np.uint64)
+    while len(bits) > words:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
 def hamming(left: bytes, right: bytes) -> int:
     """The distance of two sketches, the longer one folded to the shorter."""
-    a, b = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-    while len(a) > len(b):
-        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
-    while len(b) > len(a):
-        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
-    return int(np.bitwise_count(a ^ b).sum())
+    words = min(len(left), len(right)) // 8
+    return int(np.bitwise_count(folded(left, words) ^ folded(right, words)).sum())
 
 
 def similar(shared: int, left: int, right: int) -> bool:
@@ -147,7 +153,7 @@ def members(documents: DataFrame) -> DataFrame:
 
 
 def shared_parts(documents: DataFrame) -> DataFrame:
-    """`key` and `node` for every part that at least two different sets have.
+    """`key`, `node` and `n`, the number of its sets, for every part of two sets or more.
 
     Part hashes travel as packed arrays, about 8 bytes each; equal sets of one batch
     are sent once.
@@ -176,7 +182,7 @@ def shared_parts(documents: DataFrame) -> DataFrame:
     packed = documents.select(F.col("text").cast("string")).mapInArrow(
         dealt, "part int, keys binary, owners binary, nodes binary"
     )
-    return packed.groupBy("part").applyInArrow(_shared, "key long, node long")
+    return packed.groupBy("part").applyInArrow(_shared, "key long, node long, n long")
 
 
 def _packed(nodes: np.ndarray, keys: np.ndarray, owners: np.ndarray, groups: int) -> pa.RecordBatch:
@@ -218,14 +224,16 @@ def _shared(table: pa.Table) -> pa.Table:
     # The group number makes a key of this group unique among all groups.
     part = table.column("part")[0].as_py()
     key = mix(key + np.uint64(part << 48)).astype(np.int64)
-    return pa.table({"key": key[held], "node": node[held]})
+    key, node = key[held], node[held]
+    _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+    return pa.table({"key": key, "node": node, "n": times[which].astype(np.int64)})
 
 
 def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (`a`, `b`) whose sizes and sketches allow the similarity, with row keys."""
-    columns = ("row_key", "size", "sketch")
+    """Pairs (`a`, `b`) whose sizes and sketches allow the similarity."""
     sides = [
-        sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in ("a", "b")
+        sets.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("size", "sketch")])
+        for s in ("a", "b")
     ]
     near = pairs.join(sides[0], "a").join(sides[1], "b")
     small, large = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
@@ -236,14 +244,57 @@ def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             names = ("a_size", "b_size", "a_sketch", "b_sketch")
             rows = zip(*(batch.column(n).to_pylist() for n in names), strict=True)
             kept = [hamming(p, q) * (100 + PERCENT) <= (100 - PERCENT) * (m + n) for m, n, p, q in rows]
-            names = ("a", "b", "a_row_key", "b_row_key")
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names], names).filter(pa.array(kept))
+            pair = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"])
+            yield pair.filter(pa.array(kept, pa.bool_()))
 
-    return near.mapInArrow(close, "a long, b long, a_row_key long, b_row_key long")
+    return near.mapInArrow(close, "a long, b long")
 
 
-def verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """The plausible pairs whose whole shingle sets are similar."""
+def plausible_apart(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """Plausible pairs of sets that share a part (`key`) and have different `root`s.
+
+    Sets of the largest component of a part are compared with the others of that part,
+    never with each other, and only pairs that pass the sketches leave a task.
+    """
+    groups = GROUPS_PER_PARTITION * int(apart.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = apart.join(sets.select("node", "size", "sketch"), "node")
+    rows = rows.withColumn("part", F.pmod("key", F.lit(groups)))
+    return rows.groupBy("part").applyInArrow(_apart, "a long, b long").distinct()
+
+
+def _apart(table: pa.Table) -> pa.Table:
+    key, node, root, size = (np.asarray(table.column(n)) for n in ("key", "node", "root", "size"))
+    sketches = table.column("sketch").to_pylist()
+    order = np.lexsort((root, key))
+    cuts = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+    found = [np.zeros((2, 0), np.int64)]
+    for low, high in zip(cuts, [*cuts[1:], len(order)], strict=True):
+        own = order[low:high]
+        kinds, times = np.unique(root[own], return_counts=True)
+        if len(kinds) < 2:
+            continue
+        words = min(len(sketches[i]) for i in own) // 8
+        bits = np.stack([folded(sketches[i], words) for i in own])
+        smaller = np.flatnonzero(root[own] != kinds[times.argmax()])
+        step = max(1, CELLS_AT_ONCE // (words * len(own)))
+        for at in range(0, len(smaller), step):
+            some = smaller[at : at + step]
+            distance = np.bitwise_count(bits[some][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+            left, right = size[own[some]][:, None], size[own][None, :]
+            near = (100 + PERCENT) * distance <= (100 - PERCENT) * (left + right)
+            near &= 100 * np.minimum(left, right) >= PERCENT * np.maximum(left, right)
+            near &= root[own[some]][:, None] != root[own][None, :]
+            i, j = np.nonzero(near)
+            found.append(np.stack([node[own[some[i]]], node[own[j]]]))
+    pairs = np.sort(np.concatenate(found, axis=1), axis=0)
+    pairs = np.unique(pairs, axis=1)
+    return pa.table({"a": pairs[0], "b": pairs[1]})
+
+
+def verified(pairs: DataFrame, sets: DataFrame, documents: DataFrame) -> DataFrame:
+    """The pairs whose whole shingle sets are similar."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("row_key").alias(f"{side}_row_key")), side)
     pairs = materialize(pairs, "pairs")
     needed = pairs.select(F.col("a_row_key").alias("row_key")).union(pairs.select("b_row_key")).distinct()
     texts = materialize(keyed(documents).select("row_key", "text").join(needed, "row_key", "left_semi"), "texts")
@@ -281,22 +332,18 @@ def links(documents: DataFrame, sets: DataFrame) -> DataFrame:
     compared with each other.
     """
     parts = materialize(shared_parts(documents), "parts")
-    shared = parts.join(parts.groupBy("key").agg(F.count("*").alias("n")), "key")
-    weights = materialize(shared.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+    weights = materialize(parts.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
     weighed = parts.join(weights, "node")
     leaders = weighed.groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("a"))
     counted = parts.withColumnRenamed("node", "b").join(leaders, "key").where("a <> b").groupBy("a", "b").count()
     best = counted.groupBy("b").agg(F.max_by("a", F.struct("count", F.negate("a"))).alias("a")).select("a", "b")
-    near = materialize(verified(plausible(best, sets), documents), "links")
+    near = materialize(verified(plausible(best, sets), sets, documents), "links")
 
     roots = components(near)
     named = parts.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     split = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    apart = materialize(named.join(split.where("low <> high").select("key"), "key", "left_semi"), "apart")
-    left = apart.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    right = apart.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-    rest = left.join(right, "key").where("a < b and a_root <> b_root").select("a", "b").distinct()
-    far = materialize(verified(plausible(rest, sets), documents), "links")
+    apart = named.join(split.where("low <> high").select("key"), "key", "left_semi")
+    far = materialize(verified(plausible_apart(apart, sets), sets, documents), "links")
     return near.union(far)
 
 
