@@ -15,7 +15,8 @@ through the whole prefix index. Words are cut, hashed and ordered in Arrow batch
 version with built-in expressions only cost too much, see the README); grouping and
 joins are Spark's.
 
-Words are compared by 64-bit hashes.
+Words are compared by hashes: of 64 bits when a pair is verified, of 40 bits inside a
+line, and of 32 bits in the index, where an accidental match only costs a comparison.
 
 Defined results: null or empty texts have no lines to remove and keep their value; an
 empty table gives an empty result; rows that repeat id and text are one document and get
@@ -26,7 +27,7 @@ so that they never clash with columns of the table.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -41,9 +42,11 @@ CELLS = 1 << 16
 # Narrow rows (one number each) that may be broadcast; more take a shuffled join.
 BROADCAST_ROWS = 1_000_000
 
-LINE_NAMES = ["line", "lines", "n", "parity", "low", "high"]
+LINE_NAMES = ["line", "lines", "n", "parity0", "parity1", "low", "high"]
 # Groups that index rows are dealt into, for each shuffle partition; pairs tried at once.
 GROUPS_PER_PARTITION, PAIRS_AT_ONCE = 4, 2_000_000
+PACKED = ["word", "place", "rank", "parity0", "parity1", "n"]
+WORD_BITS, WORD_MASK, INDEX_MASK = np.uint64(40), np.uint64((1 << 40) - 1), np.uint64((1 << 32) - 1)
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -57,7 +60,8 @@ def numbered(documents: DataFrame, name: str) -> DataFrame:
     """`documents` and a number `name` that follows the order of ids.
 
     Unique ids in a range of `DOCUMENTS` need no data to move: the number is the distance
-    from the smallest. Otherwise ids and content hashes are sorted and counted through.
+    from the smallest. Otherwise ids and content hashes are sorted and counted through;
+    rows that repeat id and text then share a number.
     """
     own = F.col("doc_id").cast("long")
     facts = documents.agg(F.min(own), F.max(own), F.count(own), F.count_distinct(own), F.count("*")).first()
@@ -90,19 +94,26 @@ def line_words(numbers: np.ndarray, texts) -> tuple[np.ndarray, np.ndarray, np.n
     line = (np.repeat(numbers, counts) << LINE_BITS) + at
     hashes = word_hashes(data, starts, ends)
     # Rows are apart even where they repeat a number.
-    part = np.cumsum(np.append(True, (line[1:] != line[:-1]))) if len(line) else line
-    order = np.lexsort((hashes, part))
-    part, line, hashes = part[order], line[order], hashes[order]
-    fresh = np.append(True, (part[1:] != part[:-1]) | (hashes[1:] != hashes[:-1]))[: len(part)]
-    part, line, hashes = part[fresh], line[fresh], hashes[fresh]
+    # One number for line and word, so that one plain sort orders and uncovers repeats.
+    fresh = np.append(True, line[1:] != line[:-1])[: len(line)]
+    part = np.cumsum(fresh).astype(np.uint64) - np.uint64(1)
+    packed = np.sort((part << WORD_BITS) | (hashes & WORD_MASK))
+    packed = packed[np.append(True, packed[1:] != packed[:-1])[: len(packed)]]
+    part = packed >> WORD_BITS
     first = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
-    return line[first], first, hashes
+    return line[fresh], first, packed & WORD_MASK
+
+
+def repeats(documents: DataFrame, number: str) -> bool:
+    """Whether rows share a number."""
+    counts = documents.agg(F.count(number), F.count_distinct(number)).first()
+    return counts[0] != counts[1]
 
 
 def lines_of(documents: DataFrame, number: str) -> DataFrame:
     """Per line with words: `line`, which orders all lines of the corpus, `lines` (hash of
-    its word set), size `n`, `parity` bits, and `low` and `high`, hashes of its two
-    smallest and largest words."""
+    its word set), size `n`, `parity0` and `parity1` bits, and `low` and `high`, hashes of
+    its two smallest and largest words."""
 
     def measured(batches):
         for batch in batches:
@@ -115,25 +126,19 @@ def lines_of(documents: DataFrame, number: str) -> DataFrame:
                 sets = mix(np.add.reduceat(mix(hashes), first) + sizes.astype(np.uint64))
                 low = mix(hashes[first] + mix(hashes[np.minimum(first + 1, last)]))
                 high = ~mix(hashes[last] + mix(hashes[np.maximum(last - 1, first)]))
-                columns = [line, sets.view(np.int64), sizes, parity(hashes, first), low.view(np.int64), high.view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], LINE_NAMES)
+                numbers = [sets.view(np.int64), sizes, *parity(hashes, first), low.view(np.int64), high.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (line, *numbers)], LINE_NAMES)
 
     source = documents.select(F.col(number).alias("number"), F.col("text").cast("string").alias("text"))
     return source.mapInArrow(measured, ", ".join(f"{name} long" for name in LINE_NAMES))
 
 
-def parity(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One bit for each of 64 hash slots: whether an odd number of words fell into it."""
+def parity(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """One bit for each of 128 hash slots: whether an odd number of words fell into it."""
     bits = np.uint64(1) << (hashes & np.uint64(63))
-    return np.bitwise_xor.reduceat(bits, first).view(np.int64)
-
-
-def fits(n: Column, m: Column, parity_n: Column, parity_m: Column) -> Column:
-    """Length filter and sketch filter."""
-    differing = F.bit_count(parity_n.bitwiseXOR(parity_m))
-    return (F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m)) & (
-        differing * F.lit(100 + PERCENT) <= F.lit(100 - PERCENT) * (n + m)
-    )
+    upper = (hashes & np.uint64(64)) > 0
+    halves = (np.where(upper, np.uint64(0), bits), np.where(upper, bits, np.uint64(0)))
+    return [np.bitwise_xor.reduceat(half, first).view(np.int64) for half in halves]
 
 
 def matching(pairs: DataFrame, documents: DataFrame, number: str) -> DataFrame:
@@ -142,8 +147,7 @@ def matching(pairs: DataFrame, documents: DataFrame, number: str) -> DataFrame:
     needed = materialize(pairs.select("line").union(pairs.select("other")).distinct(), "needed")
     cut = documents.select(F.col(number).alias("number"), F.posexplode(F.split("text", "\n")).alias("at", "content"))
     cut = cut.select((F.shiftleft("number", LINE_BITS) + F.col("at")).alias("line"), "content")
-    # Rows that repeat a document repeat its lines.
-    found = materialize(cut.join(few(needed), "line", "left_semi").dropDuplicates(["line"]), "contents")
+    found = materialize(cut.join(few(needed), "line", "left_semi"), "contents")
     other = found.select(F.col("line").alias("other"), F.col("content").alias("other_content"))
     both = pairs.join(found, "line").join(other, "other").select("line", "other", "content", "other_content")
 
@@ -169,10 +173,11 @@ def _sets(contents) -> list[np.ndarray]:
 
 def by_ends(firsts: DataFrame) -> DataFrame:
     """Candidates by equal smallest or largest words: the earliest such line."""
-    rows = firsts.where("n > 1").select(F.explode(F.array("low", "high")).alias("key"), "line", "n", "parity")
-    lead = F.min(F.struct("line", "n", "parity")).alias("lead")
+    rows = firsts.where("n > 1").select(F.explode(F.array("low", "high")).alias("key"), "line", "n")
+    lead = F.min(F.struct("line", "n")).alias("lead")
     led = rows.join(rows.groupBy("key").agg(lead), "key").where(F.col("lead.line") < F.col("line"))
-    led = led.where(fits(F.col("n"), F.col("lead.n"), F.col("parity"), F.col("lead.parity")))
+    n, m = F.col("n"), F.col("lead.n")
+    led = led.where(F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m))
     return led.groupBy("line").agg(F.min("lead.line").alias("other"))
 
 
@@ -202,27 +207,30 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
 def prefix_index(documents: DataFrame, number: str, cells: np.ndarray) -> DataFrame:
     """Per line of at least three words, `line` and its rarest words as an array `rarest`.
 
-    Sets of one or two words match equal sets only.
+    Words are ordered by the logarithm of their cell's count, in 1024 steps, then by
+    hash. Sets of one or two words match equal sets only.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(cells)
+    steps = np.minimum(1023, 32 * np.log2(np.maximum(cells, 1))).astype(np.uint64)
+    shared = documents.sparkSession.sparkContext.broadcast(steps)
 
     def ordered(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 line, first, hashes = line_words(np.asarray(part.column(0)), part.column(1))
                 sizes = np.diff(np.append(first, len(hashes)))
-                owner = np.repeat(np.arange(len(line)), sizes)
-                order = np.lexsort((hashes, shared.value[_cell(hashes)], owner))
+                owner = np.repeat(np.arange(len(line), dtype=np.uint64), sizes)
+                rarity = shared.value[_cell(hashes)]
+                packed = np.sort((owner << np.uint64(42)) | (rarity << np.uint64(32)) | (hashes & INDEX_MASK))
                 place = np.arange(len(hashes)) - np.repeat(first, sizes)
                 prefix = np.where(sizes > 2, sizes - -(-PERCENT * sizes // 100) + 1, 0)
                 kept = place < np.repeat(prefix, sizes)
-                words = pa.array(hashes[order][kept].view(np.int64))
+                words = pa.array((packed[kept] & INDEX_MASK).astype(np.uint32).view(np.int32))
                 bounds = np.append(0, np.cumsum(prefix)).astype(np.int32)
                 rarest = pa.ListArray.from_arrays(pa.array(bounds), words)
                 yield pa.RecordBatch.from_arrays([pa.array(line), rarest], ["line", "rarest"])
 
     source = documents.select(F.col(number).alias("number"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(ordered, "line long, rarest array<long>")
+    return source.mapInArrow(ordered, "line long, rarest array<int>")
 
 
 def dealt(index: DataFrame, groups: int) -> DataFrame:
@@ -233,22 +241,21 @@ def dealt(index: DataFrame, groups: int) -> DataFrame:
             sizes = np.diff(np.asarray(batch.column("rarest").offsets))
             if not sizes.sum():
                 continue
-            word = np.asarray(batch.column("rarest").flatten()).view(np.uint64)
+            word = np.asarray(batch.column("rarest").flatten()).view(np.uint32)
             rows = np.repeat(np.arange(batch.num_rows), sizes)
-            place = (np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype("<u4")
-            columns = {n: np.asarray(batch.column(n)).astype(np.int64)[rows] for n in ("rank", "parity")}
-            n = np.asarray(batch.column("n")).astype("<u4")[rows]
-            group = (word % np.uint64(groups)).astype(np.int32)
+            place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            group = (mix(word.astype(np.uint64)) % np.uint64(groups)).astype(np.int32)
             order = np.argsort(group, kind="stable")
             cuts = np.flatnonzero(np.append(True, np.diff(group[order]) != 0))
+            columns = [word, place.astype("<u4")]
+            columns += [np.asarray(batch.column(n)).astype("<i8")[rows] for n in ("rank", "parity0", "parity1")]
+            columns.append(np.asarray(batch.column("n")).astype("<u4")[rows])
             parts = [order[low:high] for low, high in zip(cuts, [*cuts[1:], len(order)], strict=True)]
             arrays = [pa.array([int(group[p[0]]) for p in parts], pa.int32())]
-            for values in (word, place, columns["rank"], n, columns["parity"]):
-                arrays.append(pa.array([values[p].tobytes() for p in parts], pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, ["part", "word", "place", "rank", "n", "parity"])
+            arrays += [pa.array([values[p].tobytes() for p in parts], pa.binary()) for values in columns]
+            yield pa.RecordBatch.from_arrays(arrays, ["part", *PACKED])
 
-    kinds = "part int, word binary, place binary, rank binary, n binary, parity binary"
-    return index.mapInArrow(packed, kinds)
+    return index.mapInArrow(packed, ", ".join(["part int", *(f"{name} binary" for name in PACKED)]))
 
 
 def _near(table: pa.Table) -> pa.Table:
@@ -257,8 +264,9 @@ def _near(table: pa.Table) -> pa.Table:
     def joined(name, kind):
         return np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
 
-    word, rank, bits = joined("word", np.uint64), joined("rank", np.int64), joined("parity", np.uint64)
+    word, rank = joined("word", "<u4"), joined("rank", "<i8")
     place, n = joined("place", "<u4").astype(np.int64), joined("n", "<u4").astype(np.int64)
+    bits = np.stack([joined(name, "<u8") for name in ("parity0", "parity1")], axis=1)
     order = np.lexsort((n, word))
     word, rank, bits, place, n = (x[order] for x in (word, rank, bits, place, n))
     line = np.where(rank < 0, -rank - 1, rank)
@@ -281,7 +289,8 @@ def _near(table: pa.Table) -> pa.Table:
         kept = line[b] < line[a]
         a, b = a[kept], b[kept]
         both = n[a] + n[b]
-        kept = (100 + PERCENT) * np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64) <= (100 - PERCENT) * both
+        differing = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+        kept = (100 + PERCENT) * differing <= (100 - PERCENT) * both
         a, b, both = a[kept], b[kept], both[kept]
         # Words before the shared one can agree in the shorter part, words behind it too.
         most = np.minimum(place[a], place[b]) + np.minimum(n[a] - place[a], n[b] - place[b])
@@ -297,9 +306,9 @@ def by_prefix(documents: DataFrame, number: str, firsts: DataFrame, settled: Dat
     known = settled.select("line", F.lit(True).alias("closed"))
     # A closed line is only an earlier line for others: its number is passed on negative.
     rank = F.when(F.col("closed"), -F.col("line") - 1).otherwise(F.col("line"))
-    own = firsts.join(few(known), "line", "left").select("line", rank.alias("rank"), "n", "parity")
+    own = firsts.join(few(known), "line", "left").select("line", rank.alias("rank"), "n", "parity0", "parity1")
     index = prefix_index(documents, number, word_cells(documents))
-    rows = index.join(own, "line").select("rank", "n", "parity", "rarest")
+    rows = index.join(own, "line").select("rank", "n", "parity0", "parity1", "rarest")
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = dealt(rows, groups).groupBy("part").applyInArrow(_near, "line long, other long")
     return pairs.distinct()
@@ -311,8 +320,7 @@ def removed_lines(documents: DataFrame, number: str) -> DataFrame:
     earliest = lines.groupBy("lines").agg(F.min("line").alias("first"))
     again = lines.select("line", "lines").join(earliest, "lines").where("line <> first")
     again = materialize(again.select("line"), "repeated")
-    firsts = lines.join(few(again), "line", "left_anti").dropDuplicates(["line"])
-    firsts = materialize(firsts.drop("lines"), "firsts")
+    firsts = lines.join(few(again), "line", "left_anti")
     settled = materialize(matching(by_ends(firsts), documents, number).select("line").distinct(), "settled")
     late = matching(by_prefix(documents, number, firsts, settled), documents, number).select("line").distinct()
     return again.union(settled).union(materialize(late, "late")).distinct()
@@ -326,7 +334,10 @@ def _free(documents: DataFrame, name: str) -> str:
 
 def removals(documents: DataFrame, number: str) -> DataFrame:
     """`number` and the sorted line numbers to remove, for documents that lose lines."""
-    gone = removed_lines(documents, number)
+    one = documents.select(number, "text")
+    if repeats(documents, number):
+        one = materialize(one.dropDuplicates([number]), "documents")
+    gone = removed_lines(one, number)
     at = F.col("line").bitwiseAND(F.lit((1 << LINE_BITS) - 1)).cast("int")
     grouped = gone.groupBy(F.shiftright("line", LINE_BITS).alias(number)).agg(F.collect_list(at).alias("gone"))
     return grouped.select(number, F.array_sort("gone").alias(f"{number}_gone"))
