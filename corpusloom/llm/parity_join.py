@@ -99,8 +99,8 @@ def part_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def bit_sketch(hashes: np.ndarray) -> bytes:
-    """Parity bits of the set, one to two for each shingle, 64 at least."""
-    bits = 64 << max(0, band_of(len(hashes)) - 5)
+    """Parity bits of the set, four to eight for each shingle, 256 at least."""
+    bits = 256 << max(0, band_of(len(hashes)) - 5)
     odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
