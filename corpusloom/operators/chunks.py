@@ -7,7 +7,7 @@ The plan, the manifest and the summary hold one row per chunk.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.numeric import chunks_of, ratio
+from corpusloom.functions.numeric import ratio
 from corpusloom.functions.text import chunk_path
 from corpusloom.sources.scan import ORDINAL
 from corpusloom.sources.tables import write_table
@@ -26,23 +26,23 @@ def assign_chunks(df: DataFrame, size: int) -> DataFrame:
 def chunk_plan(
     totals: DataFrame, size: int, dataset: str, config: str, key: str, batch_size: int = 500
 ) -> DataFrame:
-    """All chunks of a corpus from its row count (a frame with column `total`)."""
+    """All chunks of a corpus from its row count (a frame with column `total`).
+
+    The total is one number; the chunks are a range of numbers spread over tasks.
+    """
+    total = totals.agg(F.max("total")).first()[0] or 0
     start = F.col("chunk_index") * F.lit(size).cast("long")
-    indexes = totals.filter("total > 0").select(
-        F.col("total").cast("long").alias("total"),
-        F.explode(F.sequence(F.lit(0).cast("long"), chunks_of(F.col("total"), size) - 1)).alias(
-            "chunk_index"
-        ),
-    )
+    end = F.least(start + size, F.lit(total).cast("long"))
+    indexes = totals.sparkSession.range(-(-total // size)).withColumnRenamed("id", "chunk_index")
     return indexes.select(
         F.lit(key).alias("dataset_key"),
         "chunk_index",
         start.alias("start_idx"),
-        F.least(start + size, F.col("total")).alias("end_idx"),
+        end.alias("end_idx"),
         F.lit(dataset).alias("dataset_name"),
         F.lit(config).alias("config_name"),
         F.lit(batch_size).cast("long").alias("batch_size"),
-        (F.least(start + size, F.col("total")) - start).alias("expected_size"),
+        (end - start).alias("expected_size"),
     )
 
 
@@ -127,14 +127,23 @@ def stored_counts(chunks: DataFrame) -> DataFrame:
 
 
 def chunk_manifest(
-    plan: DataFrame, written: DataFrame, source: DataFrame | None = None, max_chunks=None
+    plan: DataFrame,
+    written: DataFrame,
+    source: DataFrame | None = None,
+    max_chunks=None,
+    root: str | None = None,
+    min_records: int = 1,
 ) -> DataFrame:
     """One status record per planned chunk.
 
-    `written` holds records per stored chunk. `source` may hold the records
-    each chunk should have had: a chunk with source rows but fewer written ones
-    is `write_failed`. Chunks beyond `max_chunks` are `skipped`.
+    `written` holds records per stored chunk, and may hold `null_texts`. `source` may
+    hold the records each chunk should have had: a chunk with source rows but another
+    number of written ones is `write_failed`, and one with fewer than `min_records` is
+    `failed`; `error` says why. Chunks beyond `max_chunks` are `skipped`. With `root`,
+    the folder of the chunk table, `parquet_path` is where the chunk lies.
     """
+    if "null_texts" not in written.columns:
+        written = written.withColumn("null_texts", F.lit(0).cast("long"))
     joined = plan.join(written, list(CHUNK_KEYS), "left")
     if source is not None:
         expected = source.select(*CHUNK_KEYS, F.col("records").alias("_source"))
@@ -146,11 +155,18 @@ def chunk_manifest(
     skipped = F.lit(False) if max_chunks is None else F.col("chunk_index") >= max_chunks
     status = (
         F.when(skipped, "skipped")
-        .when(actual < wanted, "write_failed")
+        .when(actual != wanted, "write_failed")
         .when(actual == 0, "no_data")
+        .when(actual < min_records, "failed")
         .otherwise("success")
     )
+    counts = F.concat(F.lit("stored "), actual.cast("string"), F.lit(" of "), wanted.cast("string"), F.lit(" records"))
+    few = F.concat(F.lit("fewer than "), F.lit(min_records).cast("string"), F.lit(" records"))
+    error = F.when(status == "write_failed", counts).when(status == "failed", few)
     located = with_chunk_path(joined)
+    if root is not None:
+        folder = [F.lit(f"{root}/dataset_key="), "dataset_key", F.lit("/chunk_index="), F.col("chunk_index").cast("string")]
+        located = located.withColumn("parquet_path", F.concat(*folder))
     return located.select(
         "dataset_key",
         "chunk_index",
@@ -160,29 +176,36 @@ def chunk_manifest(
         status.alias("status"),
         actual.alias("records"),
         F.when(status == "success", F.col("parquet_path")).alias("parquet_path"),
-        F.lit(None).cast("string").alias("error"),
+        error.alias("error"),
+        F.coalesce(F.col("null_texts") * 2 > actual, F.lit(False)).alias("warn_null_text"),
     )
 
 
+FAILED = ("failed", "error", "write_failed")
+
+
+def failed_chunks(manifest: DataFrame) -> DataFrame:
+    """The chunks that failed, each with its dataset and the reason."""
+    return manifest.filter(F.col("status").isin(*FAILED)).select("dataset_key", "chunk_index", "status", "error")
+
+
 def run_summary(manifest: DataFrame) -> DataFrame:
-    """Chunk counts by status, records, mean fill of successful chunks and the
-    failed chunk numbers, per dataset and overall (dataset_key 'TOTAL').
+    """Chunk counts by status, records and mean fill of successful chunks, per dataset
+    and overall (dataset_key 'TOTAL').
 
     The total comes from the same pass: every manifest row counts once for its
     dataset and once for the total.
     """
     success = F.col("status") == "success"
-    failed = F.col("status").isin("failed", "error")
     both = manifest.withColumn("_key", F.explode(F.array("dataset_key", F.lit("TOTAL"))))
     return both.groupBy(F.col("_key").alias("dataset_key")).agg(
         F.count(F.lit(1)).alias("total_chunks"),
         F.count_if(success).alias("successful"),
-        F.count_if(failed).alias("failed"),
+        F.count_if(F.col("status").isin(*FAILED)).alias("failed"),
         F.count_if(F.col("status") == "skipped").alias("skipped"),
         F.count_if(F.col("status") == "no_data").alias("no_data"),
         F.coalesce(F.sum(F.when(success, F.col("records"))), F.lit(0)).alias("total_records"),
         F.coalesce(
             F.avg(F.when(success, ratio("records", "expected_size"))), F.lit(0.0)
         ).alias("average_efficiency"),
-        F.sort_array(F.collect_list(F.when(failed, F.col("chunk_index")))).alias("failed_chunks"),
     )

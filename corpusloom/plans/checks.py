@@ -73,11 +73,12 @@ def accepted_rules(model: str, accepted: dict) -> list:
 
 
 def range_rules(model: str, ranges: dict) -> list:
+    """One rule per column; a range without an upper end is open there."""
     return [
         Rule(
             f"accepted_range_{model}_{c}",
-            ~F.col(c).between(low, high),
-            f"{c} must be between {low} and {high}",
+            F.col(c) < low if high is None else ~F.col(c).between(low, high),
+            f"{c} must be at least {low}" if high is None else f"{c} must be between {low} and {high}",
         )
         for c, (low, high) in ranges.items()
     ]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusloom import values as V
 from corpusloom.functions import rules as R
 from corpusloom.functions.numeric import percent, ratio, round_to
+from corpusloom.functions.text import digest
 from corpusloom.operators.aggregates import FREQ, exact_medians
 from corpusloom.sources.workdir import materialize
 
@@ -196,10 +197,10 @@ def dataset_quality_summary(quality: DataFrame, run_ts: str) -> DataFrame:
     ).orderBy(F.when(F.col("dataset_name") == TOTAL, 1).otherwise(0), "dataset_name")
 
 
-def content_start():
-    """The first fifty characters, which stand for a text when counting how
-    many different ones a group holds."""
-    return F.left("content_text", F.lit(50))
+def content_start(prefix: int | None = None):
+    """What stands for a text when counting how many different ones a group holds: the
+    digest of the whole text, or its first `prefix` characters."""
+    return digest("content_text") if prefix is None else F.left("content_text", F.lit(prefix))
 
 
 def _content_group(df: DataFrame, source, keys, group, length, floor, unique) -> DataFrame:

@@ -17,7 +17,11 @@ from corpusloom.plans import checks, marts, quality, staging
 from corpusloom.sources import fields as S
 from corpusloom.sources import scan
 from corpusloom.sources.tables import read_table, write_table
-from corpusloom.sources.workdir import path_exists
+from corpusloom.sources.workdir import materialize, path_exists
+
+
+CHUNK_FIELD = T.StructField("_meta_chunk_index", T.LongType(), True)
+ROW_FIELD = T.StructField("_meta_row_index", T.LongType(), True)
 
 
 @dataclass(frozen=True)
@@ -53,7 +57,7 @@ def numbered(corpus: Corpus) -> DataFrame:
     return scan.scan_with_ordinal(scan.project_fields(corpus.frame, corpus.mapping))
 
 
-def chunked(corpus: Corpus, size: int, max_chunks=None, cap=None) -> DataFrame:
+def chunked(corpus: Corpus, size: int, max_chunks=None, cap=None, total=None) -> DataFrame:
     """Rows with chunk columns and metadata, limited as asked. A source without
     a text column has no valid chunk and gives no rows."""
     rows = C.assign_chunks(numbered(corpus), size)
@@ -63,34 +67,75 @@ def chunked(corpus: Corpus, size: int, max_chunks=None, cap=None) -> DataFrame:
         rows = C.limit_chunks(rows, max_chunks)
     if cap is not None:
         rows = C.cap_rows(rows, cap)
-    stamped = C.stamp_metadata(rows, corpus.dataset, corpus.config, size)
+    stamped = C.stamp_metadata(rows, corpus.dataset, corpus.config, size, total)
+    stamped = stamped.withColumn(ROW_FIELD.name, F.col(scan.ORDINAL))
     return stamped.withColumn("dataset_key", F.lit(corpus.key)).drop("start_idx", scan.ORDINAL)
 
 
-# Stored chunk keys are broadcast up to this many (a few megabytes).
-MAX_BROADCAST_CHUNKS = 100_000
+def source_counts(corpus: Corpus, size: int, cap=None) -> DataFrame:
+    """Per chunk, the rows of the source that it should store and the last ordinal.
+
+    Reads row positions only (and what a filter on the source reads).
+    """
+    rows = C.assign_chunks(scan.scan_with_ordinal(corpus.frame), size)
+    kept = F.lit(True) if cap is None else F.col(scan.ORDINAL) - F.col("start_idx") < cap
+    return rows.groupBy("chunk_index").agg(
+        F.count_if(kept).alias("records"), F.max(scan.ORDINAL).alias("last")
+    ).withColumn("dataset_key", F.lit(corpus.key))
+
+
+def complete_chunks(stored: DataFrame, plan: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Keys of stored chunks with the planned bounds and all of their records."""
+    ends = [F.min("_meta_start_idx"), F.max("_meta_start_idx"), F.min("_meta_end_idx"), F.max("_meta_end_idx")]
+    names = ("low_start", "high_start", "low_end", "high_end")
+    found = stored.groupBy(*C.CHUNK_KEYS).agg(
+        F.count(F.lit(1)).alias("have"), *[e.alias(n) for e, n in zip(ends, names, strict=True)]
+    )
+    planned = plan.join(wanted.select(*C.CHUNK_KEYS, "records"), list(C.CHUNK_KEYS))
+    same = (F.col("have") == F.col("records")) & (F.col("low_start") == F.col("high_start"))
+    same &= (F.col("low_start") == F.col("start_idx")) & (F.col("low_end") == F.col("high_end"))
+    same &= F.col("low_end") == F.col("end_idx")
+    return found.join(planned, list(C.CHUNK_KEYS)).filter(same).select(*C.CHUNK_KEYS)
+
+
+def chunk_root(base: str, corpus: Corpus) -> str:
+    return f"{base}/chunks/{corpus.key}"
 
 
 def store_chunks(
-    corpus: Corpus, base: str, size: int, max_chunks=None, cap=None, resume: bool = False
+    corpus: Corpus,
+    base: str,
+    size: int,
+    max_chunks=None,
+    cap=None,
+    resume: bool = False,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Write the chunks of a corpus in one pass over it and read them back.
 
-    `resume` writes only chunks that are not stored yet.
+    `resume` keeps stored chunks that have the planned bounds and all records, and
+    writes all others again.
     """
     spark = corpus.frame.sparkSession
-    rows = chunked(corpus, size, max_chunks, cap)
-    path = f"{base}/chunks/{corpus.key}"
+    counts = materialize(source_counts(corpus, size, cap), "counts") if counts is None else counts
+    total = last_ordinal(counts)
+    rows = chunked(corpus, size, max_chunks, cap, total.first()["total"])
+    path = chunk_root(base, corpus)
     pending = rows
     if resume and path_exists(spark, path):
-        done = read_table(spark, path, rows.schema).select(*C.CHUNK_KEYS).distinct()
-        if done.limit(MAX_BROADCAST_CHUNKS + 1).count() <= MAX_BROADCAST_CHUNKS:
-            done = F.broadcast(done)
+        plan = C.chunk_plan(total, size, corpus.dataset, corpus.config, corpus.key)
+        done = complete_chunks(read_table(spark, path, rows.schema), plan, counts)
+        # Written first: the chunks it is read from are about to be replaced.
+        done = materialize(done, "done")
         pending = rows.join(done, list(C.CHUNK_KEYS), "left_anti").select(*rows.columns)
     C.write_chunks(pending, path)
     return read_table(spark, path, rows.schema)
 
 
+def last_ordinal(counts: DataFrame) -> DataFrame:
+    return counts.agg((F.coalesce(F.max("last"), F.lit(-1)) + 1).alias("total"))
+
+
 def ingest(
     corpus: Corpus,
     base: str,
@@ -99,20 +144,25 @@ def ingest(
     cap=None,
     batch_size: int = 500,
     resume: bool = False,
+    min_records: int = 1,
 ):
     """Write the chunks of a corpus and return (stored chunks, manifest).
 
-    The manifest compares row counts taken from footers; it does not read texts
-    again.
+    Every chunk is validated: the stored number of rows must be that of the source,
+    at least `min_records`, and chunks with mostly NULL texts are marked. Row counts come
+    from footers; only row groups that hold NULL texts are looked into.
     """
-    stored = store_chunks(corpus, base, size, max_chunks, cap, resume)
-    plan = C.chunk_plan(
-        C.row_total(corpus.frame), size, corpus.dataset, corpus.config, corpus.key, batch_size
-    )
-    wanted = expected_records(plan, max_chunks, cap)
-    if "text" not in stored.columns:
+    counts = materialize(source_counts(corpus, size, cap), "counts")
+    stored = store_chunks(corpus, base, size, max_chunks, cap, resume, counts)
+    plan = C.chunk_plan(last_ordinal(counts), size, corpus.dataset, corpus.config, corpus.key, batch_size)
+    wanted = counts if max_chunks is None else C.limit_chunks(counts, max_chunks)
+    written = C.stored_counts(stored)
+    if "text" in stored.columns:
+        nulls = stored.filter("text IS NULL").groupBy(*C.CHUNK_KEYS).agg(F.count(F.lit(1)).alias("null_texts"))
+        written = written.join(nulls, list(C.CHUNK_KEYS), "left")
+    else:
         wanted = wanted.filter(F.lit(False))
-    manifest = C.chunk_manifest(plan, C.stored_counts(stored), wanted, max_chunks)
+    manifest = C.chunk_manifest(plan, written, wanted, max_chunks, chunk_root(base, corpus), min_records)
     path = f"{base}/manifest/{corpus.key}"
     manifest.write.mode("overwrite").parquet(path)
     return stored, read_table(stored.sparkSession, path, manifest.schema)
@@ -135,14 +185,6 @@ def direct_load(corpus: Corpus, run_ts: str, limit: int | None = None) -> DataFr
     return align(stamped, corpus.schema)
 
 
-def expected_records(plan: DataFrame, max_chunks=None, cap=None) -> DataFrame:
-    """Records every planned chunk should store after the chunk limit and cap."""
-    size = F.col("expected_size")
-    size = size if cap is None else F.least(size, F.lit(cap).cast("long"))
-    kept = plan if max_chunks is None else C.limit_chunks(plan, max_chunks)
-    return kept.select("dataset_key", "chunk_index", size.alias("records"))
-
-
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The frame in the shape of a schema; absent columns become typed NULLs."""
     return df.select(
@@ -178,9 +220,6 @@ def load_or_fallback(raw: DataFrame, corpus: Corpus, run_ts: str) -> DataFrame:
     return scan.with_fallback(raw, row)
 
 
-CHUNK_FIELD = T.StructField("_meta_chunk_index", T.LongType(), True)
-
-
 def web_facts(web: DataFrame, script: str = "narrow") -> DataFrame:
     """Staged web rows with their measures, without long texts.
 
@@ -225,18 +264,17 @@ def run_corpora(
     batch_id: str = "unknown",
     mode: str = V.DEFAULT_PRESET,
     script: str = "narrow",
-    full: bool = False,
+    max_chunks: int | None = None,
+    cap: int | None = None,
     resume: bool = False,
 ) -> dict:
     """Run everything below `base` and return the resulting tables by name.
 
-    `mode` picks chunk sizes and limits; `full=True` lifts the chunk limit and
-    the row cap, so that the whole corpora are processed. `resume=True` keeps
-    the chunks that an earlier run stored.
+    `mode` picks chunk sizes. All rows are processed unless `max_chunks` or `cap` limit
+    the chunks per corpus or the rows per chunk. `resume=True` keeps the complete chunks
+    that an earlier run stored. A run with failed chunks stops before anything is loaded.
     """
     settings = V.preset(mode)
-    max_chunks = None if full else settings["max_chunks"]
-    cap = None if full else V.row_cap(settings)
     out = {}
 
     def table(name: str, df: DataFrame) -> DataFrame:
@@ -251,13 +289,16 @@ def run_corpora(
             corpus, base, settings[size], max_chunks, cap, settings["batch_size"], resume
         )
         manifests.append(manifest)
-        loaded = load_raw(stored, manifest, corpus.schema, run_ts, [CHUNK_FIELD])
+        failed = C.failed_chunks(manifest).first()
+        if failed is not None:
+            raise RuntimeError(f"chunk {failed['chunk_index']} of {corpus.key}: {failed['error']}")
+        loaded = load_raw(stored, manifest, corpus.schema, run_ts, [CHUNK_FIELD, ROW_FIELD])
         raw[corpus.key] = load_or_fallback(loaded, corpus, run_ts)
     manifest = table("chunk_manifest", manifests[0].unionByName(manifests[1]))
     table("run_summary", C.run_summary(manifest))
 
     keep = (CHUNK_FIELD.name,)
-    stg_web = table("stg_web", staging.stg_web(raw[web.key], batch_id, run_ts, script, keep=keep))
+    stg_web = table("stg_web", staging.stg_web(raw[web.key], batch_id, run_ts, script, (ROW_FIELD.name,), keep))
     stg_articles = table(
         "stg_articles", staging.stg_articles(raw[articles.key], batch_id, run_ts, script, keep=keep)
     )

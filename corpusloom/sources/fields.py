@@ -139,7 +139,7 @@ RANGES = {
         "quality_score": (0, 100),
     },
     "dataset_quality_summary": {
-        "total_records": (0, 1_000_000_000),
+        "total_records": (0, None),
         "high_quality_pct": (0.0, 100.0),
         "medium_quality_pct": (0.0, 100.0),
         "low_quality_pct": (0.0, 100.0),
@@ -149,7 +149,7 @@ RANGES = {
         "avg_quality_score": (0.0, 100.0),
     },
     "content_summary": {
-        "total_records": (0, 1_000_000_000),
+        "total_records": (0, None),
         "avg_content_length": (0, 100_000),
     },
 }

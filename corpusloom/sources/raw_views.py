@@ -20,8 +20,9 @@ FILL_EVERY = {"fr": 2, "de": 6}
 EPOCH = "2024-01-01"
 CHUNK_ROWS = 300
 
-# Long documents are repeated to pass the limit for too long texts.
-LONG_FROM, LONG_TIMES = 8_500, 6
+# Every so many-th document, by its number, is repeated to pass the limit for too long
+# texts.
+LONG_EVERY, LONG_TIMES = 97, 60
 
 
 def _seconds(key: str, hours: int = 0):
@@ -62,7 +63,7 @@ def _web_columns(text, url, stamp, key):
 
 def web_from_documents(documents: DataFrame) -> DataFrame:
     """Documents as web texts without an address."""
-    times = F.when(F.col("n_chars") >= LONG_FROM, LONG_TIMES).otherwise(1)
+    times = F.when(F.col("doc_id") % LONG_EVERY == 0, LONG_TIMES).otherwise(1)
     body = F.repeat(F.col("text"), times)
     text = _script_text(body, F.col("lang"), F.col("source"), F.col("n_chars"))
     return documents.select(

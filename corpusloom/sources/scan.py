@@ -5,22 +5,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import preview
-from corpusloom.sources.workdir import fresh_dir
+from corpusloom.sources.workdir import fresh_dir, materialize
 from corpusloom.values import CORPUS_FIELDS
 
 FILE, ROW, ORDINAL = "_file", "_row", "_ordinal"
 
-# The file list is one row per input file. Up to this many it is broadcast
-# (about 200 bytes a row, so at most 20 MB); beyond, the join shuffles on file.
-MAX_BROADCAST_FILES = 100_000
-
-# Part file names carry five digits, so their name order is their number order.
-MAX_PART_FILES = 99_999
-
-# A slice that spans more files than this is cut from the full numbering.
-MAX_LITERAL_FILES = 500
-
-
 def read_source(spark: SparkSession, location: str, fmt: str = "parquet", schema=None) -> DataFrame:
     """A path in any installed format, or a catalog table with fmt='table'."""
     if fmt == "table":
@@ -52,29 +41,41 @@ def with_position(df: DataFrame) -> DataFrame:
     )
 
 
+def file_order(file: str = FILE):
+    """Files sort by folder, then by part number where the name has one, then by name,
+    so `part-100000` follows `part-99999`."""
+    path = F.col(file)
+    number = F.coalesce(F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1).try_cast("long"), F.lit(-1))
+    return F.struct(F.regexp_extract(path, "^(.*/)", 1).alias("folder"), number.alias("number"), path.alias("path"))
+
+
 def file_offsets(positions: DataFrame) -> DataFrame:
-    """First ordinal of every file: running total of row counts in path order.
+    """First ordinal of every file: running total of file lengths in file order.
 
-    Counting reads footers only. The window runs over one row per file, a list
-    that the driver's file index holds anyway, never over data rows.
+    A file is as long as its last row that is left says, so rows of a filtered scan keep
+    their places and never overlap. Files are summed per range of paths first; only one
+    row per range meets in the last window.
     """
-    counts = positions.groupBy(FILE).agg(F.count(F.lit(1)).alias("_rows"))
-    before = W.orderBy(FILE).rowsBetween(W.unboundedPreceding, -1)
-    return counts.select(
-        FILE, "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first")
-    )
+    lengths = positions.groupBy(FILE).agg((F.max(ROW) + 1).alias("_rows"))
+    ranged = lengths.withColumn("_order", file_order()).repartitionByRange("_order")
+    ranged = materialize(ranged.withColumn("_range", F.spark_partition_id()).drop("_order"), "files")
+    sums = ranged.groupBy("_range").agg(F.sum("_rows").alias("_sum"))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = W.partitionBy("_range").orderBy(file_order()).rowsBetween(W.unboundedPreceding, -1)
+    placed = ranged.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
+    return placed.join(starts, "_range").select(FILE, "_rows", (F.col("_start") + F.col("_inside")).alias("_first"))
 
 
 def scan_with_ordinal(df: DataFrame) -> DataFrame:
     """Number the rows of a Parquet scan 0, 1, 2, ... in file order.
 
-    Ordinal = rows in earlier files + row number in this file. No data row is
-    shuffled or sorted, and a lost task recomputes the same numbers.
+    Ordinal = rows in earlier files + row number in this file. No data row is sorted,
+    a lost task recomputes the same numbers, and a filtered scan has gaps where rows are
+    missing. How the short list of files is joined is left to the planner.
     """
     positions = with_position(df)
     offsets = file_offsets(positions).select(FILE, "_first")
-    if len(df.inputFiles()) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
     return (
         positions.join(offsets, FILE)
         .withColumn(ORDINAL, F.col("_first") + F.col(ROW))
@@ -90,8 +91,6 @@ def order_by_key(df: DataFrame, *keys, partitions: int | None = None) -> DataFra
     numbering to be repeatable.
     """
     spark = df.sparkSession
-    if (partitions or 0) > MAX_PART_FILES:
-        raise ValueError(f"part files sort by name only up to {MAX_PART_FILES}")
     columns = [F.col(k) if isinstance(k, str) else k for k in keys]
     ranged = (
         df.repartitionByRange(partitions, *columns)
@@ -106,25 +105,22 @@ def order_by_key(df: DataFrame, *keys, partitions: int | None = None) -> DataFra
 def range_slice(df: DataFrame, start: int, size: int) -> DataFrame:
     """Rows [start, start + size) of a Parquet scan in file order.
 
-    Only files that overlap the slice are opened (the filter on the file path
-    prunes the listing); a start beyond the end gives no rows.
+    The files that overlap the slice lie side by side in file order, so two literals
+    bound them and prune the listing; a start beyond the end gives no rows.
     """
+    positions = with_position(df)
+    offsets = materialize(file_offsets(positions), "offsets")
     overlap = (F.col("_first") < start + size) & (F.col("_first") + F.col("_rows") > start)
-    hits = file_offsets(with_position(df)).filter(overlap).limit(MAX_LITERAL_FILES + 1).collect()
-    inside = (F.col(ORDINAL) >= start) & (F.col(ORDINAL) < start + size)
-    if len(hits) > MAX_LITERAL_FILES:
-        return scan_with_ordinal(df).filter(inside)
-    first = {row[FILE]: row["_first"] for row in hits}
-    if not first:
+    ends = offsets.filter(overlap).agg(F.min(file_order()).alias("low"), F.max(file_order()).alias("high")).first()
+    if ends["low"] is None:
         return df.limit(0).withColumn(ORDINAL, F.lit(None).cast("long"))
-    offset = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
-    return (
-        with_position(df)
-        .filter(F.col(FILE).isin(list(first)))
-        .withColumn(ORDINAL, F.element_at(offset, F.col(FILE)) + F.col(ROW))
-        .filter(inside)
-        .drop(FILE, ROW)
-    )
+    kinds = {"folder": "string", "number": "long", "path": "string"}
+    low, high = (F.struct(*[F.lit(ends[e][k]).cast(t).alias(k) for k, t in kinds.items()]) for e in ("low", "high"))
+    rows = positions.filter((file_order() >= low) & (file_order() <= high))
+    inside = (F.col(ORDINAL) >= start) & (F.col(ORDINAL) < start + size)
+    first = offsets.filter(overlap).select(FILE, "_first")
+    numbered = rows.join(first, FILE).withColumn(ORDINAL, F.col("_first") + F.col(ROW))
+    return numbered.filter(inside).drop(FILE, ROW, "_first")
 
 
 def field_defaults(df: DataFrame, defaults: dict) -> DataFrame:

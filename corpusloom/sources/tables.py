@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.dedup import latest_rows
-from corpusloom.sources.workdir import fresh_dir, path_exists
+from corpusloom.sources.workdir import path_exists, remove
 
-BUCKET = "_bucket"
+BUCKET, COUNT = "_bucket", "_bucket_count"
+PARTITIONS = [COUNT, BUCKET]
+# A new keyed table gets one bucket for so many of its first rows.
+ROWS_PER_BUCKET = 1_000_000
 
 
 def write_table(
@@ -76,19 +79,36 @@ def merged(target: DataFrame, updates: DataFrame, keys) -> DataFrame:
 
 
 def bucketed(df: DataFrame, keys, buckets: int) -> DataFrame:
+    """Rows with the hash bucket of their key and the number of buckets."""
     # The hash leaves NULLs out, so equal keys meet in one bucket, NULL or not.
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    return df.withColumns({COUNT: F.lit(buckets), BUCKET: number})
+
+
+def bucket_count(spark: SparkSession, path: str, updates: DataFrame, asked: int | None) -> int:
+    """The bucket number of a table: what it was created with, whatever is asked for.
+
+    It is a partition column of the table, so it can never be lost or differ. A new table
+    gets what is asked for, or one bucket for every `ROWS_PER_BUCKET` of its first rows.
+    """
+    if path_exists(spark, path):
+        table = spark.read.parquet(path)
+        if COUNT not in table.columns:
+            raise ValueError(f"{path} is not a keyed table")
+        return table.select(COUNT).limit(1).first()[0]
+    return asked or max(1, -(-updates.count() // ROWS_PER_BUCKET))
 
 
 def _rewrite(spark, path, schema, updates, buckets, combine) -> None:
     """Combine the buckets that `updates` touches and swap them in.
 
     The new content is written beside the table first, so the table is never
-    overwritten by a job that also reads it, and a failure while swapping
-    leaves a full copy of the new buckets.
+    overwritten by a job that also reads it, and a failure while swapping leaves a full
+    copy of the new buckets in `<path>.staged`, which the next update takes in first.
     """
+    staged = f"{path.rstrip('/')}.staged"
     if not path_exists(spark, path):
-        write_table(combine(None, updates), path, "overwrite", [BUCKET])
+        write_table(combine(None, updates), path, "overwrite", PARTITIONS)
         return
     touched = [row[BUCKET] for row in updates.select(BUCKET).distinct().collect()]
     if not touched:
@@ -96,41 +116,53 @@ def _rewrite(spark, path, schema, updates, buckets, combine) -> None:
     target = read_table(spark, path, schema)
     if len(touched) < buckets:
         target = target.filter(F.col(BUCKET).isin(touched))
-    staged = fresh_dir(spark, "staged")
-    write_table(combine(target, updates), staged, "overwrite", [BUCKET])
-    write_table(
-        read_table(spark, staged, schema), path, "overwrite", [BUCKET], balance=False
-    )
+    write_table(combine(target, updates), staged, "errorifexists", PARTITIONS)
+    _swap(spark, path, schema)
+
+
+def _swap(spark, path, schema) -> None:
+    """Take over complete staged buckets, and drop them once they are in the table."""
+    staged = f"{path.rstrip('/')}.staged"
+    if path_exists(spark, f"{staged}/_SUCCESS"):
+        write_table(read_table(spark, staged, schema), path, "overwrite", PARTITIONS, balance=False)
+    if path_exists(spark, staged):
+        remove(spark, staged)
 
 
-def upsert(updates: DataFrame, path: str, keys, buckets: int = 64) -> None:
+def upsert(updates: DataFrame, path: str, keys, buckets: int | None = None) -> None:
     """Update matching rows, insert the others, create the table if missing.
 
     Rows live in hash buckets of the key, and only buckets with updates are
-    rewritten. Without keys this is a plain append. Two updates for one key
-    have no defined winner and are refused.
+    rewritten. Without keys this is a plain append, which a keyed table refuses. Two
+    updates for one key have no defined winner and are refused.
     """
     spark = updates.sparkSession
     if not keys:
+        if path_exists(spark, path) and COUNT in spark.read.parquet(path).columns:
+            raise ValueError(f"{path} is a keyed table; updates need its keys")
         write_table(updates, path, "append")
         return
     if duplicate_keys(updates.dropna(subset=list(keys)), keys).limit(1).count():
         raise ValueError(f"updates hold more than one row for the same {list(keys)}")
+    buckets = bucket_count(spark, path, updates, buckets)
     rows = bucketed(updates, keys, buckets)
+    _swap(spark, path, rows.schema)
     _rewrite(
         spark, path, rows.schema, rows, buckets,
         lambda target, new: new if target is None else merged(target, new, keys),
     )
 
 
-def upsert_latest(updates: DataFrame, path: str, keys, order, buckets: int = 64) -> None:
+def upsert_latest(updates: DataFrame, path: str, keys, order, buckets: int | None = None) -> None:
     """Keep the latest row per key over the table and the updates.
 
     NULL keys form one group, as in the batch dedup. Applying the same updates
     again changes nothing.
     """
     spark = updates.sparkSession
+    buckets = bucket_count(spark, path, updates, buckets)
     rows = bucketed(updates, keys, buckets)
+    _swap(spark, path, rows.schema)
     _rewrite(
         spark, path, rows.schema, rows, buckets,
         lambda target, new: latest_rows(

@@ -35,11 +35,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written and that nobody reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several later steps read, and read it back.
 
-    Used for narrow frames only. A written table costs nothing to keep when
-    executors come and go, while a cached one would be recomputed.
+    A written table outlives executors that come and go, while a cached one would be
+    recomputed. It stays in the shared folder; clear that folder after a run.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, name)

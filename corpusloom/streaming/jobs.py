@@ -8,7 +8,7 @@ from corpusloom.functions.text import digest
 from corpusloom.operators.chunks import validate_chunks
 from corpusloom.operators.dedup import latest_rows
 from corpusloom.sources.tables import read_table, upsert_latest, write_table
-from corpusloom.sources.workdir import path_exists
+from corpusloom.sources.workdir import path_exists, remove
 
 
 def file_stream(
@@ -38,13 +38,16 @@ def ingest_chunks(
 ):
     """Store a file stream in chunks of `chunk_size` rows per source file.
 
-    A row's chunk comes from its file name and its position in that file, never
-    from the batch number. A replayed batch therefore overwrites the partitions
-    it wrote before, and the table holds every row once.
+    A row's chunk comes from the full path of its file (partitions carry a digest of
+    it) and its position in that file, never from the batch number. A replayed batch
+    therefore overwrites the partitions it wrote before, and the table holds every row
+    once. A batch holds whole files, so the end of a file's last chunk is known there.
     """
+    path = F.col("_metadata.file_path")
     positioned = stream.select(
         "*",
-        F.col("_metadata.file_name").alias("source_file"),
+        path.alias("source_file"),
+        F.left(digest(path), F.lit(32)).alias("source_key"),
         F.col("_metadata.row_index").cast("long").alias("_row"),
     )
     index = F.floor(F.col("_row") / chunk_size).cast("long")
@@ -58,15 +61,20 @@ def ingest_chunks(
             "chunk_index": index,
         }
     )
-    if cap is not None:
-        rows = rows.filter(F.col("_row") - F.col("_meta_start_idx") < cap)
 
     def store(batch: DataFrame, _batch_id: int) -> None:
+        lengths = batch.groupBy("source_key").agg((F.max("_row") + 1).alias("_length"))
+        # One row per file of the batch, whose number the stream bounds.
+        clamped = batch.join(F.broadcast(lengths), "source_key").withColumn(
+            "_meta_end_idx", F.least("_meta_end_idx", "_length")
+        )
+        if cap is not None:
+            clamped = clamped.filter(F.col("_row") - F.col("_meta_start_idx") < cap)
         write_table(
-            batch.drop("_row"),
+            clamped.drop("_row", "_length"),
             table,
             "overwrite",
-            ["source_file", "chunk_index"],
+            ["source_key", "chunk_index"],
             run_ts=run_ts,
             balance=False,
         )
@@ -81,7 +89,7 @@ def ingest_chunks(
 
 def ingested_verdicts(table: DataFrame) -> DataFrame:
     """Validation verdict per stored chunk."""
-    return validate_chunks(table, ["source_file", "chunk_index"])
+    return validate_chunks(table, ["source_key", "chunk_index"])
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str):
@@ -126,11 +134,17 @@ def read_latest(spark: SparkSession, log: str, order) -> DataFrame:
     return latest_rows(read_table(spark, log), DEDUP_KEYS, order).drop("_digest", "_batch")
 
 
-def compact_latest(spark: SparkSession, log: str, table: str, order, buckets: int = 64) -> None:
-    """Merge the log into a keyed table, bucket by bucket. Choose the number of
-    buckets so that one bucket is about a gigabyte."""
+def compact_latest(spark: SparkSession, log: str, table: str, order, buckets: int | None = None) -> None:
+    """Merge the log into a keyed table, bucket by bucket, then drop the merged log.
+
+    Run it while the stream is stopped. If it fails before the log is dropped, merging
+    the same log again changes nothing.
+    """
+    if not path_exists(spark, log):
+        return
     logged = read_table(spark, log).drop("_batch")
     upsert_latest(latest_rows(logged, DEDUP_KEYS, order), table, DEDUP_KEYS, order, buckets)
+    remove(spark, log)
 
 
 def quality_counters(stream: DataFrame) -> DataFrame:

@@ -21,7 +21,6 @@ SOURCE_TABLE = "airflow_pipeline"
 CORPUS_FIELDS = ("text", "url", "id", "title")
 
 # --- fixed values: execution presets ---------------------------------------
-HARD_ROW_CAP = 10_000
 DEFAULT_PRESET = "balanced"
 PRESETS = {
     "test": {
@@ -110,8 +109,3 @@ ARTICLE_RATIOS = {"script": (0.9, 0.1), "ascii": (0.1, 0.9)}
 def preset(name):
     """Settings of an execution preset; an unknown name means the default."""
     return PRESETS.get((name or "").lower(), PRESETS[DEFAULT_PRESET])
-
-
-def row_cap(settings):
-    """Rows kept per chunk: the preset's limit, never above the hard cap."""
-    return min(HARD_ROW_CAP, settings["max_records"])

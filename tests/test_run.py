@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom import values as V
 from corpusloom.plans import run
@@ -21,7 +22,7 @@ def sources(spark):
 def test_whole_run(spark, sources):
     base = fresh_dir(spark, "whole")
     for _ in range(2):  # a rerun replaces every table
-        out = run.run_corpora(spark, *sources, base, RUN, "b", mode="test", full=True)
+        out = run.run_corpora(spark, *sources, base, RUN, "b", mode="test")
     manifest = {r["dataset_key"]: r for r in out["chunk_manifest"].collect()}
     assert manifest["fineweb"]["records"] == 300 and manifest["wikipedia"]["records"] == 200
     assert out["stg_web"].count() == Q.web(spark, FOLDER).count()
@@ -66,3 +67,55 @@ def test_direct_load_limits_and_fills(spark, sources):
     corpus = run.article_corpus(sources[1].frame.select("text"))
     loaded = run.direct_load(corpus, RUN, limit=5)
     assert sorted(r["id"] for r in loaded.collect()) == [f"wp_{i}" for i in range(5)]
+
+
+def test_resume_completes_capped_chunks(spark, sources):
+    base = fresh_dir(spark, "resume")
+    corpus = sources[1]
+    _, capped = run.ingest(corpus, base, 50, cap=30)
+    assert {r["status"] for r in capped.collect()} == {"success"} and capped.agg({"records": "sum"}).first()[0] == 120
+    for _ in range(2):
+        stored, manifest = run.ingest(corpus, base, 50, resume=True)
+        rows = run.load_raw(stored, manifest, corpus.schema, RUN)
+        assert rows.count() == 200 and rows.select("id").distinct().count() == 200
+    # Another chunk size makes other chunks, and none of the old ones is taken for one.
+    stored, manifest = run.ingest(corpus, base, 80, resume=True)
+    assert sorted((r["start_idx"], r["end_idx"], r["records"]) for r in manifest.collect()) == [
+        (0, 80, 80), (80, 160, 80), (160, 200, 40),
+    ]
+    assert run.load_raw(stored, manifest, corpus.schema, RUN).count() == 200
+    ends = stored.filter("chunk_index = 2").select("_meta_end_idx").distinct().collect()
+    assert [r[0] for r in ends] == [200]
+    path = manifest.filter("chunk_index = 2").first()["parquet_path"]
+    assert spark.read.parquet(path).count() == 40
+
+
+def test_filtered_source_keeps_all_rows(spark):
+    docs = Q.table(spark, FOLDER, "documents").filter("doc_id >= 100")
+    corpus = run.article_corpus(docs, {"id": "doc_id", "title": "source"})
+    stored, manifest = run.ingest(corpus, fresh_dir(spark, "filtered"), 50)
+    assert run.load_raw(stored, manifest, corpus.schema, RUN).count() == 100
+    assert sorted(r["status"] for r in manifest.collect()) == ["no_data", "no_data", "success", "success"]
+
+
+def test_failed_chunks_stop_a_run(spark, sources, monkeypatch):
+    """A run whose chunks lost rows stops; it does not go on to a fallback row."""
+    whole = run.source_counts
+
+    def more(corpus, size, cap=None):
+        return whole(corpus, size, cap).withColumn("records", F.col("records") + 1)
+
+    monkeypatch.setattr(run, "source_counts", more)
+    with pytest.raises(RuntimeError, match="stored 300 of 301 records"):
+        run.run_corpora(spark, sources[0], sources[1], fresh_dir(spark, "broken"), RUN, mode="test")
+
+
+def test_chunks_need_enough_records_and_warn_of_null_texts(spark):
+    docs = Q.table(spark, FOLDER, "documents")
+    path = fresh_dir(spark, "nulls")
+    docs.select("doc_id", F.when(F.col("doc_id") < 20, F.col("text")).alias("text")).coalesce(1).write.parquet(path)
+    corpus = run.article_corpus(spark.read.parquet(path), {"id": "doc_id"})
+    _, manifest = run.ingest(corpus, fresh_dir(spark, "few"), 150, min_records=100)
+    first, last = manifest.orderBy("chunk_index").collect()
+    assert (first["status"], first["warn_null_text"]) == ("success", True)
+    assert (last["status"], last["error"]) == ("failed", "fewer than 100 records")

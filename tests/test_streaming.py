@@ -73,3 +73,17 @@ def test_counters_and_missing_table(spark):
     assert counts[V.WEB_DATASET]["total_records"] == Q.raw_web(spark, FOLDER).count()
     empty = jobs.table_or_empty(spark, fresh_dir(spark, "none"), "a long")
     assert empty.count() == 0
+
+
+def test_equal_file_names_in_two_folders(spark):
+    source, table = fresh_dir(spark, "src"), fresh_dir(spark, "table")
+    for day in (1, 2):
+        frame = spark.range(10 * day, 10 * day + 10).coalesce(1)
+        frame.write.parquet(f"{source}/d={day}")
+    schema = "id long, d int"
+    for ckpt in ("ckpt", "again"):
+        stream = jobs.file_stream(spark, source, schema, files_per_batch=1)
+        jobs.drain(jobs.ingest_chunks(stream, table, fresh_dir(spark, ckpt), 4, "d", "c", RUN))
+        rows = tables.read_table(spark, table)
+        assert rows.count() == 20 and rows.select("source_key").distinct().count() == 2
+        assert rows.agg(F.max("_meta_end_idx")).first()[0] == 10

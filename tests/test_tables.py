@@ -130,3 +130,31 @@ def test_catalog_table(spark):
     assert saved.count() == 1
     tables.drop_table(spark, "saved_frame")
     assert not spark.catalog.tableExists("saved_frame")
+
+
+def test_bucket_number_belongs_to_the_table(spark):
+    path = fresh_dir(spark, "t")
+    tables.upsert(frame(spark, [(i, "old") for i in range(100)]), path, ["k"], 8)
+    tables.upsert(frame(spark, [(i, "new") for i in range(10)]), path, ["k"], 16)
+    got = tables.read_table(spark, path)
+    assert got.count() == 100 and got.filter("v = 'new'").count() == 10
+    with pytest.raises(ValueError, match="keyed table"):
+        tables.upsert(frame(spark, [(1, "a")]), path, [])
+
+
+def test_interrupted_swap_is_finished_by_the_next_update(spark, monkeypatch):
+    path = fresh_dir(spark, "t")
+    tables.upsert(frame(spark, [(i, "old") for i in range(20)]), path, ["k"], 4)
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        real = tables._swap
+        calls = []
+        patch.setattr(tables, "_swap", lambda *a: stop() if calls else (calls.append(1), real(*a)))
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.upsert(frame(spark, [(3, "new")]), path, ["k"])
+    tables.upsert(frame(spark, [(4, "newer")]), path, ["k"])
+    got = dict(rows(tables.read_table(spark, path).select("k", "v")))
+    assert len(got) == 20 and got[3] == "new" and got[4] == "newer" and got[5] == "old"

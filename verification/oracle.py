@@ -8,7 +8,7 @@ from corpusloom import values as V
 from corpusloom.sources.raw_views import (
     CHUNK_ROWS,
     FILL_EVERY,
-    LONG_FROM,
+    LONG_EVERY,
     LONG_TIMES,
     PREFIX,
 )
@@ -51,7 +51,7 @@ def web_part(text, url, key, table, hours=0):
       {key} AS _row_key FROM {table}"""
 
 
-LONG_TEXT = f"(CASE WHEN n_chars >= {LONG_FROM} THEN repeat(text, {LONG_TIMES}) ELSE text END)"
+LONG_TEXT = f"(CASE WHEN doc_id % {LONG_EVERY} = 0 THEN repeat(text, {LONG_TIMES}) ELSE text END)"
 PAGE_TEXT = f"'{PREFIX}' || html"
 
 CTES = {
@@ -296,7 +296,7 @@ def web_group():
       count(*) AS total_items, sum(content_length) AS chars,
       count(*) FILTER (WHERE content_length >= 100) AS substantial_content_count,
       count(*) FILTER (WHERE content_length < 100) AS minimal_content_count,
-      count(DISTINCT left(content_text, 50)) AS unique_content_starts,
+      count(DISTINCT content_text) AS unique_content_starts,
       min(dbt_extracted_timestamp) AS first_processed, max(dbt_extracted_timestamp) AS last_processed
     FROM web GROUP BY url_domain, source_dataset"""
 
@@ -348,12 +348,9 @@ def accepted(model, source, column, values):
 
 
 def in_range(model, source, column, low, high):
-    return check(
-        f"accepted_range_{model}_{column}",
-        f"{column} must be between {low} and {high}",
-        rows_where(f"{column} NOT BETWEEN {low} AND {high}"),
-        source,
-    )
+    text = f"be at least {low}" if high is None else f"be between {low} and {high}"
+    wrong = f"{column} < {low}" if high is None else f"{column} NOT BETWEEN {low} AND {high}"
+    return check(f"accepted_range_{model}_{column}", f"{column} must {text}", rows_where(wrong), source)
 
 
 def uniq(model, source, key):
@@ -589,7 +586,7 @@ SUITE_ROWS = union(
         "dataset_quality_summary", "summary_full", "overall_quality_assessment",
         ["Excellent", "Good", "Fair", "Poor"],
     ),
-    [in_range("dataset_quality_summary", "summary_full", "total_records", 0, 1000000000)],
+    [in_range("dataset_quality_summary", "summary_full", "total_records", 0, None)],
     [
         in_range("dataset_quality_summary", "summary_full", c, 0.0, 100.0)
         for c in (
@@ -644,18 +641,20 @@ ANNOUNCED = """SELECT 2 * (SELECT count(*) FROM documents) + (SELECT count(*) FR
 CTES["big_plan"] = ((), plan(ANNOUNCED))
 
 SUMMARY_COLUMNS = """count(*) AS total_chunks, count(*) FILTER (WHERE status = 'success') AS successful,
-  0::BIGINT AS failed, count(*) FILTER (WHERE status = 'skipped') AS skipped,
+  count(*) FILTER (WHERE status = 'write_failed') AS failed, count(*) FILTER (WHERE status = 'skipped') AS skipped,
   count(*) FILTER (WHERE status = 'no_data') AS no_data,
   coalesce(sum(records) FILTER (WHERE status = 'success'), 0)::BIGINT AS total_records,
   round(coalesce(avg(records / expected_size) FILTER (WHERE status = 'success'), 0.0)::DOUBLE, 6)
-    AS average_efficiency, '' AS failed_chunks"""
+    AS average_efficiency"""
 CTES["manifest"] = (
     ("plan",),
-    f"""SELECT 'wikipedia' AS dataset_key, expected_size,
-      CASE WHEN chunk_index >= {MAX_CHUNKS} THEN 'skipped' ELSE 'success' END AS status,
-      CASE WHEN chunk_index >= {MAX_CHUNKS} THEN 0 ELSE expected_size END AS records FROM plan
-    UNION ALL SELECT 'fineweb', least({SIZE}, n - i * {SIZE}), 'success',
-      least({CAP}, n - i * {SIZE})
+    f"""SELECT 'wikipedia' AS dataset_key, chunk_index, expected_size,
+      CASE WHEN chunk_index % 7 = 3 THEN 'no_data' WHEN chunk_index % 5 = 1 THEN 'write_failed'
+        ELSE 'success' END AS status,
+      CASE WHEN chunk_index % 7 = 3 THEN 0 WHEN chunk_index % 5 = 1 THEN expected_size - 1
+        ELSE expected_size END AS records FROM plan
+    UNION ALL SELECT 'fineweb', i, least({SIZE}, n - i * {SIZE}), 'success',
+      least({SIZE}, n - i * {SIZE})
     FROM (SELECT n, unnest(range(0, (n + {SIZE - 1}) // {SIZE})) AS i
       FROM (SELECT count(*) AS n FROM pages) c) d""",
 )
@@ -692,13 +691,13 @@ QUERIES = {
         f"""SELECT doc_id, text, '{V.ARTICLE_DATASET}' AS _meta_dataset_name,
           '{V.ARTICLE_CONFIG}' AS _meta_config_name, ordinal // {SIZE} AS _meta_chunk_index,
           ordinal // {SIZE} * {SIZE} AS _meta_start_idx,
-          (ordinal // {SIZE} + 1) * {SIZE} AS _meta_end_idx FROM ordered""",
+          least((ordinal // {SIZE} + 1) * {SIZE}, (SELECT count(*) FROM documents)) AS _meta_end_idx FROM ordered""",
     ),
     "chunk_key": (("plan",), f"SELECT chunk_index, {PATH} AS parquet_path FROM plan"),
     "pending_chunks": (
         ("plan",),
         f"""SELECT dataset_key, chunk_index, start_idx, end_idx, expected_size FROM plan
-        WHERE chunk_index >= {MAX_CHUNKS}""",
+        WHERE chunk_index % 3 = 0""",
     ),
     "table_write_roundtrip": ((), f"SELECT *, {RUN} AS _processing_timestamp FROM orders"),
     "upsert": (
@@ -717,7 +716,8 @@ QUERIES = {
         ("big_plan",),
         f"""SELECT dataset_key, chunk_index, start_idx, end_idx, expected_size,
           CASE WHEN records > 0 THEN 'success' ELSE 'no_data' END AS status, records,
-          CASE WHEN records > 0 THEN {PATH} END AS parquet_path, NULL::VARCHAR AS error
+          CASE WHEN records > 0 THEN {PATH} END AS parquet_path, NULL::VARCHAR AS error,
+          false AS warn_null_text
         FROM (SELECT *, greatest(0, least(start_idx + {SIZE}, (SELECT count(*) FROM documents))
           - start_idx) AS records FROM big_plan) m""",
     ),
@@ -730,8 +730,26 @@ QUERIES = {
         ("ordered",),
         f"""SELECT doc_id::VARCHAR AS id, source AS title, text,
           '{V.ARTICLE_DATASET}' AS _meta_dataset_name, {RUN} AS _dbt_extracted_at,
-          '{V.SOURCE_TABLE}' AS _dbt_source_table FROM ordered
-        WHERE ordinal < {SIZE * MAX_CHUNKS} AND ordinal % {SIZE} < {CAP}""",
+          '{V.SOURCE_TABLE}' AS _dbt_source_table FROM ordered""",
+    ),
+    "chunk_resume": (
+        ("ordered",),
+        f"""SELECT doc_id::VARCHAR AS id, source AS title, text,
+          '{V.ARTICLE_DATASET}' AS _meta_dataset_name, {RUN} AS _dbt_extracted_at,
+          '{V.SOURCE_TABLE}' AS _dbt_source_table FROM ordered""",
+    ),
+    "filtered_ingest": (
+        ("ordered",),
+        f"""SELECT doc_id::VARCHAR AS id, source AS title, text,
+          '{V.ARTICLE_DATASET}' AS _meta_dataset_name, {RUN} AS _dbt_extracted_at,
+          '{V.SOURCE_TABLE}' AS _dbt_source_table, ordinal // {SIZE} AS _meta_chunk_index
+        FROM ordered WHERE lang = 'de'""",
+    ),
+    "failed_chunks": (
+        ("manifest",),
+        """SELECT dataset_key, chunk_index, status,
+          'stored ' || records || ' of ' || expected_size || ' records' AS error
+        FROM manifest WHERE status = 'write_failed'""",
     ),
     "fallback_row": (
         (),
@@ -804,7 +822,7 @@ QUERIES = {
           url LIKE 'https:%' AS is_https, _row_key::VARCHAR AS row_key,
           split_part(text, {NL}, 1) AS first_line,
           (length(text) - length(replace(text, '##', ''))) // 2 AS hash_marks,
-          left(text, 50) AS start_50, upper(left(trim(text), 20)) AS upper_start,
+          left(text, 50) AS start_50, upper(trim(text)) AS upper_text,
           left(text, 80) || '...' AS preview, 'fineweb-2' AS dataset_short,
           'raw/fineweb-2/chunk_' || lpad(_meta_chunk_index::VARCHAR, 6, '0') || '_' ||
             _meta_chunk_index * {SIZE} || '_' || (_meta_chunk_index + 1) * {SIZE} || '.parquet' AS path
@@ -1022,8 +1040,8 @@ QUERIES = {
         ("ordered",),
         f"""SELECT doc_id, text, '{V.ARTICLE_DATASET}' AS _meta_dataset_name,
           '{V.ARTICLE_CONFIG}' AS _meta_config_name, ordinal // {SIZE} AS _meta_chunk_index,
-          ordinal // {SIZE} * {SIZE} AS _meta_start_idx, (ordinal // {SIZE} + 1) * {SIZE} AS _meta_end_idx,
-          {RUN} AS _processing_timestamp FROM ordered WHERE ordinal % {SIZE} < {CAP}""",
+          ordinal // {SIZE} * {SIZE} AS _meta_start_idx, least((ordinal // {SIZE} + 1) * {SIZE}, (SELECT count(*) FROM documents)) AS _meta_end_idx,
+          {RUN} AS _processing_timestamp FROM ordered""",
     ),
     "stream_staging": (
         ("web_all",),

@@ -132,7 +132,8 @@ def chunk_validate(spark, folder):
 def stamp_metadata(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     rows = C.assign_chunks(scan.scan_with_ordinal(docs), SIZE)
-    return C.stamp_metadata(rows, V.ARTICLE_DATASET, V.ARTICLE_CONFIG, SIZE).drop(
+    total = docs.count()
+    return C.stamp_metadata(rows, V.ARTICLE_DATASET, V.ARTICLE_CONFIG, SIZE, total).drop(
         "chunk_index", "start_idx", scan.ORDINAL
     )
 
@@ -144,9 +145,10 @@ def chunk_key(spark, folder):
 
 @query
 def pending_chunks(spark, folder):
+    """Every third chunk is missing from the stored ones."""
     base = fresh_dir(spark, "pending")
     corpus = document_corpus(spark, folder)
-    stored = run.store_chunks(corpus, base, SIZE, max_chunks=MAX_CHUNKS)
+    stored = run.store_chunks(corpus, base, SIZE).filter("chunk_index % 3 <> 0")
     return C.pending_chunks(document_plan(spark, folder), stored).select(
         "dataset_key", "chunk_index", "start_idx", "end_idx", "expected_size"
     )
@@ -170,7 +172,9 @@ def upsert(spark, folder):
     changed = orders.filter("o_orderstatus = 'O'").withColumn("o_orderpriority", F.lit("REVISED"))
     added = orders.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
     tables.upsert(orders, path, ["o_orderkey"], buckets=8)
-    tables.upsert(changed.unionByName(added), path, ["o_orderkey"], buckets=8)
+    # The table keeps its number of buckets, whatever a later call asks for.
+    tables.upsert(changed, path, ["o_orderkey"], buckets=16)
+    tables.upsert(added, path, ["o_orderkey"])
     return tables.read_table(spark, path).select(*orders.columns)
 
 
@@ -200,28 +204,57 @@ def chunk_manifest(spark, folder):
 
 
 def _manifests(spark, folder):
+    """All chunks of both corpora, where every fifth document chunk lost its first row
+    and every seventh was left out."""
     base = fresh_dir(spark, "run")
-    _, docs = run.ingest(document_corpus(spark, folder), base, SIZE, max_chunks=MAX_CHUNKS)
-    _, pages = run.ingest(page_corpus(spark, folder), base, SIZE, cap=CAP)
-    return docs.unionByName(pages)
+    docs = document_corpus(spark, folder)
+    counts = materialize(run.source_counts(docs, SIZE), "counts")
+    stored = run.store_chunks(docs, base, SIZE, counts=counts)
+    hurt = (F.col("chunk_index") % 5 == 1) & (F.col("_meta_row_index") == F.col("_meta_start_idx"))
+    gone = F.col("chunk_index") % 7 == 3
+    written = C.stored_counts(stored.filter(~hurt & ~gone))
+    plan = document_plan(spark, folder)
+    manifest = C.chunk_manifest(plan, written, counts.filter(~gone))
+    _, pages = run.ingest(page_corpus(spark, folder), base, SIZE)
+    return manifest.unionByName(pages)
 
 
 @query
 def run_summary(spark, folder):
     summary = C.run_summary(_manifests(spark, folder))
-    return summary.withColumns(
-        {
-            "average_efficiency": N.round_to("average_efficiency", 6),
-            "failed_chunks": F.concat_ws(",", F.col("failed_chunks").cast("array<string>")),
-        }
-    )
+    return summary.withColumn("average_efficiency", N.round_to("average_efficiency", 6))
+
+
+@query
+def failed_chunks(spark, folder):
+    return C.failed_chunks(_manifests(spark, folder))
+
+
+@query
+def chunk_resume(spark, folder):
+    """A run that stored too few rows per chunk is completed by a second one."""
+    base = fresh_dir(spark, "resume")
+    corpus = document_corpus(spark, folder)
+    run.ingest(corpus, base, SIZE, cap=CAP)
+    stored, manifest = run.ingest(corpus, base, SIZE, resume=True)
+    return run.load_raw(stored, manifest, S.RAW_ARTICLES, RUN_TS)
+
+
+@query
+def filtered_ingest(spark, folder):
+    """Documents of one language; rows keep their places, so chunks have gaps."""
+    base = fresh_dir(spark, "filtered")
+    docs = table(spark, folder, "documents").filter("lang = 'de'")
+    corpus = run.article_corpus(docs, {"id": "doc_id", "title": "source"})
+    stored, manifest = run.ingest(corpus, base, SIZE)
+    return run.load_raw(stored, manifest, S.RAW_ARTICLES, RUN_TS, [run.CHUNK_FIELD])
 
 
 @query
 def load_raw(spark, folder):
     base = fresh_dir(spark, "load")
     corpus = document_corpus(spark, folder)
-    stored, manifest = run.ingest(corpus, base, SIZE, max_chunks=MAX_CHUNKS, cap=CAP)
+    stored, manifest = run.ingest(corpus, base, SIZE)
     return run.load_raw(stored, manifest, S.RAW_ARTICLES, RUN_TS)
 
 
@@ -340,7 +373,7 @@ def text_functions(spark, folder):
         X.first_paragraph("text", "\n").alias("first_line"),
         X.section_count("text", "##").alias("hash_marks"),
         F.left(text, F.lit(50)).alias("start_50"),
-        X.upper(F.left(X.trim_spaces("text"), F.lit(20))).alias("upper_start"),
+        X.upper(X.trim_spaces("text")).alias("upper_text"),
         X.preview("text").alias("preview"),
         X.last_segment("_meta_dataset_name").alias("dataset_short"),
         X.chunk_path(
@@ -737,7 +770,7 @@ def stream_ingest(spark, folder):
     stored, ckpt = f"{base}/table", f"{base}/checkpoint"
     jobs.drain(
         jobs.ingest_chunks(
-            docs, stored, ckpt, SIZE, V.ARTICLE_DATASET, V.ARTICLE_CONFIG, RUN_TS, CAP
+            docs, stored, ckpt, SIZE, V.ARTICLE_DATASET, V.ARTICLE_CONFIG, RUN_TS
         )
     )
     return tables.read_table(spark, stored).select(
