@@ -3,8 +3,12 @@
 Per document the counts of character classes and of common words are compared with
 those of all documents of its language (base rules passed, enough words), as
 Jensen-Shannon distances with base 2, so 0 is the same mix and 1 has nothing in common.
-A distance counts only for documents long enough for it. Everything is built-in
-expressions; repeated word windows are found by hash inside a row, without a shuffle.
+A distance counts only for documents long enough for it. The limit of the word distance
+follows the language: a text without any common word is as far from the reference as the
+share of common words there allows, and a text with fewer common words than usual fails
+once it is nearly that far and farther than chance explains at its length. Common words
+are compared lower-cased. Everything is built-in expressions; repeated word windows are
+found by hash inside a row, without a shuffle.
 
 Defined results: a null or empty text has no words and fails the base rules. Documents
 of null or unlisted language are compared with their own kind on characters only;
@@ -13,6 +17,8 @@ empty table gives an empty result. Counts live in one struct whose name is
 free in the table, so other columns keep their names and values.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +31,10 @@ MIN_COMPARED_WORDS = 30
 MIN_COMMON_WORDS = 100
 MAX_CHAR_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.8
+# Of the distance of a text without common words, for texts with fewer than usual.
+NO_COMMON_PART = 0.85
+# Standard deviations above the mean distance of a text drawn from the reference.
+CHANCE_DEVIATIONS = 3
 WINDOW = 5
 
 # Frequent function words.
@@ -83,7 +93,8 @@ def measured(frame: DataFrame, name: str) -> DataFrame:
     following = [lambda i, k=k: F.get(at["hashes"], i + k) for k in range(1, WINDOW)]
     windows = F.transform(at["hashes"], lambda h, i: F.xxhash64(h, *[next_at(i) for next_at in following]))
     full = F.greatest(F.size(at["hashes"]) - (WINDOW - 1), F.lit(0))
-    seen = F.filter(at["hashes"], lambda h: F.array_contains(at["common"], h))
+    lowered = F.transform(at["words"], lambda w: _hash(F.lower(w)))
+    seen = F.filter(lowered, lambda h: F.array_contains(at["common"], h))
     step = step.withColumns(
         {
             made["windows"]: F.slice(windows, F.lit(1), full),
@@ -142,17 +153,36 @@ def distance(counts: Column, reference: Column) -> Column:
     return F.when((total(counts) > 0) & (total(reference) > 0), F.sqrt(F.greatest(sums / 2, F.lit(0.0))))
 
 
+def rest_share(counts: Column) -> Column:
+    """The share of words that are not common."""
+    return F.element_at(counts, -1) / F.aggregate(counts, F.lit(0.0), lambda s, v: s + v)
+
+
+def word_limits(reference: Column) -> tuple[Column, Column]:
+    """The distance that a text without common words nearly has, and n words x divergence by chance.
+
+    The divergence of n words drawn from the reference is about a chi-square of as many
+    degrees as there are free cells, over 8 n ln 2.
+    """
+    no_common = F.transform(reference, lambda v, i: (i == F.size(reference) - 1).cast("double"))
+    free = F.greatest(F.size(F.filter(reference, lambda v: v > 0)) - 1, F.lit(0))
+    chance = (free + CHANCE_DEVIATIONS * F.sqrt(2 * free)) / (8 * math.log(2))
+    return NO_COMMON_PART * distance(no_common, reference), chance
+
+
 def references(frame: DataFrame, name: str) -> DataFrame:
-    """Per language, the summed histograms of documents that pass the base rules."""
+    """Per language, the summed histograms of documents that pass the base rules, and word limits."""
     own = F.col(name)
     widest = {"chars": len(_SIZES), "common": 1 + max(len(w.split()) for w in COMMON_WORDS.values())}
     usable = frame.where(~base_failed(own) & (own["n_words"] >= MIN_COMPARED_WORDS))
     sums = [F.sum(F.get(own[k], F.lit(i))).alias(f"{k}{i}") for k, n in widest.items() for i in range(n)]
     grouped = usable.groupBy(F.col("lang").alias(f"{name}_lang")).agg(*sums)
-    return grouped.select(
+    summed = grouped.select(
         f"{name}_lang",
         *[F.array_compact(F.array(*[f"{k}{i}" for i in range(n)])).alias(f"{name}_{k}") for k, n in widest.items()],
     )
+    limit, chance = word_limits(F.col(f"{name}_common"))
+    return summed.withColumns({f"{name}_limit": limit, f"{name}_chance": chance})
 
 
 def judge(rows: DataFrame, name: str) -> DataFrame:
@@ -170,8 +200,11 @@ def judge(rows: DataFrame, name: str) -> DataFrame:
         .withField("word_distance", common)
         .withField("base_failed", base_failed(own)),
     )
+    by_chance = F.sqrt(F.col(f"{name}_chance") / own["n_words"])
+    fewer = rest_share(own["common"]) > rest_share(F.col(f"{name}_common"))
+    word_limit = F.when(fewer, F.greatest(F.col(f"{name}_limit"), by_chance))
     fits = F.coalesce(own["char_distance"] <= MAX_CHAR_DISTANCE, F.lit(True)) & F.coalesce(
-        own["word_distance"] <= MAX_WORD_DISTANCE, F.lit(True)
+        own["word_distance"] <= F.least(F.lit(MAX_WORD_DISTANCE), word_limit), F.lit(True)
     )
     return judged.withColumn(name, own.withField("kept", ~own["base_failed"] & fits)).select(
         *[F.col(f"`{c}`") for c in rows.columns]

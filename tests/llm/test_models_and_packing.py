@@ -172,6 +172,37 @@ def test_divergence(spark):
     assert value == pytest.approx(math.sqrt(sum(parts) / 2))
 
 
+def test_texts_without_common_words(spark):
+    rnd = random.Random(8)
+    common = "the of and to in is it for on with".split()
+    other = "river stone mill house winter bridge apple letter road garden cloud market".split()
+
+    def text(n, share, case=str):
+        return " ".join(case(rnd.choice(common if rnd.random() < share else other)) for _ in range(n)) + "."
+
+    german = "der mann und die frau sind mit dem kind auf den markt gegangen weil das wetter sehr gut war"
+    rows = [(i, text(rnd.choice([100, 150, 400]), 0.25), "en") for i in range(80)]
+    odd = [text(150, 0), text(1000, 0.01), " ".join(rnd.choice(german.split()) for _ in range(300)), text(4, 0) * 8]
+    rows += [(100 + k, t, "en") for k, t in enumerate(odd)]
+    rows += [(200, text(200, 0.25, str.capitalize), "en"), (201, text(150, 0), None), (202, text(150, 0.5), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.quality for r in quality_rules.verdicts(docs).collect()}
+    assert all(found[i].kept for i in range(80))
+    assert [found[100 + k].kept for k in range(3)] == [False] * 3
+    assert not any(found[100 + k].base_failed or found[100 + k].char_distance > 0.3 for k in range(3))
+    assert found[103].word_distance is None and found[201].word_distance is None and found[201].kept
+    assert found[202].kept and found[200].word_distance < 0.3
+
+
+def test_too_few_common_words_to_tell(spark):
+    """Where common words are rare in a language, a text without them may be chance."""
+    rnd = random.Random(9)
+    other = [f"{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    rows = [(i, " ".join(["the"] * (i % 2) + [rnd.choice(other) for _ in range(130)]), "en") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert quality_rules.keep(docs).count() == 40
+
+
 # Packing
 
 
