@@ -4,16 +4,20 @@ A page is cut into blocks at block-level tags. Each block has its number of word
 link density, the same for its neighbours, and what the markup around it says (inside
 an article; inside a menu, footer, form, advert, comment list and so on). A decision
 tree trained on a small table of labelled pages decides which blocks are main text.
-Scripts, styles, comments and page heads never become text. Cutting a page is a small
-helper that Spark maps over Arrow batches; features, tree and joining are expressions.
+Scripts, styles, comments and page heads never become text. What stands in a script,
+style, title, textarea or iframe is not markup: only its own end tag is looked for. Cutting
+a page is a small helper that Spark maps over Arrow batches; features, tree and joining are
+expressions.
 
 Defined results: null or empty html gives an empty text; a page cut off inside a tag
-loses that tag only; an unclosed element reaches to the end of what holds it; repeated
-rows are judged one by one. Only page_id, url and html are read, so other columns cannot
+loses that tag only; an unclosed element reaches to the end of what holds it, an element
+that never holds text and has no end tag in the rest of the page to the next block, and an
+unclosed script or style to the end of the page; repeated rows are judged one by one. Only page_id, url and html are read, so other columns cannot
 clash.
 """
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -34,6 +38,15 @@ BLOCK_TAGS = frozenset(
 SILENT_TAGS = frozenset(
     "script style noscript template title textarea select button svg iframe object canvas head math audio video".split()
 )
+# Silent elements whose content is not markup, the two of them that swallow the
+# rest of a page, elements without content, what may stand in a head, and where blocks may
+# stand in a drawing or formula.
+RAW_TAGS = frozenset("script style title textarea iframe".split())
+CODE_TAGS = frozenset("script style".split())
+VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HEAD_TAGS = SILENT_TAGS | frozenset("base basefont bgsound html link meta noframes".split())
+FOREIGN_TAGS = frozenset("svg math".split())
+INNER_TAGS = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 FRAME_TAGS = frozenset("nav aside footer form menu dialog fieldset".split())
 # Parts of class, id and role names.
 FRAME_WORDS = frozenset(
@@ -50,6 +63,7 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.DOTALL,
 )
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE) for tag in SILENT_TAGS}
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 
@@ -74,6 +88,44 @@ def hints(tag: str, attributes: str) -> tuple[bool, bool]:
     return frame, not frame and (tag in ("article", "main") or bool(words & CONTENT_WORDS))
 
 
+class Silence:
+    """An open element that never holds text, and the elements open inside it."""
+
+    def __init__(self, tag: str, loose: bool):
+        self.tag, self.loose = tag, loose
+        self.inner = [tag]
+        self.counts = Counter(self.inner)
+
+    def ends(self, tag: str, ending: str, attributes: str, outside: Counter) -> bool:
+        """Take in a tag; whether the element ends at it."""
+        breaks = tag in BLOCK_TAGS or tag in ("td", "th")
+        if ending:
+            if not self.counts[tag]:
+                # The end of something that holds the element.
+                return outside[tag] > 0 or (self.loose and breaks)
+            while self.inner:
+                last = self.inner.pop()
+                self.counts[last] -= 1
+                if last == tag:
+                    break
+            return not self.inner
+        if self.tag == "head":
+            if len(self.inner) == 1 and tag not in HEAD_TAGS or tag == "body":
+                return True
+        elif breaks and tag not in ("hr", "legend"):
+            if self.loose or self.tag == "select":
+                return True
+            if self.tag in FOREIGN_TAGS and not any(self.counts[t] for t in INNER_TAGS):
+                return True
+        if tag == self.tag and tag in ("button", "select"):
+            self.inner.clear()
+            self.counts.clear()
+        if tag not in VOID_TAGS and not attributes.rstrip().endswith("/"):
+            self.inner.append(tag)
+            self.counts[tag] += 1
+        return False
+
+
 def blocks(html: str) -> list[tuple]:
     """(text, words, linked words, in article, in frame, heading) of each block in order."""
     out: list[tuple] = []
@@ -82,7 +134,10 @@ def blocks(html: str) -> list[tuple]:
     opened: list[tuple[str, bool, bool]] = [("", False, False)]
     linked = 0
     heading = link = False
-    silent = ""
+    silent: Silence | None = None
+    # Elements open outside of silent ones, and where the last end tag of a silent kind is.
+    outside: Counter = Counter()
+    last_ends: dict[str, int] = {}
 
     def add(raw: str):
         nonlocal linked
@@ -101,8 +156,14 @@ def blocks(html: str) -> list[tuple]:
             out.append((" ".join(words), len(words), min(linked, len(words)), int(article), int(frame), int(heading)))
         linked = 0
 
+    def closed(tag: str) -> bool:
+        """Whether an end tag of this kind follows."""
+        if tag not in last_ends:
+            last_ends[tag] = max((m.start() for m in _ENDS[tag].finditer(html)), default=-1)
+        return last_ends[tag] >= at
+
     at = 0
-    for found in _TAG.finditer(html):
+    while found := _TAG.search(html, at):
         if not silent:
             add(html[at : found.start()])
         at = found.end()
@@ -110,18 +171,27 @@ def blocks(html: str) -> list[tuple]:
         if not tag:
             continue
         tag = tag.lower()
+        if tag in RAW_TAGS and not ending and not attributes.rstrip().endswith("/"):
+            if closed(tag):
+                at = _ENDS[tag].search(html, at).end()
+                continue
+            if tag in CODE_TAGS:
+                at = len(html)
+                break
         if silent:
-            if ending and tag == silent:
-                silent = ""
-            elif not (silent == "head" and tag == "body"):
+            if not silent.ends(tag, ending, attributes, outside):
                 continue
-            else:
-                silent = ""
-        elif tag in SILENT_TAGS and not ending:
+            silent = None
+        if tag in SILENT_TAGS and not ending:
             if tag in BLOCK_TAGS:
                 close()
-            silent = "" if attributes.rstrip().endswith("/") else tag
+            if not attributes.rstrip().endswith("/"):
+                silent = Silence(tag, not closed(tag))
             continue
+        if ending:
+            outside[tag] -= outside[tag] > 0
+        elif tag not in VOID_TAGS:
+            outside[tag] += 1
         if tag == "a":
             link = not ending
         elif tag in ("br", "td", "th", "wbr"):

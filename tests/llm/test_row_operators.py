@@ -179,6 +179,36 @@ def test_main_text(spark):
     assert html_text.main_text(table.where("1 = 0")).collect() == []
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<body><script>for(i=0;i<n;i++){f()}</script><p>Main text.</p></body>",
+        "<body><script>var a='<!--', b=\"<p\";</script><p>Main text.</p></body>",
+        "<head><script>if(a<b){c='<!--'}</SCRIPT ><title>a <b</title><style>a{b:'<!--'}</style></head><p>Main text.",
+        "<head><meta charset=utf-8><title>No end of head</title><link href=x><p>Main text.</p>",
+        "<div><textarea><p>no <!-- </textarea><p>Main text.</p></div>",
+        "<div><title>no end<p>Main text.</p></div>",
+        "<div><button>no</div><p>Main text.</p><button>no</button>",
+        "<div><p><select><option>no</p></div><p>Main text.</p>",
+        "<div><select><option>no<option>no<p>Main text.</p><select><option>no</select></div>",
+        "<body><svg><path d='M0'><p>Main text.</p><svg><path></svg></body>",
+        "<body><math><mi>x<p>Main text.</p></body>",
+        "<body><svg><title>no</title><g><svg><text>no</text></svg><text>no</text></g></svg><p>Main text.</p></body>",
+        "<body><button>no<p>Main text.</p></body>",
+        "<body><object><object>no</object>no</object><p>Main text.</p><script>cut off <p>no",
+        "<body><button>no<button>no</button><p>Main text.</p></body>",
+    ],
+)
+def test_silent_elements_end(html):
+    assert [b[0] for b in html_text.blocks(html)] == ["Main text."]
+
+
+def test_page_with_minified_script(spark):
+    html = "<article><script>for(i=0;i<n;i++){f()}</script><h1>Wool</h1><p>Prices fell on Monday.</p></article>"
+    table = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    assert html_text.main_text(table).first().text == "Wool\nPrices fell on Monday."
+
+
 def test_labelled_pages_are_learned(spark):
     table = spark.createDataFrame(
         [(n, "", html) for n, (html, _) in enumerate(html_text.PAGES)], "page_id long, url string, html string"
