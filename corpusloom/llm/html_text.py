@@ -48,13 +48,27 @@ HEAD_TAGS = SILENT_TAGS | frozenset("base basefont bgsound html link meta nofram
 FOREIGN_TAGS = frozenset("svg math".split())
 INNER_TAGS = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 FRAME_TAGS = frozenset("nav aside footer form menu dialog fieldset".split())
-# Parts of class, id and role names.
+# Class, id and role names, or the last words of them.
 FRAME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies disclaimer footer gdpr header login masthead menu modal nav navbar navigation newsletter notice "
     "notification pagination popup promo promoted related replies reply respond share sharing sidebar signup social "
     "sponsor sponsored subscribe tags toolbar widget".split()
 )
+# Words after which a name still says the same, words that turn it into a
+# state of the page, frames that hold articles of their own, elements that are never frame
+# because of a name, and those whose names say nothing.
+PART_WORDS = frozenset(
+    "area bar block body box button buttons container form group icon icons inner item items link links list menu "
+    "panel posts slot text toggle widget widgets wrap wrapper".split()
+)
+STATE_WORDS = frozenset("has hidden hide is no non not show with without".split())
+FIRM_TAGS = frozenset("nav aside footer menu dialog".split())
+FIRM_WORDS = frozenset(
+    "comment comments promo promoted related replies reply respond sponsor sponsored".split()
+)
+MAIN_TAGS = frozenset("article main".split())
+PAGE_TAGS = frozenset("html body".split())
 CONTENT_WORDS = frozenset("article content entry main post story text".split())
 
 _TAG = re.compile(
@@ -65,6 +79,7 @@ _TAG = re.compile(
 )
 _ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE) for tag in SILENT_TAGS}
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_SIZE = re.compile(r"[0-9][0-9a-z]*")
 _WORD = re.compile(r"[a-z]+")
 
 BLOCK = T.StructType(
@@ -79,13 +94,46 @@ BLOCK = T.StructType(
 )
 
 
-def hints(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element looks like page frame, and like main content."""
-    words = set()
-    for found in _NAMES.finditer(attributes) if "=" in attributes else ():
-        words.update(_WORD.findall("".join(g or "" for g in found.groups()).lower()))
-    frame = tag in FRAME_TAGS or bool(words & FRAME_WORDS)
-    return frame, not frame and (tag in ("article", "main") or bool(words & CONTENT_WORDS))
+def frame_word(words: list[str]) -> str:
+    """The word by which a name marks page frame: the last one, without words for parts."""
+    if STATE_WORDS.intersection(words):
+        return ""
+    for at in range(len(words) - 1, -1, -1):
+        if words[at] in FRAME_WORDS:
+            named_part = at < len(words) - 1
+            return "" if named_part and CONTENT_WORDS.intersection(words[:at]) else words[at]
+        if words[at] not in PART_WORDS:
+            break
+    return ""
+
+
+def hints(tag: str, attributes: str) -> tuple[set[str], bool]:
+    """What marks an element as page frame (its tag, words of its names), and whether it looks like main content."""
+    marks = {tag} & FRAME_TAGS
+    content = tag in MAIN_TAGS
+    if tag in PAGE_TAGS or "=" not in attributes:
+        return marks, content and not marks
+    for found in _NAMES.finditer(attributes):
+        for name in "".join(g or "" for g in found.groups()).lower().split():
+            words = _WORD.findall(_SIZE.sub("", name))
+            if mark := frame_word(words):
+                marks.add(mark)
+            elif not FRAME_WORDS.intersection(words):
+                content |= bool(CONTENT_WORDS.intersection(words))
+    return marks, content and (not marks or tag in MAIN_TAGS)
+
+
+def framed(tag: str, marks: set[str], in_article: bool, in_frame: int) -> int:
+    """0 if an element stands outside of any page frame, 1 in one that an article ends, 2 in a firm one."""
+    if tag in MAIN_TAGS:
+        # Comments and teasers are often articles too, and say so; so are those inside an article.
+        firm = in_frame == 2 or (in_frame and (in_article or marks & FIRM_WORDS))
+        return 2 if firm else 0
+    # A header belongs to the article it stands in, and to the page otherwise.
+    marks = marks - {"header"} if in_article else marks | ({tag} & {"header"})
+    if not marks:
+        return in_frame
+    return max(in_frame, 2 if marks & (FIRM_TAGS | FIRM_WORDS) else 1)
 
 
 class Silence:
@@ -131,7 +179,7 @@ def blocks(html: str) -> list[tuple]:
     out: list[tuple] = []
     pieces: list[str] = []
     # Open block elements as (tag, in article, in frame).
-    opened: list[tuple[str, bool, bool]] = [("", False, False)]
+    opened: list[tuple[str, bool, int]] = [("", False, 0)]
     linked = 0
     heading = link = False
     silent: Silence | None = None
@@ -153,7 +201,7 @@ def blocks(html: str) -> list[tuple]:
         pieces.clear()
         if words:
             _, article, frame = opened[-1]
-            out.append((" ".join(words), len(words), min(linked, len(words)), int(article), int(frame), int(heading)))
+            out.append((" ".join(words), len(words), min(linked, len(words)), int(article), int(frame > 0), int(heading)))
         linked = 0
 
     def closed(tag: str) -> bool:
@@ -205,11 +253,9 @@ def blocks(html: str) -> list[tuple]:
                 if place is not None:
                     del opened[place:]
             elif tag not in ("p", "hr", "li", "dt", "dd", "tr"):
-                frame, content = hints(tag, attributes)
+                marks, content = hints(tag, attributes)
                 _, in_article, in_frame = opened[-1]
-                # A header belongs to the article it stands in, and to the page otherwise.
-                frame |= tag == "header" and not in_article
-                opened.append((tag, in_article or content, in_frame or frame))
+                opened.append((tag, in_article or content, framed(tag, marks, in_article, in_frame)))
     if not silent:
         add(html[at:])
     close()

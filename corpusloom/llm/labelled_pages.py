@@ -126,4 +126,18 @@ PAGES = [
         "</a></p></article>",
         ["Links", "A first place that is worth a visit", "Another"],
     ),
+    (
+        "<body class='single has-sidebar'><div class='site no-banner'><main class='with-header'><article class='post "
+        "tags-news'><div class='entry-header'><h1>The ferry</h1></div><p>It crosses twice a day, at seven and at "
+        "five, and waits for no one.</p><p>Bring coins.</p><div class='related-posts'><p>Bridges of the lower river, "
+        "and how they were paid for by the towns on both banks</p></div></article></main><div class='sidebar-widget'>"
+        "<p>Weather for the coast</p></div></div></body>",
+        ["The ferry", "It crosses twice a day, at seven and at five, and waits for no one.", "Bring coins."],
+    ),
+    (
+        "<body class='login-open'><form id='page'><div class='layout sidebar'><article><h2>Moss</h2><p>Moss grows on "
+        "the north wall, where the sun does not reach it.</p><p>Slowly.</p></article></div><div class='nav-links'><p>"
+        "All pages on walls and roofs</p></div></form></body>",
+        ["Moss", "Moss grows on the north wall, where the sun does not reach it.", "Slowly."],
+    ),
 ]

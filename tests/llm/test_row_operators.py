@@ -209,6 +209,40 @@ def test_page_with_minified_script(spark):
     assert html_text.main_text(table).first().text == "Wool\nPrices fell on Monday."
 
 
+def test_names_of_wrappers_do_not_frame(spark):
+    text = "<h1>Wool</h1><p>Prices fell on Monday.</p><p>Yes.</p>"
+    pages = [
+        f"<body class='has-sidebar'><article>{text}</article></body>",
+        f"<body class='sidebar'><article>{text}</article></body>",
+        f"<body><div class='content no-banner'>{text}</div></body>",
+        f"<body><main class='with-header'>{text}</main></body>",
+        f"<body><main class='header'>{text}</main></body>",
+        f"<body><article class='post tags-news'>{text}</article></body>",
+        f"<body><div class='sidebar'><article>{text}</article></div></body>",
+        f"<body><form><main>{text}</main></form></body>",
+    ]
+    table = spark.createDataFrame([(i, "u", x) for i, x in enumerate(pages)], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_text.main_text(table).collect()}
+    assert found == dict.fromkeys(range(len(pages)), "Wool\nPrices fell on Monday.\nYes.")
+
+
+@pytest.mark.parametrize(
+    ("html", "frame"),
+    [
+        ("<div class='main-nav'>x</div>", 1),
+        ("<div class='ad-300x250'>x</div>", 1),
+        ("<div id='comment-list'><article class='comment-body'>x</article></div>", 1),
+        ("<article><div class='comments'><article>x</article></div></article>", 1),
+        ("<aside><article>x</article></aside>", 1),
+        ("<article><div class='post-header'>x</div></article>", 0),
+        ("<div class='tags-news'>x</div>", 0),
+        ("<div class='content-sidebar-wrap'>x</div>", 0),
+    ],
+)
+def test_frame_names(html, frame):
+    assert [b[4] for b in html_text.blocks(html)] == [frame]
+
+
 def test_labelled_pages_are_learned(spark):
     table = spark.createDataFrame(
         [(n, "", html) for n, (html, _) in enumerate(html_text.PAGES)], "page_id long, url string, html string"
