@@ -7,8 +7,9 @@ patterns of all items. Each text is normalised and scanned once; the ends of
 matches are mapped back to words and to character spans of the original text.
 
 Defined results: a null or empty text has no words, no hits and is never
-contaminated; an item without words has no pattern; items with equal passages
-are all reported; repeated rows are judged one by one; an empty benchmark or
+contaminated; an item without words has no pattern; the passages of items with a
+null id are hits like all others, add no id to `items`, set `unnamed`, and count as
+one item together in `n_items`; items with equal passages are all reported; repeated rows are judged one by one; an empty benchmark or
 empty documents give no hits or no rows. Columns other than the id and the text
 are neither read nor returned, so their names cannot clash.
 """
@@ -37,6 +38,7 @@ FOUND = T.StructType(
         T.StructField("hits", SPANS),
         T.StructField("items", T.ArrayType(T.StringType())),
         T.StructField("chars", SPANS),
+        T.StructField("unnamed", T.BooleanType()),
     ]
 )
 
@@ -53,13 +55,13 @@ def windows(words: list[bytes], width: int) -> set[bytes]:
 
 
 def blocks(benchmark: DataFrame, width: int = WIDTH, limit: int = BLOCK_BYTES):
-    """Patterns to item ids, block by block; the driver holds one block at a time."""
-    patterns: dict[str, tuple[int, set[str]]] = {}
+    """Patterns to item ids (None if null), block by block; the driver holds one block at a time."""
+    patterns: dict[str, tuple[int, set[str | None]]] = {}
     size = 0
     rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
     for item, text in rows.toLocalIterator():
         words = normalised(text)
-        if item is None or not words:
+        if not words:
             continue
         if size and size + len(text) > limit:
             yield patterns
@@ -101,7 +103,7 @@ def flat_text(text: str | None) -> str:
     return f" {b' '.join(words).decode('latin-1')} " if words else ""
 
 
-def scan(tree: ahocorasick.Automaton, flat: str) -> tuple[list[tuple[int, int]], set[str]]:
+def scan(tree: ahocorasick.Automaton, flat: str) -> tuple[list[tuple[int, int]], set[str | None]]:
     """Word ranges that matches cover, and the items found."""
     found = list(tree.iter(flat)) if flat and len(tree) else []
     if not found:
@@ -134,7 +136,7 @@ def char_spans(text: str, ranges) -> list[tuple[int, int]]:
 
 
 def find(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Per row of documents: n_words, hit word ranges, items and character spans.
+    """Per row of documents: n_words, hit word ranges, items, character spans, whether an item without id hits.
 
     A benchmark beyond `BLOCK_BYTES` becomes several automata; each batch of texts
     is then scanned with one after the other, and the ranges are merged.
@@ -165,8 +167,9 @@ def find(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> Data
                     batch.column(0),
                     pa.array(counts, pa.int64()),
                     _spans(joined),
-                    pa.array([sorted(i) for i in items], pa.list_(pa.string())),
+                    pa.array([sorted(i - {None}) for i in items], pa.list_(pa.string())),
                     _spans(spans),
+                    pa.array([None in i for i in items], pa.bool_()),
                 ],
                 FOUND.names,
             )
@@ -186,7 +189,7 @@ def judged(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, share
     return (
         find(documents, benchmark, width)
         .withColumn("n_hit", n_hit)
-        .withColumn("n_items", F.size("items").cast("long"))
+        .withColumn("n_items", F.size("items").cast("long") + F.col("unnamed").cast("long"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words")))
     )
 

@@ -4,11 +4,14 @@ import hashlib
 import random
 import re
 
+import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
 
 from corpusloom.llm import decontaminate, html_text, licenses, token_counts
+from corpusloom.llm.oracle import CONTAMINATION
+from corpusloom.llm.queries import REGISTRY
 
 TEXT = "doc_id long, text string, n_words string"
 
@@ -75,6 +78,24 @@ def test_contamination_matches_brute_force(spark, monkeypatch, limit):
     assert result == brute_force(texts, items)
 
 
+def test_items_of_null_id_match_the_sql(spark, tmp_path):
+    passage = " ".join(f"w{k}" for k in range(20))
+    items = [(None, passage), (None, "four five six"), (1, "one two three"), (2, "Four five six"), (None, None)]
+    texts = [f"x {passage} y", "one two three four five six", "one two three", "none", None, f"{passage} four five six"]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    wanted = con.execute(CONTAMINATION).fetchall()
+    found = [tuple(r) for r in REGISTRY["op9_benchmark_decontamination"](spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted(wanted)
+    assert {r[0]: (r[2], r[3], r[5]) for r in found}[0] == (20, 1, True)
+    docs, benchmark = (spark.read.parquet(f"{tmp_path}/{name}.parquet") for name in ("documents", "benchmark"))
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, benchmark).collect()) == [3, 4]
+    assert [r["items"] for r in decontaminate.find(docs.where("doc_id = 0"), benchmark).collect()] == [[]]
+
+
 def test_clean_keeps_rows_and_columns(spark):
     benchmark = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     rows = [(1, "say one two three", "x"), (1, "nothing here", "y"), (None, "one two three", "z"), (2, None, "w")]
