@@ -46,6 +46,8 @@ LINE_NAMES = ["line", "lines", "n", "parity0", "parity1", "low", "high"]
 # Groups that index rows are dealt into, for each shuffle partition; pairs tried at once.
 GROUPS_PER_PARTITION, PAIRS_AT_ONCE = 4, 2_000_000
 PACKED = ["word", "place", "rank", "parity0", "parity1", "n"]
+# Lines that are sorted at once, so that the number of a line and a word fit one number.
+LINES_AT_ONCE = 1 << 22
 WORD_BITS, WORD_MASK, INDEX_MASK = np.uint64(40), np.uint64((1 << 40) - 1), np.uint64((1 << 32) - 1)
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -97,11 +99,25 @@ def line_words(numbers: np.ndarray, texts) -> tuple[np.ndarray, np.ndarray, np.n
     # One number for line and word, so that one plain sort orders and uncovers repeats.
     fresh = np.append(True, line[1:] != line[:-1])[: len(line)]
     part = np.cumsum(fresh).astype(np.uint64) - np.uint64(1)
-    packed = np.sort((part << WORD_BITS) | (hashes & WORD_MASK))
-    packed = packed[np.append(True, packed[1:] != packed[:-1])[: len(packed)]]
-    part = packed >> WORD_BITS
-    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
-    return line[fresh], first, packed & WORD_MASK
+    firsts, words, size = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    for low, high, own in runs(part):
+        packed = np.sort((own << WORD_BITS) | (hashes[low:high] & WORD_MASK))
+        packed = packed[np.append(True, packed[1:] != packed[:-1])]
+        own = packed >> WORD_BITS
+        firsts.append(size + np.flatnonzero(np.append(True, own[1:] != own[:-1])))
+        words.append(packed & WORD_MASK)
+        size += len(packed)
+    return line[fresh], np.concatenate(firsts), np.concatenate(words)
+
+
+def runs(owner: np.ndarray):
+    """Ascending line numbers cut into runs that can be packed: low, high, and numbers from 0."""
+    base = 0
+    while len(owner) and base <= int(owner[-1]):
+        bounds = np.array([base, base + LINES_AT_ONCE], np.uint64)
+        low, high = np.searchsorted(owner, bounds).tolist()
+        yield low, high, owner[low:high] - np.uint64(base)
+        base += LINES_AT_ONCE
 
 
 def repeats(documents: DataFrame, number: str) -> bool:
@@ -204,6 +220,18 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
     return ((hashes >> np.uint64(16)) & np.uint64(CELLS - 1)).astype(np.int64)
 
 
+def by_rarity(sizes: np.ndarray, hashes: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """The words of each line, the rarest first, as 32 bits."""
+    owner = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    out = [np.zeros(0, np.uint32)]
+    for low, high, own in runs(owner):
+        words = hashes[low:high]
+        rarity = steps[_cell(words)]
+        packed = np.sort((own << np.uint64(42)) | (rarity << np.uint64(32)) | (words & INDEX_MASK))
+        out.append((packed & INDEX_MASK).astype(np.uint32))
+    return np.concatenate(out)
+
+
 def prefix_index(documents: DataFrame, number: str, cells: np.ndarray) -> DataFrame:
     """Per line of at least three words, `line` and its rarest words as an array `rarest`.
 
@@ -218,13 +246,11 @@ def prefix_index(documents: DataFrame, number: str, cells: np.ndarray) -> DataFr
             for part in slices(batch, "text"):
                 line, first, hashes = line_words(np.asarray(part.column(0)), part.column(1))
                 sizes = np.diff(np.append(first, len(hashes)))
-                owner = np.repeat(np.arange(len(line), dtype=np.uint64), sizes)
-                rarity = shared.value[_cell(hashes)]
-                packed = np.sort((owner << np.uint64(42)) | (rarity << np.uint64(32)) | (hashes & INDEX_MASK))
+                packed = by_rarity(sizes, hashes, shared.value)
                 place = np.arange(len(hashes)) - np.repeat(first, sizes)
                 prefix = np.where(sizes > 2, sizes - -(-PERCENT * sizes // 100) + 1, 0)
                 kept = place < np.repeat(prefix, sizes)
-                words = pa.array((packed[kept] & INDEX_MASK).astype(np.uint32).view(np.int32))
+                words = pa.array(packed[kept].view(np.int32))
                 bounds = np.append(0, np.cumsum(prefix)).astype(np.int32)
                 rarest = pa.ListArray.from_arrays(pa.array(bounds), words)
                 yield pa.RecordBatch.from_arrays([pa.array(line), rarest], ["line", "rarest"])

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusloom.llm import line_dedup
@@ -93,3 +95,27 @@ def test_shared_missing_and_distant_ids(spark):
 
 def test_empty_table(spark):
     assert line_dedup.dedup(frame(spark, [])).collect() == []
+
+
+def test_lines_beyond_one_packed_number(monkeypatch):
+    """Runs of few lines give what one sort of all lines gives; so does a number above 22 bits."""
+    rnd = random.Random(5)
+    lines = ["", *(" ".join(rnd.choice("abcdefgh") * 2 for _ in range(rnd.randint(1, 9))) for _ in range(50))]
+    texts, numbers = pa.array(["\n".join(lines), None, "", "x y z\nx y"], pa.string()), np.arange(4)
+    steps = np.arange(line_dedup.CELLS, dtype=np.uint64) % np.uint64(1024)
+
+    def results():
+        line, first, hashes = line_dedup.line_words(numbers, texts)
+        sizes = np.diff(np.append(first, len(hashes)))
+        return [x.tolist() for x in (line, first, hashes, line_dedup.by_rarity(sizes, hashes, steps))]
+
+    whole = results()
+    for size in (1, 3, 52):
+        monkeypatch.setattr(line_dedup, "LINES_AT_ONCE", size)
+        assert results() == whole
+    monkeypatch.undo()
+    n = line_dedup.LINES_AT_ONCE + 2
+    hashes = np.full(n, 9, np.uint64)
+    hashes[0], hashes[-1], hashes[-2] = 1, 2, 3
+    ordered = line_dedup.by_rarity(np.ones(n, np.int64), hashes, steps)
+    assert ordered[[0, 1, -2, -1]].tolist() == [1, 9, 3, 2]
