@@ -413,11 +413,22 @@ def failures(checks: DataFrame) -> DataFrame:
     return checks.filter("failing_records > 0")
 
 
+def mart_checks(marts: dict[str, DataFrame]) -> list[DataFrame]:
+    """The declared contracts of marts, by model name."""
+    return [run_rules(frame, contract_rules(name, frame)) for name, frame in marts.items()]
+
+
 def suite(
-    web: DataFrame, articles: DataFrame, measured: DataFrame, summary: DataFrame, run_ts: str
+    web: DataFrame,
+    articles: DataFrame,
+    measured: DataFrame,
+    summary: DataFrame,
+    run_ts: str,
+    marts: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """All singular tests plus the declared contracts, with severity and status.
 
+    `marts` are further tables whose contracts are checked, by model name.
     The inputs should be written tables (see `plans.run`): each is read by one
     pass for its row rules and by a few key or total checks.
     """
@@ -435,5 +446,6 @@ def suite(
             primary_key(articles),
             unique(articles, "stg_articles", "article_id"),
             total_consistency(measured, summary),
+            *mart_checks(marts or {}),
         )
     )

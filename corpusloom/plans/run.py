@@ -311,11 +311,12 @@ def run_corpora(
     table("quality_report", quality.quality_report(anomalies))
     table("dataset_quality_summary", marts.dataset_quality_summary(simple, run_ts))
     summary = table("dataset_quality_summary_full", marts.dataset_quality_summary(records, run_ts))
-    table(
+    metrics = table(
         "content_quality_metrics",
         marts.content_quality_metrics(web_rows, article_rows, batch_id, run_ts),
     )
-    table("content_summary", marts.content_summary(web_rows, article_rows, batch_id, run_ts))
+    contents = table("content_summary", marts.content_summary(web_rows, article_rows, batch_id, run_ts))
     table("processing_summary", marts.processing_summary(anomalies, batch_id, run_ts))
-    table("check_suite", checks.suite(web_rows, article_rows, records, summary, run_ts))
+    checked = {"content_summary": contents, "content_quality_metrics": metrics}
+    table("check_suite", checks.suite(web_rows, article_rows, records, summary, run_ts, checked))
     return out

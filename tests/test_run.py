@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import values as V
-from corpusloom.plans import run
+from corpusloom.plans import checks, run
 from corpusloom.sources import raw_views
 from corpusloom.sources.workdir import fresh_dir, shared_dir
 from verification import queries as Q
@@ -119,3 +119,15 @@ def test_chunks_need_enough_records_and_warn_of_null_texts(spark):
     first, last = manifest.orderBy("chunk_index").collect()
     assert (first["status"], first["warn_null_text"]) == ("success", True)
     assert (last["status"], last["error"]) == ("failed", "fewer than 100 records")
+
+
+def test_contracts_of_marts_are_checked(spark):
+    rows = [(None, 10.0), (5, 200_000.0), (5, 50.0)]
+    contents = spark.createDataFrame(rows, "total_records long, avg_content_length double")
+    metrics = spark.createDataFrame([("web", "no such tier"), (None, None)], "source string, quality_tier string")
+    marts = {"content_summary": contents, "content_quality_metrics": metrics}
+    found = checks.failures(checks.graded(checks.union_checks(*checks.mart_checks(marts)))).collect()
+    failing = {(r.test_name, r.failing_records) for r in found}
+    for model in marts:
+        assert any(model in name for name, _ in failing)
+    assert len(found) == 5
