@@ -35,7 +35,37 @@ CONTAMINATION = f"""WITH item AS (SELECT item_id, {PLAIN_WORDS} AS w FROM benchm
     coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= coalesce(len(w), 0) AS contaminated
   FROM cut LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
+INTERACTIONS = """WITH cut AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+  said AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+    FROM labels GROUP BY 1),
+  fails AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN cut.doc_id > min(cut.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS f
+    FROM cut LEFT JOIN said USING (doc_id)),
+  cell AS (SELECT part, f, count(*) AS n, count_if(good) AS g, count_if(toxic) AS x FROM fails GROUP BY 1, 2),
+  letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+  orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+    WHERE length(replace(replace(replace(replace(replace('ABCDE', a.l, ''), b.l, ''), c.l, ''), d.l, ''), e.l, '')) = 0),
+  steps AS (SELECT filter_order, step, filter_order[step] AS l, filter_order[:step - 1] AS before
+    FROM orders, range(1, 6) r(step)),
+  judged AS (SELECT part, filter_order, step, n, g, x, f, contains(f, l) AS here, length(f) AS k,
+    length(translate(f, before, '')) < length(f) AS gone FROM cell, steps)
+  SELECT part, filter_order, step::INTEGER AS step,
+    sum(CASE WHEN NOT here AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN here AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN here AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN here AND k = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN here AND NOT gone THEN g ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN here AND NOT gone THEN x ELSE 0 END)::BIGINT AS toxic_lost,
+    sum(CASE WHEN here THEN n * (120 // k) ELSE 0 END)::BIGINT AS shapley
+  FROM judged GROUP BY 1, 2, 3"""
+
 ORACLE: dict[str, str] = {
     "op2_parity_jaccard_join": SHINGLES,
+    "op11_filter_interactions": INTERACTIONS,
     "op9_benchmark_decontamination": CONTAMINATION,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import (
     decontaminate,
+    filter_audit,
     html_text,
     licenses,
     line_dedup,
@@ -85,3 +86,10 @@ def op7_ordinal_quality(spark, folder):
 @query
 def op8_line_dedup(spark, folder):
     return line_dedup.report(table(spark, folder, "documents"))
+
+
+@query
+def op11_filter_interactions(spark, folder):
+    path = f"{folder}/documents.parquet"
+    stream = filter_audit.document_files(spark, path, spark.read.parquet(path).schema)
+    return filter_audit.audit(stream, table(spark, folder, "labels"))
