@@ -6,14 +6,16 @@ PLAIN_WORDS = (
 )
 SPACED_WORDS = f"list_filter(regexp_split_to_array({LOWER.format('text')}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
-SHINGLES = f"""WITH RECURSIVE cut AS (SELECT doc_id, {SPACED_WORDS} AS w FROM documents),
+def shingle_links(percent: int) -> str:
+    """Sizes and components of documents whose shingle sets are so similar."""
+    return f"""WITH RECURSIVE cut AS (SELECT doc_id, {SPACED_WORDS} AS w FROM documents),
   shingle AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
     FROM cut, unnest(range(1, greatest(1, len(w) - 4) + 1)) t(i) WHERE len(w) > 0),
   size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1),
   pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b
     ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
   link AS (SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
-    WHERE 100 * c >= 75 * (x.n + y.n - c)),
+    WHERE 100 * c >= {percent} * (x.n + y.n - c)),
   step AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
   reach AS (SELECT doc_id AS d, doc_id AS r FROM documents
     UNION SELECT d, b FROM reach JOIN step ON r = a)
@@ -65,7 +67,8 @@ INTERACTIONS = """WITH cut AS (SELECT doc_id, coalesce(lang, '') AS part, coales
   FROM judged GROUP BY 1, 2, 3"""
 
 ORACLE: dict[str, str] = {
-    "op2_parity_jaccard_join": SHINGLES,
+    "op2_parity_jaccard_join": shingle_links(75),
     "op11_filter_interactions": INTERACTIONS,
+    "op13_similarity_sketch_dedup": f"SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM ({shingle_links(85)})",
     "op9_benchmark_decontamination": CONTAMINATION,
 }

@@ -15,6 +15,7 @@ from corpusloom.llm import (
     packing,
     parity_join,
     quality_rules,
+    similarity_sketch,
     token_counts,
     url_filter,
 )
@@ -93,3 +94,8 @@ def op11_filter_interactions(spark, folder):
     path = f"{folder}/documents.parquet"
     stream = filter_audit.document_files(spark, path, spark.read.parquet(path).schema)
     return filter_audit.audit(stream, table(spark, folder, "labels"))
+
+
+@query
+def op13_similarity_sketch_dedup(spark, folder):
+    return similarity_sketch.deduplicated(table(spark, folder, "documents"))
