@@ -14,6 +14,7 @@ from corpusloom.llm import (
     ordinal_quality,
     packing,
     parity_join,
+    prefix_trie,
     quality_rules,
     similarity_sketch,
     token_counts,
@@ -99,3 +100,9 @@ def op11_filter_interactions(spark, folder):
 @query
 def op13_similarity_sketch_dedup(spark, folder):
     return similarity_sketch.deduplicated(table(spark, folder, "documents"))
+
+
+@query
+def op12_prefix_trie(spark, folder):
+    ordered = prefix_trie.turns(table(spark, folder, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(ordered))
