@@ -48,10 +48,9 @@ def count_class(col, char_class: str) -> Column:
     return length_of(F.regexp_replace(col, f"[^{char_class}]++", ""))
 
 
-def count_ascii(col, length) -> Column:
-    """Number of ASCII characters in a text of known length. ASCII comes in
-    long runs, so removing those is cheaper than removing everything else."""
-    return length - length_of(F.regexp_replace(col, r"[\x00-\x7F]++", ""))
+def without(col, char_class: str) -> Column:
+    """The text without the characters of a regex class body, taken out run by run."""
+    return F.regexp_replace(col, f"[{char_class}]++", "")
 
 
 def url_domain(col) -> Column:
@@ -80,11 +79,12 @@ def preview(col, width: int = 80) -> Column:
 
 
 def line_repetition(col, min_lines: int = 4, ratio: float = 0.7) -> Column:
-    """1 when a text of enough lines has too few distinct ones, else 0."""
+    """1 when a text of enough lines has too few distinct ones, else 0. A text with fewer
+    line breaks than that is not cut into lines."""
     lines = F.split(col, "\n")
-    n = F.size(lines)
-    repeated = (n >= min_lines) & (F.size(F.array_distinct(lines)) / n < ratio)
-    return F.when(repeated, 1).otherwise(0)
+    enough = F.substring_index(col, "\n", min_lines - 1) != col
+    repeated = F.size(F.array_distinct(lines)) / F.size(lines) < ratio
+    return F.when(enough, F.when(repeated, 1).otherwise(0)).otherwise(0)
 
 
 def last_segment(col) -> Column:

@@ -1,9 +1,11 @@
 """Aggregates that hold up on skewed groups: histograms, medians, distincts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusloom.sources.workdir import materialize
+
 FREQ = "_n"
 
 
@@ -13,57 +15,70 @@ def histogram(df: DataFrame, *columns) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(FREQ))
 
 
-def exact_medians(hist: DataFrame, keys, measures: dict) -> DataFrame:
-    """Exact medians per key from a histogram, with linear interpolation.
-
-    `measures` maps a result name to (column, cell), where the cell is a coarse,
-    order-preserving integer of the value with a bounded number of steps. Cell
-    totals show which cells hold the two middle ranks; only the values in those
-    cells are ranked. So no task sees all the distinct values of a group.
-
-    The histogram is read twice and should be a written table.
-    """
-    keys = list(keys)
+def _entries(rows: DataFrame, keys, measures: dict, total: str | None) -> DataFrame:
+    """One row for each record and measure: its value and its cells, coarse to fine."""
+    depth = max(len(cells) for _, cells in measures.values())
+    weight = F.col(FREQ) if FREQ in rows.columns else F.lit(1).cast("long")
     entries = [
         F.struct(
             F.lit(name).alias("_measure"),
-            cell.cast("long").alias("_cell"),
             F.col(column).cast("double").alias("_value"),
-            F.col(FREQ).alias(FREQ),
+            *[(cells[i] if i < len(cells) else F.lit(0)).cast("long").alias(f"_cell{i}") for i in range(depth)],
         )
-        for name, (column, cell) in measures.items()
+        for name, (column, cells) in measures.items()
     ]
+    found = rows.select(*keys, weight.alias(FREQ), F.inline(F.array(*entries))).filter("_value IS NOT NULL")
+    if total is not None:
+        (key,) = keys
+        found = found.withColumn(key, F.explode(F.array(F.col(key), F.lit(total))))
+    return found
+
+
+def exact_medians(rows: DataFrame, keys, measures: dict, total: str | None = None) -> DataFrame:
+    """Exact medians per key by distributed selection, with linear interpolation.
+
+    `measures` maps a result name to (column, cells): one or more coarse to fine,
+    order-preserving integers of the value, each with a bounded number of steps inside
+    the one before. The rows are counted per cell; the totals show which cells hold the
+    two middle ranks. Rows of those cells are counted per finer cell, and in the finest
+    ones the values are ranked. So what is shuffled is bounded by the number of cells, and
+    no task sees all values of a group. The cells of the middle ranks, two for each key and
+    measure, are written, so that the planner broadcasts them if they are small.
+
+    A column `FREQ` gives how often a row counts. With `total`, one key gets a row of that
+    name with the medians over all rows. Rows with a NULL key have no median. The rows are
+    read once for each level and once for the values, and should be a written table.
+    """
+    keys = list(keys)
+    measures = {m: (c, [x] if isinstance(x, Column) else list(x)) for m, (c, x) in measures.items()}
+    depth = max(len(cells) for _, cells in measures.values())
+    entries = _entries(rows, keys, measures, total)
     group = [*keys, "_measure"]
-    counted = (
-        hist.select(*keys, F.inline(F.array(*entries)))
-        .filter("_value IS NOT NULL")
-        .groupBy(*group, "_cell", "_value")
-        .agg(F.sum(FREQ).alias(FREQ))
-    )
-    cells = counted.groupBy(*group, "_cell").agg(F.sum(FREQ).alias("_in"))
-    up_to = W.partitionBy(*group).orderBy("_cell")
-    whole = W.partitionBy(*group)
-    middle = (
-        cells.withColumn("_total", F.sum("_in").over(whole))
-        .withColumn("_before", F.sum("_in").over(up_to) - F.col("_in"))
-        .withColumn("_low", F.floor((F.col("_total") - 1) / 2))
-        .withColumn("_high", F.ceil((F.col("_total") - 1) / 2))
-        .filter("_before <= _high AND _before + _in > _low")
-        .select(*group, "_cell", "_before", "_low", "_high")
-    )
-    inside = W.partitionBy(*group, "_cell").orderBy("_value")
-    ranked = counted.join(middle, [*group, "_cell"]).withColumn(
-        "_to", F.col("_before") + F.sum(FREQ).over(inside)
-    )
-    since = F.col("_to") - F.col(FREQ)
-    at = lambda rank: F.when(
-        (since <= F.col(rank)) & (F.col("_to") > F.col(rank)), F.col("_value")
-    )
-    here = lambda name, rank: F.max(
-        F.when(F.col("_measure") == name, at(rank))
-    )
-    return ranked.groupBy(*keys).agg(
-        *[((here(m, "_low") + here(m, "_high")) / 2).alias(m) for m in measures]
+    targets = None
+    for level in range(depth):
+        cell, inside = f"_cell{level}", [f"_cell{i}" for i in range(level)]
+        ranked = [] if targets is None else ["_rank", "_before"]
+        near = entries if targets is None else entries.join(targets, [*group, *inside])
+        counted = near.groupBy(*group, *ranked, *inside, cell).agg(F.sum(FREQ).alias("_in"))
+        up_to = W.partitionBy(*group, *ranked, *inside).orderBy(cell)
+        counted = counted.withColumn("_until", F.sum("_in").over(up_to))
+        if targets is None:
+            last = F.sum("_in").over(W.partitionBy(*group)) - 1
+            ranks = F.array_distinct(F.array(F.floor(last / 2), F.ceil(last / 2)))
+            counted = counted.withColumns({"_before": F.lit(0).cast("long"), "_ranks": ranks})
+            counted = counted.withColumn("_rank", F.explode("_ranks"))
+        until = F.col("_before") + F.col("_until")
+        held = (until > F.col("_rank")) & (until - F.col("_in") <= F.col("_rank"))
+        found = counted.filter(held).select(*group, "_rank", (until - F.col("_in")).alias("_before"), *inside, cell)
+        targets = materialize(found, "middle-cells")
+    cells = [f"_cell{i}" for i in range(depth)]
+    values = entries.join(targets, [*group, *cells]).groupBy(*group, "_rank", "_before", "_value")
+    values = values.agg(F.sum(FREQ).alias(FREQ))
+    upward = W.partitionBy(*group, "_rank").orderBy("_value")
+    values = values.withColumn("_until", F.col("_before") + F.sum(FREQ).over(upward))
+    middle = values.filter((F.col("_until") > F.col("_rank")) & (F.col("_until") - F.col(FREQ) <= F.col("_rank")))
+    return middle.groupBy(*keys).agg(
+        *[F.avg(F.when(F.col("_measure") == m, F.col("_value"))).alias(m) for m in measures]
     )
 
 

@@ -7,7 +7,7 @@ from corpusloom import values as V
 from corpusloom.functions import rules as R
 from corpusloom.functions.numeric import percent, ratio, round_to
 from corpusloom.functions.text import digest
-from corpusloom.operators.aggregates import FREQ, exact_medians
+from corpusloom.operators.aggregates import exact_medians
 from corpusloom.sources.workdir import materialize
 
 TOTAL = "TOTAL"
@@ -30,20 +30,17 @@ FULL_TYPE_COUNTS = {
 }
 FLAG_COUNTS = {"encoding_issues": "has_encoding_issues", "repetition": "has_repetition"}
 
-# Cells of the median search: lengths in steps of 1024 characters, ratios in
-# 65536 steps, scores as they are.
-LENGTH_CELL, RATIO_CELLS = 1024, 65_536
+# Cells of the median search: lengths in steps of 1024 characters; ratios in 2**12 steps
+# and each of those in 2**20, where few fractions of text lengths share one; scores as
+# they are.
+LENGTH_CELL, RATIO_CELLS, RATIO_SUBCELLS = 1024, 1 << 12, 1 << 32
 
 
-def _compact(quality: DataFrame) -> DataFrame:
-    """Rows per distinct combination of everything the summary looks at.
-
-    The only shuffle over all records. It carries no text, is written once, and
-    every later step starts from it.
-    """
+def _narrow(quality: DataFrame) -> DataFrame:
+    """What the summary looks at of every record: numbers, flags and short labels."""
     flags = [c for c in FLAG_COUNTS.values() if c in quality.columns]
     chunk = [c for c in ("_meta_chunk_index",) if c in quality.columns]
-    return quality.groupBy(
+    return quality.select(
         F.col("_meta_dataset_name").alias("dataset_name"),
         "text_length",
         "japanese_ratio",
@@ -53,14 +50,15 @@ def _compact(quality: DataFrame) -> DataFrame:
         "is_anomaly",
         *flags,
         *chunk,
-    ).agg(F.count(F.lit(1)).alias(FREQ))
+    )
 
 
-def _dataset_level(compact: DataFrame) -> DataFrame:
-    times = lambda c: F.sum(F.col(c) * F.col(FREQ))
-    where = lambda cond: F.sum(F.when(cond, F.col(FREQ)).otherwise(0))
+def _dataset_level(records: DataFrame) -> DataFrame:
+    """Counts, sums and bounds per dataset. Tasks add up their records per chunk, whose
+    rows sit together, so that the shuffle carries about one row for each chunk."""
+    where = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
     equals = {**CLASS_COUNTS, **TYPE_COUNTS}
-    full = set(FLAG_COUNTS.values()) <= set(compact.columns)
+    full = set(FLAG_COUNTS.values()) <= set(records.columns)
     if full:
         equals.update(FULL_TYPE_COUNTS)
     counts = {f"{name}_count": where(F.col(c) == v) for name, (c, v) in equals.items()}
@@ -68,27 +66,30 @@ def _dataset_level(compact: DataFrame) -> DataFrame:
     for name in FULL_TYPE_COUNTS:
         counts.setdefault(f"{name}_count", F.max(zero))
     for name, flag in FLAG_COUNTS.items():
-        counts[f"{name}_count"] = times(flag) if full else F.max(zero)
-    chunks = (
-        F.count_distinct("_meta_chunk_index")
-        if "_meta_chunk_index" in compact.columns
-        else F.max(F.lit(1).cast("long"))
+        counts[f"{name}_count"] = F.sum(flag) if full else F.max(zero)
+    chunk = "_meta_chunk_index"
+    chunked = chunk in records.columns
+    sums = {
+        "total_records": F.count(F.lit(1)),
+        **counts,
+        "anomaly_count": F.sum("is_anomaly"),
+        "too_short_count": where(F.col("text_length") < V.TOO_SHORT),
+        "too_long_count": where(F.col("text_length") > V.TOO_LONG),
+        "length_sum": F.sum("text_length"),
+        "ratio_sum": F.sum("japanese_ratio"),
+        "score_sum": F.sum("quality_score"),
+    }
+    ends = ("text_length", "japanese_ratio", "quality_score")
+    by_chunk = records.groupBy("dataset_name", *([chunk] if chunked else [])).agg(
+        *[expr.alias(name) for name, expr in sums.items()],
+        *[F.min(c).alias(f"min_{c}") for c in ends],
+        *[F.max(c).alias(f"max_{c}") for c in ends],
     )
-    return compact.groupBy("dataset_name").agg(
-        F.sum(FREQ).alias("total_records"),
-        *[expr.alias(name) for name, expr in counts.items()],
-        times("is_anomaly").alias("anomaly_count"),
-        where(F.col("text_length") < V.TOO_SHORT).alias("too_short_count"),
-        where(F.col("text_length") > V.TOO_LONG).alias("too_long_count"),
-        times("text_length").alias("length_sum"),
-        F.min("text_length").alias("min_text_length"),
-        F.max("text_length").alias("max_text_length"),
-        times("japanese_ratio").alias("ratio_sum"),
-        F.min("japanese_ratio").alias("min_japanese_ratio"),
-        F.max("japanese_ratio").alias("max_japanese_ratio"),
-        times("quality_score").alias("score_sum"),
-        F.min("quality_score").alias("min_quality_score"),
-        F.max("quality_score").alias("max_quality_score"),
+    chunks = F.count(chunk) if chunked else F.max(F.lit(1).cast("long"))
+    return by_chunk.groupBy("dataset_name").agg(
+        *[F.sum(name).alias(name) for name in sums],
+        *[F.min(f"min_{c}").alias(f"min_{c}") for c in ends],
+        *[F.max(f"max_{c}").alias(f"max_{c}") for c in ends],
         chunks.alias("unique_chunks"),
     )
 
@@ -120,25 +121,31 @@ MEDIAN_COLUMNS = {
 
 
 def median_measures(*names) -> dict:
-    """Result name -> (column, cell) for the median search."""
+    """Result name -> (column, cells coarse to fine) for the median search."""
+    ratio_cell = lambda steps: F.floor(F.col("japanese_ratio") * steps)
     cells = {
-        "text_length": F.floor(F.col("text_length") / LENGTH_CELL),
-        "japanese_ratio": F.floor(F.col("japanese_ratio") * RATIO_CELLS),
-        "quality_score": F.col("quality_score"),
+        "text_length": [F.floor(F.col("text_length") / LENGTH_CELL)],
+        "japanese_ratio": [ratio_cell(RATIO_CELLS), ratio_cell(RATIO_SUBCELLS)],
+        "quality_score": [F.col("quality_score")],
     }
     return {n: (MEDIAN_COLUMNS[n], cells[MEDIAN_COLUMNS[n]]) for n in names or MEDIAN_COLUMNS}
 
 
-def dataset_quality_summary(quality: DataFrame, run_ts: str) -> DataFrame:
+def dataset_quality_summary(
+    quality: DataFrame, run_ts: str, stored: bool = False, total_medians: bool = False
+) -> DataFrame:
     """Quality per dataset and in total, from either quality model.
 
     With the full model the encoding, repetition, date and punctuation counts
-    are real; with the simple one they are zero.
+    are real; with the simple one they are zero. The medians of the TOTAL row are NULL
+    unless `total_medians` asks for those over all records. The records are read several
+    times: `stored` says that they are a written table, otherwise what the summary looks
+    at is written first, by the tasks that compute it.
     """
-    compact = materialize(_compact(quality), "compact")
-    level = _dataset_level(compact).join(
-        exact_medians(compact, ["dataset_name"], median_measures()), "dataset_name", "left"
-    )
+    records = _narrow(quality) if stored else materialize(_narrow(quality), "records")
+    medians = exact_medians(records, ["dataset_name"], median_measures(), TOTAL if total_medians else None)
+    medians = materialize(medians, "medians") if total_medians else medians
+    level = _dataset_level(records).join(medians, "dataset_name", "left")
     counts = [c for c in level.columns if c.endswith("_count")]
     table = with_total(
         level,
@@ -148,6 +155,8 @@ def dataset_quality_summary(quality: DataFrame, run_ts: str) -> DataFrame:
         highs=["max_text_length", "max_japanese_ratio", "max_quality_score"],
         only_groups=list(MEDIAN_COLUMNS),
     )
+    if total_medians:
+        table = table.drop(*MEDIAN_COLUMNS).join(medians, "dataset_name", "left")
     mean = lambda c: ratio(c, "total_records")
     run = F.lit(run_ts).cast("timestamp_ntz")
     shares = [

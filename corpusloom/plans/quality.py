@@ -67,6 +67,34 @@ def quality_checks(web: DataFrame, articles: DataFrame) -> DataFrame:
     ).select(*SIMPLE_COLUMNS)
 
 
+# Characters that only the ASCII count looks at, unless a script is a class of its own.
+PLAIN = "0-9A-Za-z"
+
+
+def with_character_counts(df: DataFrame, text: str, length: str, script: str = "narrow") -> DataFrame:
+    """Add the characters of the script, of ASCII, white space and symbols of a text.
+
+    Letters and digits, most of a text, are taken out in one pass, and the rest is cut
+    into ASCII and beyond; each class is counted on the short piece that can hold it. A
+    script given as a class may hold anything and is counted on the whole text.
+    """
+    pieces = df.withColumn("_rest", X.without(F.col(text), PLAIN)).withColumns(
+        {
+            "_beyond": X.without(F.col("_rest"), r"\x00-\x7F"),
+            "_marks": X.without(F.col("_rest"), r" \t\r\n\u3000"),
+        }
+    )
+    own = F.col("_beyond" if script in V.SCRIPTS else text)
+    return pieces.withColumns(
+        {
+            "total_japanese_chars": X.count_class(own, X.script_class(script)),
+            "_ascii": F.col(length) - X.length_of("_beyond"),
+            "_space": X.length_of("_rest") - X.length_of("_marks"),
+            "_symbol": X.count_class(F.col("_marks"), r"\p{P}\p{S}"),
+        }
+    ).drop("_rest", "_beyond", "_marks")
+
+
 def measure(df: DataFrame, text: str, length: str, script: str = "narrow") -> DataFrame:
     """Add measured ratios, flags, score, class, type and anomaly to a frame.
 
@@ -75,14 +103,7 @@ def measure(df: DataFrame, text: str, length: str, script: str = "narrow") -> Da
     """
     n = F.col(length)
     body = F.col(text)
-    counted = df.withColumns(
-        {
-            "total_japanese_chars": X.count_class(body, X.script_class(script)),
-            "_ascii": X.count_ascii(body, n),
-            "_space": X.count_class(body, r" \t\r\n　"),
-            "_symbol": X.count_class(body, r"\p{P}\p{S}"),
-        }
-    )
+    counted = with_character_counts(df, text, length, script)
     measured = counted.withColumns(
         {
             "japanese_ratio": ratio("total_japanese_chars", n),

@@ -309,8 +309,8 @@ def run_corpora(
     records = facts_as_records(web_rows, article_rows)
     anomalies = table("anomaly_report", quality.anomaly_report(simple))
     table("quality_report", quality.quality_report(anomalies))
-    table("dataset_quality_summary", marts.dataset_quality_summary(simple, run_ts))
-    summary = table("dataset_quality_summary_full", marts.dataset_quality_summary(records, run_ts))
+    table("dataset_quality_summary", marts.dataset_quality_summary(simple, run_ts, stored=True))
+    summary = table("dataset_quality_summary_full", marts.dataset_quality_summary(records, run_ts, stored=True))
     metrics = table(
         "content_quality_metrics",
         marts.content_quality_metrics(web_rows, article_rows, batch_id, run_ts),

@@ -874,6 +874,16 @@ QUERIES = {
         """SELECT _meta_dataset_name AS dataset_name, median(text_length::DOUBLE) AS median_text_length,
           round(median(japanese_ratio), 6) AS median_japanese_ratio FROM full_all GROUP BY 1""",
     ),
+    "rollup_total_median": (
+        ("full_",),
+        f"""SELECT coalesce(_meta_dataset_name, 'TOTAL') AS dataset_name,
+          median(text_length::DOUBLE) AS median_text_length,
+          {rnd('median(japanese_ratio::DOUBLE)', 3)} AS median_japanese_ratio,
+          {rnd('median(quality_score::DOUBLE)', 1)} AS median_quality_score
+          FROM full_ GROUP BY GROUPING SETS ((_meta_dataset_name), ())
+        UNION ALL SELECT 'lang ' || coalesce(lang, 'TOTAL'), median(n_chars::DOUBLE), NULL, NULL
+          FROM documents GROUP BY GROUPING SETS ((lang), ())""",
+    ),
     "rollup_total": (
         (),
         f"""SELECT coalesce(lang, 'TOTAL') AS lang, count(*) AS records,

@@ -461,11 +461,9 @@ def exact_median(spark, folder):
     rows = quality.measured_rows(*unfiltered(spark, folder)).select(
         F.col("_meta_dataset_name").alias("dataset_name"), "text_length", "japanese_ratio"
     )
-    hist = materialize(
-        A.histogram(rows, "dataset_name", "text_length", "japanese_ratio"), "histogram"
-    )
     names = ("median_text_length", "median_japanese_ratio")
-    medians = A.exact_medians(hist, ["dataset_name"], marts.median_measures(*names))
+    stored = materialize(rows, "measures")
+    medians = A.exact_medians(stored, ["dataset_name"], marts.median_measures(*names))
     return medians.withColumn(
         "median_japanese_ratio", N.round_to("median_japanese_ratio", 6)
     )
@@ -490,6 +488,21 @@ def rollup_total(spark, folder):
     return rolled.withColumn("avg_chars", N.round_to(N.ratio("characters", "records"), 2))
 
 
+@query
+def rollup_total_median(spark, folder):
+    """The full summary with true medians in its TOTAL row, and exact medians of document
+    lengths per language and over all languages."""
+    summary = marts.dataset_quality_summary(measured(spark, folder), RUN_TS, total_medians=True)
+    docs = table(spark, folder, "documents").select("lang", F.col("n_chars").alias("text_length"))
+    lengths = A.exact_medians(docs, ["lang"], marts.median_measures("median_text_length"), marts.TOTAL)
+    none = F.lit(None).cast("double")
+    lengths = lengths.select(
+        F.concat(F.lit("lang "), "lang").alias("dataset_name"), "median_text_length",
+        none.alias("median_japanese_ratio"), none.alias("median_quality_score"),
+    )
+    return summary.select(*lengths.columns).union(lengths)
+
+
 @query
 def dedup_latest_rows(spark, folder):
     rows = dedup_latest(
