@@ -5,8 +5,9 @@ first; everything else stays lazy.
 """
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +27,10 @@ ROW_FIELD = T.StructField("_meta_row_index", T.LongType(), True)
 
 @dataclass(frozen=True)
 class Corpus:
-    """A source frame (a Parquet scan) and how it maps to corpus fields."""
+    """A source frame (a whole Parquet scan) and how it maps to corpus fields.
+
+    `where` picks the rows to take; they keep the places they have in the whole source.
+    """
 
     key: str
     dataset: str
@@ -36,25 +40,34 @@ class Corpus:
     defaults: dict
     fallback: dict
     mapping: dict = field(default_factory=dict)
+    where: Column | str | None = None
+
+    @cached_property
+    def order(self) -> scan.FileOrder:
+        """The order of the source's files, computed once for all steps."""
+        return scan.file_order_of(self.frame)
+
+    def taken(self) -> DataFrame:
+        return self.frame if self.where is None else self.frame.filter(self.where)
 
 
-def web_corpus(frame: DataFrame, mapping=None) -> Corpus:
+def web_corpus(frame: DataFrame, mapping=None, where=None) -> Corpus:
     return Corpus(
         V.WEB_KEY, V.WEB_DATASET, V.WEB_CONFIG, frame, S.RAW_WEB,
-        scan.WEB_DEFAULTS, V.WEB_FALLBACK, mapping or {},
+        scan.WEB_DEFAULTS, V.WEB_FALLBACK, mapping or {}, where,
     )
 
 
-def article_corpus(frame: DataFrame, mapping=None) -> Corpus:
+def article_corpus(frame: DataFrame, mapping=None, where=None) -> Corpus:
     return Corpus(
         V.ARTICLE_KEY, V.ARTICLE_DATASET, V.ARTICLE_CONFIG, frame, S.RAW_ARTICLES,
-        scan.ARTICLE_DEFAULTS, V.ARTICLE_FALLBACK, mapping or {},
+        scan.ARTICLE_DEFAULTS, V.ARTICLE_FALLBACK, mapping or {}, where,
     )
 
 
 def numbered(corpus: Corpus) -> DataFrame:
     """The corpus fields with a row ordinal."""
-    return scan.scan_with_ordinal(scan.project_fields(corpus.frame, corpus.mapping))
+    return scan.scan_with_ordinal(scan.project_fields(corpus.taken(), corpus.mapping), corpus.order)
 
 
 def chunked(corpus: Corpus, size: int, max_chunks=None, cap=None, total=None) -> DataFrame:
@@ -75,13 +88,20 @@ def chunked(corpus: Corpus, size: int, max_chunks=None, cap=None, total=None) ->
 def source_counts(corpus: Corpus, size: int, cap=None) -> DataFrame:
     """Per chunk, the rows of the source that it should store and the last ordinal.
 
-    Reads row positions only (and what a filter on the source reads).
+    Where every place of the source has a row, this follows from the number of rows;
+    otherwise row positions are counted (and what the filter needs is read).
     """
-    rows = C.assign_chunks(scan.scan_with_ordinal(corpus.frame), size)
+    key = F.lit(corpus.key).alias("dataset_key")
+    if corpus.where is None and corpus.order.dense:
+        start = F.col("id") * F.lit(size).cast("long")
+        end = F.least(start + size, F.lit(corpus.order.rows).cast("long"))
+        records = end - start if cap is None else F.least(end - start, F.lit(cap).cast("long"))
+        chunks = corpus.frame.sparkSession.range(-(-corpus.order.rows // size))
+        return chunks.select(F.col("id").alias("chunk_index"), records.alias("records"), (end - 1).alias("last"), key)
+    rows = C.assign_chunks(scan.scan_with_ordinal(corpus.taken(), corpus.order), size)
     kept = F.lit(True) if cap is None else F.col(scan.ORDINAL) - F.col("start_idx") < cap
-    return rows.groupBy("chunk_index").agg(
-        F.count_if(kept).alias("records"), F.max(scan.ORDINAL).alias("last")
-    ).withColumn("dataset_key", F.lit(corpus.key))
+    counted = rows.groupBy("chunk_index").agg(F.count_if(kept).alias("records"), F.max(scan.ORDINAL).alias("last"))
+    return materialize(counted.select("*", key), "counts")
 
 
 def complete_chunks(stored: DataFrame, plan: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -117,7 +137,7 @@ def store_chunks(
     writes all others again.
     """
     spark = corpus.frame.sparkSession
-    counts = materialize(source_counts(corpus, size, cap), "counts") if counts is None else counts
+    counts = source_counts(corpus, size, cap) if counts is None else counts
     total = last_ordinal(counts)
     rows = chunked(corpus, size, max_chunks, cap, total.first()["total"])
     path = chunk_root(base, corpus)
@@ -152,7 +172,7 @@ def ingest(
     at least `min_records`, and chunks with mostly NULL texts are marked. Row counts come
     from footers; only row groups that hold NULL texts are looked into.
     """
-    counts = materialize(source_counts(corpus, size, cap), "counts")
+    counts = source_counts(corpus, size, cap)
     stored = store_chunks(corpus, base, size, max_chunks, cap, resume, counts)
     plan = C.chunk_plan(last_ordinal(counts), size, corpus.dataset, corpus.config, corpus.key, batch_size)
     wanted = counts if max_chunks is None else C.limit_chunks(counts, max_chunks)

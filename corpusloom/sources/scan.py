@@ -1,5 +1,7 @@
 """Corpus scans: field whitelist, row positions, defaults, fallback rows."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -53,10 +55,10 @@ def file_offsets(positions: DataFrame) -> DataFrame:
     """First ordinal of every file: running total of file lengths in file order.
 
     A file is as long as its last row that is left says, so rows of a filtered scan keep
-    their places and never overlap. Files are summed per range of paths first; only one
-    row per range meets in the last window.
+    their places inside a file and never overlap; `_left` tells how many are left. Files
+    are summed per range of paths first; only one row per range meets in the last window.
     """
-    lengths = positions.groupBy(FILE).agg((F.max(ROW) + 1).alias("_rows"))
+    lengths = positions.groupBy(FILE).agg((F.max(ROW) + 1).alias("_rows"), F.count(ROW).alias("_left"))
     ranged = lengths.withColumn("_order", file_order()).repartitionByRange("_order")
     ranged = materialize(ranged.withColumn("_range", F.spark_partition_id()).drop("_order"), "files")
     sums = ranged.groupBy("_range").agg(F.sum("_rows").alias("_sum"))
@@ -64,23 +66,60 @@ def file_offsets(positions: DataFrame) -> DataFrame:
     starts = sums.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
     inside = W.partitionBy("_range").orderBy(file_order()).rowsBetween(W.unboundedPreceding, -1)
     placed = ranged.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
-    return placed.join(starts, "_range").select(FILE, "_rows", (F.col("_start") + F.col("_inside")).alias("_first"))
+    first = (F.col("_start") + F.col("_inside")).alias("_first")
+    return placed.join(starts, "_range").select(FILE, "_rows", "_left", first)
+
+
+# Up to so many files (of 16 bytes each) the list of files is sent to every executor.
+BROADCAST_FILES = 4_000_000
+
+
+@dataclass(frozen=True)
+class FileOrder:
+    """Where every file of a source begins: a written table of path hashes and first
+    ordinals, made once and handed to whoever numbers rows of that source.
+
+    `rows` is the number of places, `dense` tells whether each of them has a row.
+    """
 
+    entries: DataFrame
+    files: int
+    rows: int
+    dense: bool
 
-def scan_with_ordinal(df: DataFrame) -> DataFrame:
+    def number(self, positions: DataFrame) -> DataFrame:
+        """Add the ordinal to rows of the source that carry file and row number.
+
+        The list of files is broadcast while its counted size allows; texts are then never
+        shuffled, whatever the planner's own limit. Beyond that the planner chooses.
+        """
+        entries = F.broadcast(self.entries) if self.files <= BROADCAST_FILES else self.entries
+        keyed = positions.withColumn(FILE, F.xxhash64(FILE))
+        return keyed.join(entries, FILE).withColumn(ORDINAL, F.col("_first") + F.col(ROW)).drop(FILE, ROW, "_first")
+
+
+def file_order_of(df: DataFrame) -> FileOrder:
+    """The order of the files of a Parquet scan. For a source that will be filtered, take
+    it from the whole scan: then every row has the same ordinal as without the filter."""
+    offsets = file_offsets(with_position(df).select(FILE, ROW))
+    entries = materialize(offsets.select(F.xxhash64(FILE).alias(FILE), "_first", "_rows", "_left"), "entries")
+    files, different, rows, left = entries.agg(
+        F.count(FILE), F.count_distinct(FILE), F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.sum("_left"), F.lit(0))
+    ).first()
+    if files != different:
+        raise ValueError("two file paths have the same hash; rename one of the files")
+    return FileOrder(entries.select(FILE, "_first"), files, rows, rows == left)
+
+
+def scan_with_ordinal(df: DataFrame, order: FileOrder | None = None) -> DataFrame:
     """Number the rows of a Parquet scan 0, 1, 2, ... in file order.
 
-    Ordinal = rows in earlier files + row number in this file. No data row is sorted,
-    a lost task recomputes the same numbers, and a filtered scan has gaps where rows are
-    missing. How the short list of files is joined is left to the planner.
+    Ordinal = rows in earlier files + row number in this file. No data row is sorted or
+    shuffled, a lost task recomputes the same numbers, and a filtered scan has gaps where
+    rows are missing. `order` is that of the source, if it is known already; without it,
+    rows behind the last one that a filter leaves in a file are not counted.
     """
-    positions = with_position(df)
-    offsets = file_offsets(positions).select(FILE, "_first")
-    return (
-        positions.join(offsets, FILE)
-        .withColumn(ORDINAL, F.col("_first") + F.col(ROW))
-        .drop(FILE, ROW, "_first")
-    )
+    return (order or file_order_of(df)).number(with_position(df))
 
 
 def order_by_key(df: DataFrame, *keys, partitions: int | None = None) -> DataFrame:

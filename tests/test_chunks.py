@@ -32,7 +32,22 @@ def test_ordinals_survive_projection(files):
     assert numbered.filter(F.col("id") != F.col(scan.ORDINAL)).count() == 0
 
 
-def test_the_planner_chooses_the_join_of_the_file_list(spark, files, plan_of):
+@pytest.mark.parametrize("threshold", ["-1", "1"])
+def test_texts_are_never_shuffled_by_file(spark, files, plan_of, threshold):
+    """Whatever the planner's own broadcast limit, only the list of files is moved."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        numbered = scan.scan_with_ordinal(files)
+        assert numbered.filter(F.col("id") != F.col(scan.ORDINAL)).count() == 0
+        plan = plan_of(numbered)
+        assert "SortMergeJoin" not in plan
+        assert not [x for x in plan.splitlines() if "Exchange" in x and "text" in x]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_planner_chooses_the_join_of_a_huge_file_list(spark, files, plan_of, monkeypatch):
+    monkeypatch.setattr(scan, "BROADCAST_FILES", 9)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         numbered = scan.scan_with_ordinal(files)
@@ -42,6 +57,35 @@ def test_the_planner_chooses_the_join_of_the_file_list(spark, files, plan_of):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_file_order_is_computed_once_and_knows_gaps(files):
+    order = scan.file_order_of(files)
+    assert (order.files, order.rows, order.dense) == (10, 1000, True)
+    gaps = scan.file_order_of(files.filter("id % 100 <> 99 AND id % 100 <> 5"))
+    assert (gaps.rows, gaps.dense) == (990, False)
+
+
+def test_filtered_source_keeps_places_over_several_files(spark, files):
+    """Files lose their last rows or all rows, and the others stay where they are."""
+    where = "id % 100 < 50 AND NOT id BETWEEN 200 AND 399"
+    kept = [k for k in range(1000) if k % 100 < 50 and not 200 <= k <= 399]
+    picked = run.article_corpus(files, {"title": "other"}, where=where)
+    rows = run.numbered(picked)
+    assert rows.filter(F.col("id") != F.col(scan.ORDINAL)).count() == 0 and rows.count() == len(kept)
+    stored, manifest = run.ingest(picked, fresh_dir(spark, "picked"), 100)
+    assert stored.count() == len(kept)
+    assert stored.filter("id DIV 100 <> chunk_index").count() == 0
+    records = {r["chunk_index"]: r["records"] for r in manifest.collect()}
+    assert records == {k: 0 if k in (2, 3) else 50 for k in range(10)}
+
+
+def test_counts_of_a_dense_source_are_those_of_its_rows(files):
+    dense, scanned = corpus(files), corpus(files)
+    scanned.__dict__["order"] = scan.FileOrder(dense.order.entries, 10, 1000, False)
+    for cap in (None, 70):
+        counts = [sorted(run.source_counts(c, 300, cap).select("chunk_index", "records", "last", "dataset_key").collect()) for c in (dense, scanned)]
+        assert counts[0] == counts[1]
+
+
 def test_part_numbers_of_six_digits(spark):
     names = ["s/part-100000-a.parquet", "s/part-99999-a.parquet", "s/part-00002-a.parquet", "s/x.parquet", "r/part-7.parquet"]
     rows = [(name, k) for k, name in enumerate(names) for k in range(3)]

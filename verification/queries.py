@@ -208,7 +208,7 @@ def _manifests(spark, folder):
     and every seventh was left out."""
     base = fresh_dir(spark, "run")
     docs = document_corpus(spark, folder)
-    counts = materialize(run.source_counts(docs, SIZE), "counts")
+    counts = run.source_counts(docs, SIZE)
     stored = run.store_chunks(docs, base, SIZE, counts=counts)
     hurt = (F.col("chunk_index") % 5 == 1) & (F.col("_meta_row_index") == F.col("_meta_start_idx"))
     gone = F.col("chunk_index") % 7 == 3
@@ -244,8 +244,8 @@ def chunk_resume(spark, folder):
 def filtered_ingest(spark, folder):
     """Documents of one language; rows keep their places, so chunks have gaps."""
     base = fresh_dir(spark, "filtered")
-    docs = table(spark, folder, "documents").filter("lang = 'de'")
-    corpus = run.article_corpus(docs, {"id": "doc_id", "title": "source"})
+    docs = table(spark, folder, "documents")
+    corpus = run.article_corpus(docs, {"id": "doc_id", "title": "source"}, where="lang = 'de'")
     stored, manifest = run.ingest(corpus, base, SIZE)
     return run.load_raw(stored, manifest, S.RAW_ARTICLES, RUN_TS, [run.CHUNK_FIELD])
 
