@@ -1,18 +1,21 @@
 """Table writes that can be repeated: modes, chunk replace, keyed upsert."""
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.dedup import latest_rows
-from corpusloom.sources.workdir import path_exists, remove
+from corpusloom.sources.workdir import materialize, partition_values, path_exists, remove
 
-BUCKET, COUNT = "_bucket", "_bucket_count"
-PARTITIONS = [COUNT, BUCKET]
-# A new keyed table gets one bucket for so many of its first rows.
+# A row's bucket is the last `_bits` bits of its key's hash. Buckets of a table may differ
+# in bits, since a bucket that is full is split into longer ones.
+BITS, BUCKET = "_bits", "_bucket"
+PARTITIONS = [BITS, BUCKET]
+# A bucket with more rows is split.
 ROWS_PER_BUCKET = 1_000_000
+MOST_BITS = 40
 
 
 def write_table(
@@ -78,93 +81,153 @@ def merged(target: DataFrame, updates: DataFrame, keys) -> DataFrame:
     return kept.unionByName(updates.select(*target.columns))
 
 
-def bucketed(df: DataFrame, keys, buckets: int) -> DataFrame:
-    """Rows with the hash bucket of their key and the number of buckets."""
-    # The hash leaves NULLs out, so equal keys meet in one bucket, NULL or not.
-    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    return df.withColumns({COUNT: F.lit(buckets), BUCKET: number})
+def bucket_columns(hashed: Column, bits) -> dict[str, Column]:
+    """The bucket of a hash, for a number of bits."""
+    bits = (F.lit(bits) if isinstance(bits, int) else bits).cast("int")
+    number = hashed.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
+    return {BITS: bits, BUCKET: number}
 
 
-def bucket_count(spark: SparkSession, path: str, updates: DataFrame, asked: int | None) -> int:
-    """The bucket number of a table: what it was created with, whatever is asked for.
+def match_hash(df: DataFrame, keys) -> Column:
+    """Hash of a key that equals no other key if a part of it is NULL: such rows are dealt
+    out by all their columns, so they never fill one bucket."""
+    plain = [name for name, kind in df.dtypes if "map<" not in kind and name not in PARTITIONS]
+    some_null = reduce(or_, [F.col(k).isNull() for k in keys])
+    return F.when(some_null, F.xxhash64(*plain)).otherwise(F.xxhash64(*keys))
 
-    It is a partition column of the table, so it can never be lost or differ. A new table
-    gets what is asked for, or one bucket for every `ROWS_PER_BUCKET` of its first rows.
+
+def group_hash(df: DataFrame, keys) -> Column:
+    """Hash of a key whose NULL parts equal each other."""
+    return F.xxhash64(*keys)
+
+
+def table_buckets(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """(bits, number) of the buckets of a keyed table, from its folders."""
+    found = []
+    for bits in partition_values(spark, path, BITS):
+        found += [(int(bits), int(n)) for n in partition_values(spark, f"{path.rstrip('/')}/{BITS}={bits}", BUCKET)]
+    return found
+
+
+def is_keyed(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, path) and BITS in spark.read.parquet(path).columns
+
+
+def located(rows: DataFrame, hashed: Column, buckets: list[tuple[int, int]]) -> DataFrame:
+    """Rows with the bucket of the table that their hash belongs to.
+
+    Each hash ends like one bucket at most. If there is none, since no row came there
+    yet, the row starts a bucket of as many bits as the longest ones have. Tables have
+    few different numbers of bits; each but the largest is looked up in a join.
     """
-    if path_exists(spark, path):
-        table = spark.read.parquet(path)
-        if COUNT not in table.columns:
-            raise ValueError(f"{path} is not a keyed table")
-        return table.select(COUNT).limit(1).first()[0]
-    return asked or max(1, -(-updates.count() // ROWS_PER_BUCKET))
+    *shorter, longest = sorted({bits for bits, _ in buckets})
+    chosen, found = F.lit(longest), rows
+    for bits in shorter:
+        name = f"_in{bits}"
+        there = rows.sparkSession.createDataFrame([(n, True) for b, n in buckets if b == bits], f"_n long, {name} boolean")
+        ending = bucket_columns(hashed, bits)[BUCKET]
+        found = found.join(there, ending == F.col("_n"), "left").drop("_n")
+        chosen = F.when(F.col(name), bits).otherwise(chosen)
+    return found.withColumn(BITS, chosen).withColumns(bucket_columns(hashed, F.col(BITS))).drop(*[f"_in{b}" for b in shorter])
+
 
+def _first_bits(buckets: int | None) -> int:
+    return max(0, (buckets or 1) - 1).bit_length()
 
-def _rewrite(spark, path, schema, updates, buckets, combine) -> None:
-    """Combine the buckets that `updates` touches and swap them in.
+
+def _rewrite(updates: DataFrame, path: str, hash_of, buckets: int | None, limit: int, combine) -> None:
+    """Combine the buckets that `updates` touches and swap them in, then split full ones.
 
     The new content is written beside the table first, so the table is never
     overwritten by a job that also reads it, and a failure while swapping leaves a full
     copy of the new buckets in `<path>.staged`, which the next update takes in first.
+    Untouched buckets are not read.
     """
-    staged = f"{path.rstrip('/')}.staged"
-    if not path_exists(spark, path):
-        write_table(combine(None, updates), path, "overwrite", PARTITIONS)
-        return
-    touched = [row[BUCKET] for row in updates.select(BUCKET).distinct().collect()]
-    if not touched:
+    spark, staged = updates.sparkSession, f"{path.rstrip('/')}.staged"
+    _swap(spark, path)
+    hashed = hash_of(updates)
+    if path_exists(spark, path):
+        if not is_keyed(spark, path):
+            raise ValueError(f"{path} is not a keyed table")
+        rows = located(updates, hashed, table_buckets(spark, path)).select(*updates.columns, *PARTITIONS)
+        touched = rows.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("_updates"))
+        # Written, so that its size is known: it prunes the scan of the table.
+        touched = materialize(touched, "touched").where("_updates > 0").drop("_updates")
+        target = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+        combined = combine(target.join(touched, PARTITIONS, "left_semi"), rows)
+    else:
+        rows = updates.withColumns(bucket_columns(hashed, _first_bits(buckets)))
+        combined = combine(None, rows)
+    write_table(combined, staged, "errorifexists", PARTITIONS)
+    if not table_buckets(spark, staged):
+        # No updates: nothing was staged, and a table that is not there yet stays so.
+        remove(spark, staged)
         return
-    target = read_table(spark, path, schema)
-    if len(touched) < buckets:
-        target = target.filter(F.col(BUCKET).isin(touched))
-    write_table(combine(target, updates), staged, "errorifexists", PARTITIONS)
-    _swap(spark, path, schema)
-
-
-def _swap(spark, path, schema) -> None:
-    """Take over complete staged buckets, and drop them once they are in the table."""
+    new = read_table(spark, staged, rows.schema)
+    full = new.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    full = materialize(full, "full-buckets")
+    split = not full.isEmpty()
+    _swap(spark, path)
+    if split:
+        more = F.ceil(F.log2(F.col("_n") / limit)).cast("int")
+        longer = full.select(*PARTITIONS, F.least(F.col(BITS) + more, F.lit(MOST_BITS)).alias("_to")).where(f"_to > {BITS}")
+        target = spark.read.schema(rows.schema).parquet(path).select(*rows.columns).join(longer, PARTITIONS)
+        parts = target.withColumns(bucket_columns(hash_of(target.drop("_to")), F.col("_to"))).drop("_to")
+        write_table(parts.select(*rows.columns), staged, "errorifexists", PARTITIONS)
+        _swap(spark, path)
+
+
+def _swap(spark: SparkSession, path: str) -> None:
+    """Take over complete staged buckets, drop the shorter buckets that they were split
+    from, and drop the staged copy once all is in the table."""
     staged = f"{path.rstrip('/')}.staged"
     if path_exists(spark, f"{staged}/_SUCCESS"):
-        write_table(read_table(spark, staged, schema), path, "overwrite", PARTITIONS, balance=False)
+        new = table_buckets(spark, staged)
+        old = set(table_buckets(spark, path)) if path_exists(spark, path) else set()
+        if new:
+            write_table(spark.read.parquet(staged), path, "overwrite", PARTITIONS, balance=False)
+        shorter = {(bits, n % (1 << bits)) for b, n in new for bits in range(b)}
+        for bits, n in old & shorter:
+            remove(spark, f"{path.rstrip('/')}/{BITS}={bits}/{BUCKET}={n}")
     if path_exists(spark, staged):
         remove(spark, staged)
 
 
-def upsert(updates: DataFrame, path: str, keys, buckets: int | None = None) -> None:
+def upsert(
+    updates: DataFrame, path: str, keys, buckets: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> None:
     """Update matching rows, insert the others, create the table if missing.
 
-    Rows live in hash buckets of the key, and only buckets with updates are
-    rewritten. Without keys this is a plain append, which a keyed table refuses. Two
-    updates for one key have no defined winner and are refused.
+    Rows live in hash buckets of the key; only buckets with updates are read and
+    rewritten, and a bucket that gets more than `rows_per_bucket` rows is split. `buckets`
+    is how many a new table starts with. Without keys this is a plain append, which a
+    keyed table refuses. Two updates for one key have no defined winner and are refused.
+    It assumes one writer, and readers that wait for it.
     """
     spark = updates.sparkSession
     if not keys:
-        if path_exists(spark, path) and COUNT in spark.read.parquet(path).columns:
+        if is_keyed(spark, path):
             raise ValueError(f"{path} is a keyed table; updates need its keys")
         write_table(updates, path, "append")
         return
     if duplicate_keys(updates.dropna(subset=list(keys)), keys).limit(1).count():
         raise ValueError(f"updates hold more than one row for the same {list(keys)}")
-    buckets = bucket_count(spark, path, updates, buckets)
-    rows = bucketed(updates, keys, buckets)
-    _swap(spark, path, rows.schema)
     _rewrite(
-        spark, path, rows.schema, rows, buckets,
+        updates, path, lambda df: match_hash(df, keys), buckets, rows_per_bucket,
         lambda target, new: new if target is None else merged(target, new, keys),
     )
 
 
-def upsert_latest(updates: DataFrame, path: str, keys, order, buckets: int | None = None) -> None:
+def upsert_latest(
+    updates: DataFrame, path: str, keys, order, buckets: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> None:
     """Keep the latest row per key over the table and the updates.
 
     NULL keys form one group, as in the batch dedup. Applying the same updates
     again changes nothing.
     """
-    spark = updates.sparkSession
-    buckets = bucket_count(spark, path, updates, buckets)
-    rows = bucketed(updates, keys, buckets)
-    _swap(spark, path, rows.schema)
     _rewrite(
-        spark, path, rows.schema, rows, buckets,
+        updates, path, lambda df: group_hash(df, keys), buckets, rows_per_bucket,
         lambda target, new: latest_rows(
             new if target is None else target.unionByName(new), keys, order
         ),

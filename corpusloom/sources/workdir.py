@@ -35,6 +35,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column, from the folders right below `path`."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    entries = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    names = [e.getPath().getName() for e in entries]
+    return [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library has written and that nobody reads any more."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -142,6 +142,92 @@ def test_bucket_number_belongs_to_the_table(spark):
         tables.upsert(frame(spark, [(1, "a")]), path, [])
 
 
+def bucket_sizes(spark, path):
+    got = tables.read_table(spark, path)
+    return {(r[tables.BITS], r[tables.BUCKET]): r["count"] for r in got.groupBy(tables.BITS, tables.BUCKET).count().collect()}
+
+
+def test_full_buckets_split_and_others_stay(spark):
+    path = fresh_dir(spark, "t")
+    keys = lambda n: spark.range(n).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    tables.upsert(keys(50), path, ["k"], rows_per_bucket=100)
+    assert bucket_sizes(spark, path) == {(0, 0): 50}
+    tables.upsert(keys(1_000), path, ["k"], rows_per_bucket=100)
+    sizes = bucket_sizes(spark, path)
+    assert sum(sizes.values()) == 1_000 and len(sizes) >= 10
+    # Buckets cover every hash once: none is the end of another.
+    assert not [1 for b, n in sizes for c, m in sizes if b < c and m % (1 << b) == n]
+    before = {f.split("/")[-1] for f in tables.read_table(spark, path).inputFiles()}
+    tables.upsert(frame(spark, [(3, "new"), (5_000, "new")]), path, ["k"], rows_per_bucket=100)
+    got = tables.read_table(spark, path)
+    after = {f.split("/")[-1] for f in got.inputFiles()}
+    assert len(before - after) <= 2
+    assert got.count() == 1_001 and got.select("k").distinct().count() == 1_001
+    assert got.filter("v = 'new'").count() == 2
+    # Ten times as many rows; all buckets stay about as small as asked for.
+    tables.upsert(keys(10_000), path, ["k"], rows_per_bucket=100)
+    assert max(bucket_sizes(spark, path).values()) <= 150
+    assert tables.read_table(spark, path).count() == 10_000
+
+
+def test_rows_without_a_key_do_not_fill_one_bucket(spark):
+    path = fresh_dir(spark, "t")
+    rows = spark.range(2_000).select(F.lit(None).cast("long").alias("k"), F.col("id").cast("string").alias("v"))
+    tables.upsert(rows, path, ["k"], rows_per_bucket=200)
+    assert max(bucket_sizes(spark, path).values()) <= 400
+    assert tables.read_table(spark, path).count() == 2_000
+
+
+def test_equal_hashes_cannot_be_split_for_ever(spark):
+    path = fresh_dir(spark, "t")
+    rows = spark.createDataFrame([(None, "same")] * 30, "k long, v string")
+    for _ in range(2):
+        tables.upsert(rows, path, ["k"], rows_per_bucket=10)
+    assert tables.read_table(spark, path).count() == 60
+
+
+def test_only_touched_buckets_are_read(spark, plan_of, monkeypatch):
+    path = fresh_dir(spark, "t")
+    keys = spark.range(1_000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    tables.upsert(keys, path, ["k"], rows_per_bucket=50)
+    plans = []
+    real = tables.merged
+    monkeypatch.setattr(tables, "merged", lambda t, u, k: plans.append(plan_of(t)) or real(t, u, k))
+    tables.upsert(frame(spark, [(3, "new")]), path, ["k"], rows_per_bucket=50)
+    assert "dynamicpruning" in plans[0]
+
+
+def test_split_that_was_interrupted_is_finished(spark, monkeypatch):
+    path = fresh_dir(spark, "t")
+    tables.upsert(frame(spark, [(i, "old") for i in range(20)]), path, ["k"])
+    with monkeypatch.context() as patch:
+        real, calls = tables._swap, []
+
+        def stop(*args):
+            calls.append(args)
+            if len(calls) == 3:
+                raise RuntimeError("lost")
+            real(*args)
+
+        patch.setattr(tables, "_swap", stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.upsert(frame(spark, [(i, "new") for i in range(10, 40)]), path, ["k"], rows_per_bucket=10)
+    tables.upsert(frame(spark, [(1, "newer")]), path, ["k"], rows_per_bucket=10)
+    got = dict(rows(tables.read_table(spark, path).select("k", "v")))
+    assert len(got) == 40 == tables.read_table(spark, path).count()
+    assert got[1] == "newer" and got[2] == "old" and got[12] == "new"
+    assert len(bucket_sizes(spark, path)) > 2
+
+
+def test_updates_without_rows(spark):
+    path = fresh_dir(spark, "t")
+    tables.upsert(frame(spark, []), path, ["k"])
+    assert not tables.path_exists(spark, path)
+    tables.upsert(frame(spark, [(1, "a")]), path, ["k"])
+    tables.upsert(frame(spark, []), path, ["k"])
+    assert tables.read_table(spark, path).count() == 1
+
+
 def test_interrupted_swap_is_finished_by_the_next_update(spark, monkeypatch):
     path = fresh_dir(spark, "t")
     tables.upsert(frame(spark, [(i, "old") for i in range(20)]), path, ["k"], 4)
