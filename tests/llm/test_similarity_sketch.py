@@ -3,8 +3,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_parity_join import corpus, shingles
 
+from corpusloom.llm import prefilter
 from corpusloom.llm import similarity_sketch as S
 from corpusloom.llm.components import components
 
@@ -92,13 +94,27 @@ def test_groups_that_no_representative_links(spark):
 
 def test_blocks_hold_every_pair_of_a_bucket(spark, monkeypatch):
     monkeypatch.setattr(S, "BLOCK", 3)
-    nodes = [(node, 100, bytes([7]) * S.COORDINATES) for node in range(40)]
-    sets = spark.createDataFrame(nodes, "node long, size long, sketch binary")
+    nodes = [(node, 100, bytes([7]) * S.COORDINATES, bytes([3]) * 64) for node in range(40)]
+    sets = spark.createDataFrame(nodes, "node long, size long, sketch binary, bits binary")
     buckets = spark.createDataFrame([(key, n, 40) for key in (1, 2) for n in range(40)], "key long, node long, n long")
     roots = components(spark.createDataFrame([(0, k) for k in range(1, 25)], "a long, b long"))
     pairs = [tuple(r) for r in S.apart(buckets, roots, sets).collect()]
     want = {(a, b) for a in range(40) for b in range(a + 1, 40) if b >= 25}
     assert set(pairs) == want and len(pairs) == len(want)
+    # One partner of each set in each group of blocks.
+    few = [tuple(r) for r in S.apart(buckets, roots, sets, closest=True).collect()]
+    assert set(few) < want and {x for pair in few for x in pair} >= set(range(25, 40))
+
+
+def test_bitmaps_hold_back_rows_and_lose_none(spark, monkeypatch):
+    rows = spark.range(20_000).withColumn("key", F.xxhash64("id"))
+    wanted = rows.where("id % 50 = 7").select("key")
+    kept = prefilter.maybe_among(rows, "key", wanted)
+    assert kept.where("id % 50 = 7").count() == 400 and kept.count() < 410
+    # A bitmap that is too small for its keys holds back little, and loses none either.
+    monkeypatch.setattr(prefilter, "BITS", 256)
+    kept = prefilter.maybe_among(rows, "key", wanted)
+    assert kept.where("id % 50 = 7").count() == 400 and kept.columns == rows.columns
 
 
 def test_nulls_empty_long_and_repeated_rows(spark):
