@@ -236,6 +236,7 @@ def load_or_fallback(raw: DataFrame, corpus: Corpus, run_ts: str) -> DataFrame:
         "_meta_dataset_name": corpus.dataset,
         "_dbt_extracted_at": run_ts,
         "_dbt_source_table": V.SOURCE_TABLE,
+        ROW_FIELD.name: 0,
     }
     return scan.with_fallback(raw, row)
 
@@ -318,7 +319,8 @@ def run_corpora(
     table("run_summary", C.run_summary(manifest))
 
     keep = (CHUNK_FIELD.name,)
-    stg_web = table("stg_web", staging.stg_web(raw[web.key], batch_id, run_ts, script, (ROW_FIELD.name,), keep))
+    number = ROW_FIELD.name
+    stg_web = table("stg_web", staging.stg_web(raw[web.key], batch_id, run_ts, script, (number,), keep, row=number))
     stg_articles = table(
         "stg_articles", staging.stg_articles(raw[articles.key], batch_id, run_ts, script, keep=keep)
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import rules as R
 from corpusloom.functions import text as X
-from corpusloom.operators.dedup import dedup_latest
+from corpusloom.operators.dedup import dedup_latest, dedup_latest_by_row
 
 
 def _run_columns(batch_id: str, run_ts: str) -> dict:
@@ -55,18 +55,20 @@ def web_rows(raw: DataFrame, script: str = "narrow") -> DataFrame:
 
 
 def stg_web(
-    raw: DataFrame, batch_id: str, run_ts: str, script: str = "narrow", tie=(), keep=()
+    raw: DataFrame, batch_id: str, run_ts: str, script: str = "narrow", tie=(), keep=(), row: str | None = None
 ) -> DataFrame:
     """Web staging: valid rows of the script, the latest per (text, url).
 
     `tie` names columns that decide between rows extracted at the same time,
-    `keep` names further raw columns to carry.
+    `keep` names further raw columns to carry. `row` names a column that numbers the
+    rows of a stored table, if there is one; texts are then fetched by it.
     """
-    latest = dedup_latest(
-        web_rows(raw, script),
-        "text",
-        "url",
-        [F.col("_dbt_extracted_at").desc(), *[F.col(c).desc() for c in tie]],
+    order = [F.col("_dbt_extracted_at").desc(), *[F.col(c).desc() for c in tie]]
+    rows = web_rows(raw, script)
+    latest = (
+        dedup_latest(rows, "text", "url", order)
+        if row is None
+        else dedup_latest_by_row(rows, "text", "url", order, row)
     )
     return clean_web(latest, script, keep).withColumns(
         {

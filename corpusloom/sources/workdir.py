@@ -29,25 +29,37 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it is not there."""
+    files, target = _folder(spark, path)
+    return [e.getPath().getName() for e in files.listStatus(target)] if files.exists(target) else []
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a partition column, from the folders right below `path`."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    entries = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
-    names = [e.getPath().getName() for e in entries]
-    return [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return [n.split("=", 1)[1] for n in folder_names(spark, path) if n.startswith(f"{column}=")]
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Make an empty folder; its name is the message, and it is there or not."""
+    files, target = _folder(spark, path)
+    files.mkdirs(target)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _folder(spark, path)
+    return files.exists(target)
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library has written and that nobody reads any more."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _folder(spark, path)
+    files.delete(target, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -1,14 +1,18 @@
 """Structured Streaming jobs. Each drains the available files and stops, so a
 scheduler can rerun it; the checkpoint folder keeps what is already done."""
 
+import hashlib
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import digest
 from corpusloom.operators.chunks import validate_chunks
 from corpusloom.operators.dedup import latest_rows
-from corpusloom.sources.tables import read_table, upsert_latest, write_table
-from corpusloom.sources.workdir import path_exists, remove
+from corpusloom.sources.tables import PARTITIONS, read_table, upsert_latest, write_table
+from corpusloom.sources.workdir import folder_names, mark, partition_values, path_exists, remove
 
 
 def file_stream(
@@ -105,6 +109,18 @@ def append_files(stream: DataFrame, path: str, checkpoint: str):
 
 
 DEDUP_KEYS = ["_digest", "url"]
+STREAM, STREAM_BATCH = "_stream", "_batch"
+
+
+def stream_key(checkpoint: str) -> str:
+    """Short name of the stream that keeps its progress in this checkpoint folder."""
+    return "s" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:15]
+
+
+def committed_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last batch that a stream has finished, -1 if there is none."""
+    names = folder_names(spark, f"{checkpoint.rstrip('/')}/commits")
+    return max((int(n) for n in names if n.isdigit()), default=-1)
 
 
 def latest_wins(stream: DataFrame, log: str, checkpoint: str, order):
@@ -113,13 +129,14 @@ def latest_wins(stream: DataFrame, log: str, checkpoint: str, order):
     The stream's own duplicate removal keeps the first row it sees, so this
     keeps all batch winners and `read_latest` picks the newest of them. A batch
     costs what it holds, however large the log is. A replayed batch overwrites
-    its own partition.
+    its own partition. Several streams may share a log.
     """
     keyed = stream.withColumn("_digest", digest("text"))
+    name = F.lit(stream_key(checkpoint))
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        winners = latest_rows(batch, DEDUP_KEYS, order).withColumn("_batch", F.lit(batch_id))
-        write_table(winners, log, "overwrite", ["_batch"], balance=False)
+        winners = latest_rows(batch, DEDUP_KEYS, order).withColumns({STREAM: name, STREAM_BATCH: F.lit(batch_id)})
+        write_table(winners, log, "overwrite", [STREAM, STREAM_BATCH], balance=False)
 
     return (
         keyed.writeStream.foreachBatch(store)
@@ -129,22 +146,74 @@ def latest_wins(stream: DataFrame, log: str, checkpoint: str, order):
     )
 
 
-def read_latest(spark: SparkSession, log: str, order) -> DataFrame:
-    """The latest row per (text, url) over all logged batches."""
-    return latest_rows(read_table(spark, log), DEDUP_KEYS, order).drop("_digest", "_batch")
-
-
-def compact_latest(spark: SparkSession, log: str, table: str, order, buckets: int | None = None) -> None:
-    """Merge the log into a keyed table, bucket by bucket, then drop the merged log.
-
-    Run it while the stream is stopped. If it fails before the log is dropped, merging
-    the same log again changes nothing.
+def _logged_batches(spark: SparkSession, log: str) -> dict[str, list[int]]:
+    """Numbers of the logged batches of each stream, from the log's folders."""
+    streams = partition_values(spark, log, STREAM)
+    return {s: [int(b) for b in partition_values(spark, f"{log}/{STREAM}={s}", STREAM_BATCH)] for s in streams}
+
+
+def merged_marks(spark: SparkSession, table: str) -> dict[str, int]:
+    """For each stream, the last batch that the table holds: the names of the folders in
+    `<table>.merged`, which appear whole or not at all."""
+    marks: dict[str, int] = {}
+    for name in folder_names(spark, f"{table.rstrip('/')}.merged"):
+        stream, batch = name.rsplit("-", 1)
+        marks[stream] = max(marks.get(stream, -1), int(batch))
+    return marks
+
+
+def _log_rows(spark: SparkSession, log: str, wanted: dict[str, list[int]]) -> DataFrame | None:
+    """Logged rows of some batches; only their folders are read."""
+    picked = [
+        (F.col(STREAM) == s) & F.col(STREAM_BATCH).between(min(bs), max(bs)) for s, bs in wanted.items() if bs
+    ]
+    if not picked:
+        return None
+    return read_table(spark, log).where(reduce(or_, picked)).drop(STREAM, STREAM_BATCH)
+
+
+def read_latest(spark: SparkSession, log: str, order, table: str | None = None) -> DataFrame:
+    """The latest row per (text, url) over all logged batches and, if it is named, the
+    table that earlier batches were merged into. Batches that the table holds are not read
+    again from the log."""
+    marks = merged_marks(spark, table) if table else {}
+    logged = {s: [b for b in bs if b > marks.get(s, -1)] for s, bs in _logged_batches(spark, log).items()}
+    parts = [p for p in [_log_rows(spark, log, logged)] if p is not None]
+    if table and path_exists(spark, table):
+        parts.append(read_table(spark, table).drop(*PARTITIONS))
+    if not parts:
+        raise ValueError(f"nothing is stored in {log}" + (f" or {table}" if table else ""))
+    return latest_rows(reduce(DataFrame.unionByName, parts), DEDUP_KEYS, order).drop("_digest")
+
+
+def compact_latest(
+    spark: SparkSession, log: str, table: str, order, buckets: int | None = None, checkpoints=None
+) -> None:
+    """Merge logged batches into a keyed table, mark them as merged, then drop them.
+
+    With `checkpoints`, only batches that those streams have committed are merged, so it
+    may run beside them; otherwise all logged ones are, while the streams stand still. If
+    it fails before the mark, merging the same batches again changes nothing; batches that
+    are marked but not dropped yet are dropped by the next call.
     """
-    if not path_exists(spark, log):
-        return
-    logged = read_table(spark, log).drop("_batch")
-    upsert_latest(latest_rows(logged, DEDUP_KEYS, order), table, DEDUP_KEYS, order, buckets)
-    remove(spark, log)
+    marks, last = merged_marks(spark, table), None
+    if checkpoints is not None:
+        last = {stream_key(c): committed_batch(spark, c) for c in checkpoints}
+    logged = _logged_batches(spark, log)
+    new = {
+        s: [b for b in bs if b > marks.get(s, -1) and (last is None or b <= last.get(s, -1))] for s, bs in logged.items()
+    }
+    rows = _log_rows(spark, log, new)
+    if rows is not None:
+        upsert_latest(latest_rows(rows, DEDUP_KEYS, order), table, DEDUP_KEYS, order, buckets)
+        for stream, batches in new.items():
+            if batches:
+                mark(spark, f"{table.rstrip('/')}.merged/{stream}-{max(batches)}")
+    marks = merged_marks(spark, table)
+    for stream, batches in logged.items():
+        for batch in batches:
+            if batch <= marks.get(stream, -1):
+                remove(spark, f"{log}/{STREAM}={stream}/{STREAM_BATCH}={batch}")
 
 
 def quality_counters(stream: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import values as V
@@ -68,6 +69,56 @@ def test_dedup_over_many_batches(spark):
         assert pairs(tables.read_table(spark, table)) == expected
 
 
+def test_streams_go_on_after_a_merge(spark):
+    """Rows of table and log together, whatever was merged, dropped or replayed."""
+    source, base = fresh_dir(spark, "src"), fresh_dir(spark, "merge")
+    schema = "text string, url string, ts long"
+    order = [F.col("ts").desc()]
+    log, table, checkpoint = f"{base}/log", f"{base}/table", f"{base}/checkpoint"
+    latest = {}
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        latest.update({k: max(latest.get(k, t), t) for k, _, t in rows})
+        stream = jobs.file_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
+        jobs.drain(jobs.latest_wins(stream, log, checkpoint, order))
+
+    def seen():
+        return {r["text"]: r["ts"] for r in jobs.read_latest(spark, log, order, table).collect()}
+
+    arrive([("a", "u", 5), ("b", "u", 1)])
+    assert seen() == latest
+    jobs.compact_latest(spark, log, table, order, checkpoints=[checkpoint])
+    assert seen() == latest and not [b for bs in jobs._logged_batches(spark, log).values() for b in bs]
+    # A newer and an older copy, and a new text.
+    arrive([("a", "u", 3), ("b", "u", 2), ("c", None, 1)])
+    assert seen() == latest == {"a": 5, "b": 2, "c": 1}
+    # A batch that is not committed is left for later.
+    jobs.compact_latest(spark, log, table, order, checkpoints=[f"{base}/other"])
+    assert jobs.merged_marks(spark, table) == {jobs.stream_key(checkpoint): 0}
+    assert jobs.committed_batch(spark, checkpoint) == 1 and jobs.committed_batch(spark, f"{base}/other") == -1
+    jobs.compact_latest(spark, log, table, order)
+    arrive([("c", None, 9)])
+    assert seen() == latest
+
+
+def test_merge_that_failed_before_its_mark_is_repeated(spark, monkeypatch):
+    base, order = fresh_dir(spark, "merge"), [F.col("ts").desc()]
+    log, table, source = f"{base}/log", f"{base}/table", f"{base}/source"
+    spark.createDataFrame([("a", "u", 1), ("a", "u", 2)], "text string, url string, ts long").write.parquet(source)
+    stream = jobs.file_stream(spark, source, spark.read.parquet(source).schema)
+    jobs.drain(jobs.latest_wins(stream, log, f"{base}/checkpoint", order))
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "mark", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            jobs.compact_latest(spark, log, table, order)
+    assert [r["ts"] for r in jobs.read_latest(spark, log, order, table).collect()] == [2]
+    jobs.compact_latest(spark, log, table, order)
+    assert [r["ts"] for r in jobs.read_latest(spark, log, order, table).collect()] == [2]
+    with pytest.raises(ValueError, match="nothing is stored"):
+        jobs.read_latest(spark, f"{base}/none", order, f"{base}/nowhere")
+
+
 def test_counters_and_missing_table(spark):
     counts = {r["dataset_name"]: r for r in Q.stream_quality_counts(spark, FOLDER).collect()}
     assert counts[V.WEB_DATASET]["total_records"] == Q.raw_web(spark, FOLDER).count()

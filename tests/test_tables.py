@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.operators import dedup
 from corpusloom.operators.dedup import dedup_latest
 from corpusloom.sources import tables
 from corpusloom.sources.workdir import fresh_dir
@@ -117,6 +118,21 @@ def test_dedup_reduces_copies_before_the_shuffle(spark, plan_of):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange")
 
 
+def test_dedup_by_row_moves_no_texts(spark, plan_of, monkeypatch):
+    path = fresh_dir(spark, "t")
+    rows_of = [(t, u, ts, tie * 40_000) for t, u, ts, tie in TEXTS] + [("x" * 50, "u", 1, 7)]
+    texts(spark, rows_of).write.parquet(path)
+    stored = spark.read.parquet(path)
+    want = rows(dedup_latest(stored, "text", "url", order()).fillna("", ["url"]))
+    got = dedup.dedup_latest_by_row(stored, "text", "url", order(), "tie")
+    assert rows(got.fillna("", ["url"])) == want
+    assert not [x for x in plan_of(got).splitlines() if "Exchange" in x and "text" in x]
+    assert "SortMergeJoin" not in plan_of(got)
+    # Too many winners to broadcast: the same rows through a shuffle.
+    monkeypatch.setattr(dedup, "BROADCAST_BITMAPS", 2)
+    assert rows(dedup.dedup_latest_by_row(stored, "text", "url", order(), "tie").fillna("", ["url"])) == want
+
+
 def test_upsert_latest_equals_batch_dedup(spark):
     path = fresh_dir(spark, "t")
     for part in (TEXTS[:3], TEXTS[3:], TEXTS[:5]):

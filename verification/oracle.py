@@ -898,6 +898,12 @@ QUERIES = {
         QUALIFY row_number() OVER (PARTITION BY text, url
           ORDER BY _dbt_extracted_at DESC, _row_key DESC) = 1""",
     ),
+    "dedup_latest_by_row": (
+        ("raw_web",),
+        """SELECT text, url, _dbt_extracted_at, _row_key FROM raw_web
+        QUALIFY row_number() OVER (PARTITION BY text, url
+          ORDER BY _dbt_extracted_at DESC, _row_key DESC) = 1""",
+    ),
     "stg_web": (("web",), "SELECT * EXCLUDE (raw_text, raw_url, _row_key, _meta_chunk_index) FROM web"),
     "stg_articles": (("articles",), "SELECT * EXCLUDE (_meta_chunk_index) FROM articles"),
     "quality_checks": (("simple",), "SELECT * FROM simple"),
@@ -1064,6 +1070,12 @@ QUERIES = {
         QUALIFY row_number() OVER (PARTITION BY text, url
           ORDER BY _dbt_extracted_at DESC, _row_key DESC) = 1""",
     ),
+    "stream_dedup_compacted": (
+        ("raw_web",),
+        """SELECT text, url, _dbt_extracted_at, _row_key FROM raw_web
+        QUALIFY row_number() OVER (PARTITION BY text, url
+          ORDER BY _dbt_extracted_at DESC, _row_key DESC) = 1""",
+    ),
     "stream_quality_counts": (
         ("simple_all",),
         """SELECT _meta_dataset_name AS dataset_name, count(*) AS total_records,

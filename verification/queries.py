@@ -8,6 +8,7 @@ from corpusloom.functions import numeric as N
 from corpusloom.functions import text as X
 from corpusloom.operators import aggregates as A
 from corpusloom.operators import chunks as C
+from corpusloom.operators import dedup
 from corpusloom.operators.dedup import dedup_latest
 from corpusloom.plans import checks as K
 from corpusloom.plans import marts, quality, run, staging
@@ -516,6 +517,25 @@ def dedup_latest_rows(spark, folder):
 
 REGISTRY["dedup_latest"] = REGISTRY.pop("dedup_latest_rows")
 
+
+@query
+def dedup_latest_by_row(spark, folder):
+    """The same rows, where texts are fetched by the winners' row numbers."""
+    docs, pages = table(spark, folder, "documents"), table(spark, folder, "pages")
+    visits = [
+        raw_views.web_from_documents(docs), raw_views.web_from_pages(pages), raw_views.web_from_pages(pages, hours=1)
+    ]
+    numbered = [rows.withColumn("_row", F.col("_row_key") * len(visits) + k) for k, rows in enumerate(visits)]
+    rows = dedup.dedup_latest_by_row(
+        numbered[0].union(numbered[1]).union(numbered[2]),
+        "text",
+        "url",
+        [F.col("_dbt_extracted_at").desc(), F.col("_row_key").desc()],
+        "_row",
+    )
+    return rows.select("text", "url", "_dbt_extracted_at", "_row_key")
+
+
 # ---- models and marts -----------------------------------------------------
 
 
@@ -825,6 +845,25 @@ def stream_dedup(spark, folder):
     )
 
 
+@query
+def stream_dedup_compacted(spark, folder):
+    """Documents and pages arrive as streams of one log, which is merged into a table in
+    between; a later visit stays in the log. The result is that of table and log."""
+    base = fresh_dir(spark, "stream-compact")
+    order = [F.col("_dbt_extracted_at").desc(), F.col("_row_key").desc()]
+    log, stored = f"{base}/log", f"{base}/table"
+    docs, pages = _stream(spark, folder, "documents"), _stream(spark, folder, "pages")
+    visits = [
+        raw_views.web_from_documents(docs), raw_views.web_from_pages(pages), raw_views.web_from_pages(pages, hours=1)
+    ]
+    for number, rows in enumerate(visits):
+        checkpoint = f"{base}/checkpoint-{number}"
+        jobs.drain(jobs.latest_wins(rows, log, checkpoint, order))
+        if number < len(visits) - 1:
+            jobs.compact_latest(spark, log, stored, order, checkpoints=[checkpoint])
+    return jobs.read_latest(spark, log, order, stored).select("text", "url", "_dbt_extracted_at", "_row_key")
+
+
 @query
 def stream_quality_counts(spark, folder):
     base = fresh_dir(spark, "stream-counts")
