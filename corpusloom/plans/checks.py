@@ -7,7 +7,7 @@ with zero failures stay in the result; `failures` drops them.
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import values as V
@@ -43,6 +43,28 @@ def run_rules(df: DataFrame, rules) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+def watched(df: DataFrame, rules, aliases=None) -> tuple[DataFrame, Observation]:
+    """The frame with its rules and rows counted while some action reads it, such as the
+    write that the frame is made for. `aliases` gives columns the names that rules use."""
+    seen = Observation()
+    extra = {new: F.col(old) for new, old in (aliases or {}).items() if new != old}
+    counts = [F.count_if(r.failing).alias(f"r{i}") for i, r in enumerate(rules)]
+    rows = df.withColumns(extra).observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+    return rows.select(*df.columns), seen
+
+
+def observed(spark: SparkSession, found) -> DataFrame:
+    """Failing rows per rule, from (rules, observation) pairs; a rule that was watched on
+    several frames is summed. One number per rule is all that reaches the driver."""
+    rows: dict[tuple[str, str], int] = {}
+    for rules, seen in found:
+        counts = seen.get
+        for i, r in enumerate(rules):
+            rows[r.name, r.description] = rows.get((r.name, r.description), 0) + counts[f"r{i}"]
+    data = [(name, n, text) for (name, text), n in rows.items()]
+    return spark.createDataFrame(data, "test_name string, failing_records long, test_description string")
+
+
 def union_checks(*frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -118,6 +140,21 @@ def unique(df: DataFrame, model: str, *key) -> DataFrame:
     return named(repeated, f"unique_{model}_{label}", f"{label} must be unique")
 
 
+def keys_unique(df: DataFrame, model: str, key: str, deficit: str, description: str) -> DataFrame:
+    """Both uniqueness checks of a key from one grouping: rows beyond one for each value
+    (NULL keys are all beyond), and values that occur repeatedly."""
+    copies = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    one = copies.agg(
+        F.coalesce(F.sum("n") - F.count("_key"), F.lit(0)).alias("deficit"),
+        F.count_if(F.col("_key").isNotNull() & (F.col("n") > 1)).alias("repeated"),
+    )
+    row = lambda name, n, text: F.struct(
+        F.lit(name).alias("test_name"), F.col(n).alias("failing_records"), F.lit(text).alias("test_description")
+    )
+    repeated = row(f"unique_{model}_{key}", "repeated", f"{key} must be unique")
+    return one.select(F.inline(F.array(row(deficit, "deficit", description), repeated)))
+
+
 # ---- rules on scored records ----------------------------------------------
 
 
@@ -278,6 +315,16 @@ def total_consistency(records: DataFrame, summary: DataFrame) -> DataFrame:
     )
 
 
+def totals_equal(summary: DataFrame, records: int) -> DataFrame:
+    """`total_consistency` for a number of records that is known already."""
+    listed = F.coalesce(F.sum(F.when(F.col("dataset_name") != TOTAL, F.col("total_records"))), F.lit(0))
+    return named(
+        summary.agg(F.when(listed != records, 1).otherwise(0).alias("failing_records")),
+        "aggregation_consistency",
+        "Summary totals should match individual record counts",
+    )
+
+
 # ---- rules on the staging models ------------------------------------------
 
 
@@ -367,6 +414,19 @@ def required_columns(df: DataFrame, required=S.REQUIRED_WEB_COLUMNS) -> DataFram
     return counted.select(F.inline(F.array(*rows)))
 
 
+def missing_in_schema(spark: SparkSession, columns, required=S.REQUIRED_WEB_COLUMNS) -> DataFrame:
+    """`missing_columns` for known column names: no row is read."""
+    gone = len([c for c in required if c not in columns])
+    data = [("missing_required_columns", gone, "Required columns must be present in staging models")]
+    return spark.createDataFrame(data, "test_name string, failing_records long, test_description string")
+
+
+def types_in_schema(spark: SparkSession, kinds) -> DataFrame:
+    """`type_consistency` for known column types: no row is read."""
+    data = [("data_type_consistency", len(set(kinds)) - 1, "Common columns should have consistent data types")]
+    return spark.createDataFrame(data, "test_name string, failing_records long, test_description string")
+
+
 def missing_columns(df: DataFrame, required=S.REQUIRED_WEB_COLUMNS) -> DataFrame:
     total = required_columns(df, required).agg(F.sum("missing").alias("failing_records"))
     return named(total, "missing_required_columns", "Required columns must be present in staging models")
@@ -449,3 +509,63 @@ def suite(
             *mart_checks(marts or {}),
         )
     )
+
+
+WEB_AS_RECORD = {"text": "content_text", "text_length": "content_length", "_meta_dataset_name": "source_dataset"}
+ARTICLE_AS_RECORD = {"text": "article_text", "_meta_dataset_name": "source_dataset"}
+
+
+def fact_rules(model: str, facts: DataFrame, aliases: dict, own_rules) -> list:
+    """Rules of a fact table: those of its staging model and those of its records."""
+    shaped = facts.withColumns({new: F.col(old) for new, old in aliases.items()})
+    return (
+        own_rules + contract_rules(model, facts) + record_rules() + contract_rules("quality_checks", shaped)
+    )
+
+
+@dataclass(frozen=True)
+class WatchedFacts:
+    """Fact tables to be written, their rules and what was counted on the way."""
+
+    web: DataFrame
+    articles: DataFrame
+    rules: tuple
+    seen: tuple
+
+    def records(self) -> int:
+        return sum(s.get["rows"] for s in self.seen)
+
+
+def watched_facts(web: DataFrame, articles: DataFrame, run_ts: str) -> WatchedFacts:
+    rules = (
+        fact_rules("stg_web", web, WEB_AS_RECORD, web_rules(run_ts)),
+        fact_rules("stg_articles", articles, ARTICLE_AS_RECORD, article_rules(run_ts)),
+    )
+    web, web_seen = watched(web, rules[0], WEB_AS_RECORD)
+    articles, article_seen = watched(articles, rules[1], ARTICLE_AS_RECORD)
+    return WatchedFacts(web, articles, rules, (web_seen, article_seen))
+
+
+def observed_suite(
+    facts: WatchedFacts, articles: DataFrame, summary: DataFrame, marts: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """The suite after the watched facts were written: their row rules are counted
+    already, so only article keys (one column) and the small marts are read. `articles`
+    is the written table."""
+    spark = articles.sparkSession
+    kinds = [facts.web.schema["content_length"].dataType, facts.articles.schema["text_length"].dataType]
+    return graded(
+        union_checks(
+            observed(spark, zip(facts.rules, facts.seen, strict=True)),
+            run_rules(summary, [summary_rule()] + contract_rules("dataset_quality_summary", summary)),
+            completeness(summary, [V.WEB_DATASET, V.ARTICLE_DATASET]),
+            missing_in_schema(spark, facts.web.columns),
+            types_in_schema(spark, [k.simpleString() for k in kinds]),
+            keys_unique(
+                articles, "stg_articles", "article_id",
+                "primary_key_uniqueness", "Wikipedia article IDs should be unique",
+            ),
+            totals_equal(summary, facts.records()),
+            *mart_checks(marts or {}),
+        )
+    )

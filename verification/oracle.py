@@ -611,6 +611,11 @@ SUITE_ROWS = union(
     PRIMARY_KEY,
     uniq("stg_articles", "articles", "article_id"),
     TOTALS,
+    not_null("content_summary", "mart_contents", ["total_records", "avg_content_length"]),
+    in_range("content_summary", "mart_contents", "total_records", 0, None),
+    in_range("content_summary", "mart_contents", "avg_content_length", 0, 100000),
+    not_null("content_quality_metrics", "mart_metrics", ["source", "quality_tier"]),
+    accepted("content_quality_metrics", "mart_metrics", "quality_tier", ["high", "medium", "low", "poor"]),
 )
 WARNING = [n for n, _, _ in RECORD_CHECKS.values()] + [
     "summary_data_integrity", "dataset_completeness", "data_freshness_fineweb",
@@ -1051,7 +1056,20 @@ QUERIES = {
     ),
     "check_type_consistency": (("web", "articles"), TYPES),
     "check_total_consistency": (("full_", "summary_full"), TOTALS),
-    "check_suite": (("web", "articles", "full_", "summary_full"), SUITE),
+    "check_suite": (("web", "articles", "full_", "summary_full", "mart_contents", "mart_metrics"), SUITE),
+    "check_contracts": (
+        ("raw_web", "broken_articles", "broken_contents", "broken_metrics"),
+        f"""{union(
+            not_null("raw_web", "raw_web", ["text"]),
+            not_null("raw_articles", "broken_articles", ["id", "title", "text"]),
+            uniq("raw_articles", "broken_articles", "id"),
+            not_null("content_summary", "broken_contents", ["total_records", "avg_content_length"]),
+            in_range("content_summary", "broken_contents", "total_records", 0, None),
+            in_range("content_summary", "broken_contents", "avg_content_length", 0, 100000),
+            not_null("content_quality_metrics", "broken_metrics", ["source", "quality_tier"]),
+            accepted("content_quality_metrics", "broken_metrics", "quality_tier", ["high", "medium", "low", "poor"]),
+        )}""",
+    ),
     "stream_ingest": (
         ("ordered",),
         f"""SELECT doc_id, text, '{V.ARTICLE_DATASET}' AS _meta_dataset_name,
@@ -1089,6 +1107,20 @@ QUERIES = {
         FROM simple_all GROUP BY 1""",
     ),
 }
+CTES["broken_articles"] = (
+    ("raw_articles",),
+    "SELECT * REPLACE (CASE WHEN title NOT LIKE 'src9-%' THEN id END AS id) FROM raw_articles",
+)
+CTES["broken_contents"] = (
+    ("mart_contents",),
+    f"""SELECT * REPLACE (CASE WHEN source_type = '{V.WEB_KEY}' THEN -1.0::DOUBLE END AS avg_content_length)
+      FROM mart_contents""",
+)
+CTES["broken_metrics"] = (
+    ("mart_metrics",),
+    "SELECT * REPLACE (CASE WHEN total_items > 1 THEN upper(quality_tier) END AS quality_tier) FROM mart_metrics",
+)
+CTES["mart_contents"], CTES["mart_metrics"] = QUERIES["content_summary"], QUERIES["content_quality_metrics"]
 for _key, (_name, _text, _condition) in RECORD_CHECKS.items():
     QUERIES.setdefault(
         _key, (("full_all",), check(_name, _text, rows_where(_condition), "full_all"))

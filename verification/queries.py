@@ -779,13 +779,36 @@ def check_total_consistency(spark, folder):
 
 @query
 def check_suite(spark, folder):
-    """All tests, over staging facts that are written once."""
+    """All tests, counted while staging facts are written, and the contracts of marts."""
     staged_web, staged_articles = both(spark, folder, (CHUNK,))
-    web_rows = materialize(run.web_facts(staged_web), "web-facts")
-    article_rows = materialize(run.article_facts(staged_articles), "article-facts")
+    facts = K.watched_facts(run.web_facts(staged_web), run.article_facts(staged_articles), RUN_TS)
+    web_rows, article_rows = materialize(facts.web, "web-facts"), materialize(facts.articles, "article-facts")
     rows = run.facts_as_records(web_rows, article_rows)
-    summary = materialize(marts.dataset_quality_summary(rows, RUN_TS), "summary")
-    return K.suite(web_rows, article_rows, rows, summary, RUN_TS)
+    summary = materialize(marts.dataset_quality_summary(rows, RUN_TS, stored=True), "summary")
+    checked = {
+        "content_summary": marts.content_summary(web_rows, article_rows, BATCH, RUN_TS),
+        "content_quality_metrics": marts.content_quality_metrics(web_rows, article_rows, BATCH, RUN_TS),
+    }
+    return K.observed_suite(facts, article_rows, summary, checked)
+
+
+@query
+def check_contracts(spark, folder):
+    """Declared contracts of sources and marts, over sources and marts in which rows are
+    broken by rule: texts of one language, ids of one source, and what marts make of them."""
+    docs = raw_articles(spark, folder)
+    broken = docs.withColumn("id", F.when(~F.col("title").startswith("src9-"), F.col("id")))
+    w, a = both(spark, folder)
+    contents = marts.content_summary(w, a, BATCH, RUN_TS)
+    contents = contents.withColumn("avg_content_length", F.when(F.col("source_type") == V.WEB_KEY, -1.0))
+    metrics = marts.content_quality_metrics(w, a, BATCH, RUN_TS)
+    metrics = metrics.withColumn("quality_tier", F.when(F.col("total_items") > 1, F.upper("quality_tier")))
+    return K.union_checks(
+        K.run_rules(raw_web(spark, folder), K.contract_rules("raw_web", raw_web(spark, folder))),
+        K.run_rules(broken, K.contract_rules("raw_articles", broken)),
+        K.unique(broken, "raw_articles", "id"),
+        *K.mart_checks({"content_summary": contents, "content_quality_metrics": metrics}),
+    )
 
 
 # ---- streams --------------------------------------------------------------
