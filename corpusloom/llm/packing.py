@@ -17,6 +17,7 @@ text are read, so other columns cannot clash.
 
 import re
 import zlib
+from math import ceil, sqrt
 
 import numpy as np
 import public_tokenizers
@@ -27,18 +28,18 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusloom.llm.bytesets import LOWER, slices, text_bytes
-from corpusloom.llm.token_counts import Memory
 from corpusloom.sources.workdir import materialize
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END = 0
-# Pieces of one length that are ranked together; more take several salted groups.
+# Pieces of one length that are ranked together at most.
 RANK_GROUP = 1 << 16
-# Parts of words whose ids a Python worker remembers, about 250 bytes each.
-PART_MEMORY = 800_000
+# Bytes that a Python worker's memory of ids takes at most, about, and what an entry costs
+# besides its content.
+MEMORY_BYTES, ENTRY_BYTES = 64 << 20, 240
 # Bytes of text whose words are looked up together.
-SLICE = 8 << 20
+SLICE = 2 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -78,6 +79,25 @@ def lower(data: np.ndarray) -> np.ndarray:
     return out
 
 
+class Remembered(dict):
+    """Ids worked out once from their key; emptied when keys and ids take too many bytes."""
+
+    def __init__(self, compute, most: int = MEMORY_BYTES):
+        self.compute, self.most, self.held = compute, most, 0
+
+    def __missing__(self, key) -> np.ndarray:
+        value = self.compute(key)
+        # A character takes four bytes at most.
+        size = ENTRY_BYTES + 4 * len(key) + value.nbytes
+        if self.held + size > self.most:
+            self.clear()
+            self.held = 0
+        if size <= self.most:
+            self[key] = value
+            self.held += size
+        return value
+
+
 class WordIds:
     """Ids of whole texts, from ids of their parts that were worked out once.
 
@@ -89,8 +109,8 @@ class WordIds:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.part = Memory(self.of_part, PART_MEMORY)
-        self.word = Memory(self.encode)
+        self.part = Remembered(self.of_part)
+        self.word = Remembered(self.encode)
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -267,14 +287,16 @@ def slots(patterns) -> tuple[np.ndarray, ...]:
     return tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int64),) * 4
 
 
-def ranked(pieces: DataFrame, total: int) -> DataFrame:
+def ranked(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
     """Each piece's rank (from 0) among the pieces of its length.
 
-    Pieces of a length are ranked within salted groups of bounded expected size; a
-    group starts where the groups before it end.
+    Pieces of a length are ranked within salted groups, at least as many as a group has
+    pieces, so that a group is small; it starts where the groups before it end.
     """
-    groups = max(1, -(-total // RANK_GROUP))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    counts = [histogram.get(n, 0) for n in range(max(histogram, default=0) + 1)]
+    groups = [max(1, ceil(sqrt(n)), -(-n // RANK_GROUP)) for n in counts]
+    salts = F.split(F.lit(",".join(map(str, groups))), ",")[F.col("length").cast("int")].cast("int")
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), salts))
     sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -307,5 +329,5 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, path: str | None = None
             )
 
     columns = ("doc_id", "piece", "start", "length", "ids_crc32", "rank")
-    places = ranked(pieces, sum(histogram.values())).select(*columns)
+    places = ranked(pieces, histogram).select(*columns)
     return places.mapInArrow(placed, PIECES + ", sequence_id long, offset long")

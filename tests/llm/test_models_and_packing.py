@@ -234,6 +234,20 @@ def test_plan_fills_and_uses_every_length():
     assert packing.plan({}, 10) == []
 
 
+def test_memory_of_ids_is_bounded_by_bytes():
+    asked = []
+
+    def compute(key):
+        asked.append(key)
+        return np.zeros(len(key), "<u4")
+
+    memory = packing.Remembered(compute, most=10_000)
+    for k in range(100):
+        assert len(memory[f"word{k}"]) == len(f"word{k}") and memory.held <= 10_000
+    assert len(memory[b"x" * 5_000]) == 5_000 and b"x" * 5_000 not in memory
+    assert asked.count("word99") == 1 and len(asked) == 101
+
+
 def test_pieces_and_places(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANK_GROUP", 7)
     rnd = random.Random(10)
