@@ -164,9 +164,16 @@ def postfix(expression: str) -> list[str] | None:
     return out + stack[::-1]
 
 
+# What may follow a licence's name in an identifier: nothing, a version, or a further part.
+_NAME_END = re.compile(r"\Z|[-+_.]|v?[0-9]")
+
+
 def label_of(identifier: str) -> str:
+    """The label of an identifier that has a known name as a whole word; others are
+    labels of their own."""
     word = identifier.lower().rstrip(".")
-    return next((label for start, label in IDENTIFIERS if word.startswith(start)), word)
+    known = (label for start, label in IDENTIFIERS if word.startswith(start) and _NAME_END.match(word, len(start)))
+    return next(known, word)
 
 
 def evaluate(expression: str) -> tuple[set[str], float]:

@@ -145,6 +145,10 @@ def test_base_places_match_brute_force(spark):
         ("(MIT OR Apache-2.0) AND GPL-2.0", {"mit", "apache", "gpl"}, 0.4),
         ("MIT is what we use", {"mit"}, 0.95),
         ("AND MIT (", {"mit"}, 0.95),
+        ("MITRE-1.0", {"mitre-1.0"}, licenses.UNKNOWN),
+        ("MIT-0 OR GPLv2", {"mit", "gpl"}, 0.95),
+        ("Apache2", {"apache"}, 0.9),
+        ("BSDish", {"bsdish"}, licenses.UNKNOWN),
     ],
 )
 def test_expressions(expression, labels, value):
