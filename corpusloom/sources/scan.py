@@ -201,3 +201,25 @@ def source_contract(df: DataFrame, required) -> dict:
     """Column names, missing columns and a three-row sample of a source."""
     missing = [c for c in required if c not in df.columns]
     return {"columns": df.columns, "missing": missing, "sample": df.limit(3)}
+
+
+def schema_drift(df: DataFrame, name: str, expected) -> DataFrame:
+    """One row for each column that a source should have or has: expected and found type,
+    and what is wrong (`missing`, `type`, `extra`; NULL if nothing is), with the number of
+    records and files that this concerns.
+
+    Types come from the schema. Read a source of many files with the option `mergeSchema`
+    and the schema is that of all footers; a column that only some files have is there.
+    Records and files are counted from footers, so no column is read.
+    """
+    found = {f.name: f.dataType.simpleString() for f in df.schema}
+    wanted = {f.name: f.dataType.simpleString() for f in expected}
+    rows = []
+    for column in [*wanted, *[c for c in found if c not in wanted]]:
+        want, have = wanted.get(column), found.get(column)
+        wrong = "missing" if have is None else "extra" if want is None else "type" if want != have else None
+        values = {"column_name": column, "expected_type": want, "found_type": have, "problem": wrong}
+        rows.append(F.struct(*[F.lit(v).cast("string").alias(k) for k, v in values.items()]))
+    files = df.select(F.col("_metadata.file_path").alias(FILE)).groupBy(FILE).agg(F.count(F.lit(1)).alias("n"))
+    counted = files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("records"), F.count(FILE).alias("files"))
+    return counted.select(F.lit(name).alias("source"), F.inline(F.array(*rows)), "records", "files")

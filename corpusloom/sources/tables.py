@@ -51,9 +51,11 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def save_table(df: DataFrame, name: str) -> DataFrame:
-    """Create or replace a catalog table from a frame and read it back."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Create or replace a catalog table from a frame and read it back; with `path` its
+    files lie there and stay when the table is dropped."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.read.table(name)
 
 

@@ -264,3 +264,29 @@ def test_read_source_formats(spark, files, tmp_path):
     files.write.json(str(tmp_path / "j"))
     back = scan.read_source(spark, str(tmp_path / "j"), "json", files.schema)
     assert back.count() == 1000
+
+
+def test_schema_drift_over_files(spark):
+    """A column that one of many files has, and a type that is not the declared one."""
+    path = fresh_dir(spark, "drift")
+    spark.range(5).select("id", F.lit("t").alias("text")).coalesce(1).write.parquet(path)
+    spark.range(7).select("id", F.lit("t").alias("text"), F.lit(1).alias("late")).coalesce(1).write.mode("append").parquet(path)
+    source = spark.read.option("mergeSchema", "true").parquet(path)
+    expected = spark.createDataFrame([], "id string, text string, url string").schema
+    got = {r["column_name"]: tuple(r)[2:] for r in scan.schema_drift(source, "s", expected).collect()}
+    assert got == {
+        "id": ("string", "bigint", "type", 12, 2),
+        "text": ("string", "string", None, 12, 2),
+        "url": ("string", None, "missing", 12, 2),
+        "late": (None, "int", "extra", 12, 2),
+    }
+
+
+def test_schema_drift_reads_no_column(spark, files, plan_of):
+    plan = plan_of(scan.schema_drift(files, "s", files.schema))
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_direct_load_takes_the_first_rows(spark, files):
+    rows = run.direct_load(corpus(files), "2024-01-01 00:00:00", limit=120).collect()
+    assert sorted(int(r["id"]) for r in rows) == list(range(120))

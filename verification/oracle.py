@@ -625,6 +625,24 @@ SUITE = f"""SELECT *, CASE WHEN failing_records = 0 THEN 'pass' ELSE severity EN
 FROM (SELECT *, CASE WHEN test_name IN ({', '.join(f"'{w}'" for w in WARNING)}) THEN 'warn'
   ELSE 'error' END AS severity FROM ({SUITE_ROWS}) a) b"""
 
+# ---- sources --------------------------------------------------------------
+
+
+def drift(source, columns):
+    """Expected and found types of a table; `!` marks columns that it does not have."""
+    rows = []
+    for column in columns.split():
+        name, expected = column.rstrip("!").split(":")
+        want = f"'{expected}'" if expected else "NULL"
+        have = "NULL" if column.endswith("!") else f"typeof(any_value({name}))"
+        rows.append(f"SELECT '{name}' AS column_name, {want}::VARCHAR AS expected_type, {have}::VARCHAR AS kind, count(*) AS records FROM {source}")
+    return f"""SELECT '{source}' AS source, column_name, expected_type, found_type, records,
+      CASE WHEN found_type IS NULL THEN 'missing' WHEN expected_type IS NULL THEN 'extra'
+        WHEN found_type <> expected_type THEN 'type' END AS problem
+    FROM (SELECT *, CASE kind WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+      WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS found_type FROM ({' UNION ALL '.join(rows)}) r) t"""
+
+
 # ---- chunks ---------------------------------------------------------------
 
 ARTICLE_SHORT = "wikipedia_20231101.ja"
@@ -774,6 +792,35 @@ QUERIES = {
         UNION ALL SELECT NULL, NULL, text, 'https://example.com/' || ordinal, {RUN},
           '{V.WEB_DATASET}', {RUN}, '{V.SOURCE_TABLE}' FROM ordered""",
     ),
+    "direct_load_limited": (
+        ("ordered", "pages_ordered"),
+        f"""SELECT doc_id::VARCHAR AS id, source AS title, text, NULL::VARCHAR AS url, NULL::TIMESTAMP AS "timestamp",
+          '{V.ARTICLE_DATASET}' AS _meta_dataset_name, {RUN} AS _dbt_extracted_at,
+          '{V.SOURCE_TABLE}' AS _dbt_source_table FROM ordered WHERE ordinal < 150
+        UNION ALL SELECT NULL, NULL, html, url, {RUN}, '{V.WEB_DATASET}', {RUN}, '{V.SOURCE_TABLE}'
+          FROM pages_ordered WHERE ordinal < 75""",
+    ),
+    "catalog_tables": (
+        (),
+        """SELECT format, o_orderkey, o_orderstatus, o_totalprice, false AS old_exists
+          FROM orders, (VALUES ('table'), ('parquet'), ('orc'), ('json')) f(format)""",
+    ),
+    "source_contract": (
+        (),
+        " UNION ALL ".join(
+            drift(source, columns)
+            for source, columns in (
+                ("documents", "doc_id:bigint text:string lang:string source:string n_chars:int url:string!"),
+                ("pages", "page_id:bigint url:string html:string fetched:timestamp!"),
+                ("conversations", "conv_id:string turn:bigint role:string text:string"),
+                (
+                    "orders",
+                    "o_orderkey:bigint o_custkey:bigint o_orderstatus:string o_totalprice:double"
+                    " o_orderdate: o_orderpriority:",
+                ),
+            )
+        ),
+    ),
     "example_models": (
         (),
         union(

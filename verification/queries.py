@@ -1,7 +1,11 @@
 """Every operator as a query over the test tables: name -> (spark, folder) -> frame."""
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import values as V
 from corpusloom.functions import numeric as N
@@ -279,6 +283,50 @@ def field_defaults(spark, folder):
     )
 
 
+@query
+def direct_load_limited(spark, folder):
+    """The first records of two sources, without chunk files."""
+    docs = run.direct_load(document_corpus(spark, folder), RUN_TS, limit=150)
+    pages = run.direct_load(page_corpus(spark, folder), RUN_TS, limit=75)
+    return docs.unionByName(pages, allowMissingColumns=True)
+
+
+@query
+def catalog_tables(spark, folder):
+    """A table is created, replaced and read by name; the same rows are read back from
+    files of other formats by the same switch; another table is dropped."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    name = f"orders_{uuid.uuid4().hex}"
+    tables.save_table(orders.withColumn("o_totalprice", F.lit(0.0)), name, fresh_dir(spark, "created"))
+    tables.save_table(orders, name, fresh_dir(spark, "replaced"))
+    tables.save_table(orders, f"{name}_old", fresh_dir(spark, "dropped"))
+    tables.drop_table(spark, f"{name}_old")
+    read = {"table": scan.read_source(spark, name, "table")}
+    for fmt in ("parquet", "orc", "json"):
+        path = fresh_dir(spark, fmt)
+        orders.write.format(fmt).save(path)
+        read[fmt] = scan.read_source(spark, path, fmt, orders.schema)
+    left = spark.catalog.tableExists(f"{name}_old")
+    parts = [rows.select(F.lit(fmt).alias("format"), "*", F.lit(left).alias("old_exists")) for fmt, rows in read.items()]
+    return reduce(DataFrame.union, parts)
+
+
+@query
+def source_contract(spark, folder):
+    """Columns and types of every given source against what the corpora need."""
+    wanted = {
+        "documents": "doc_id long, text string, lang string, source string, n_chars int, url string",
+        "pages": "page_id long, url string, html string, fetched timestamp",
+        "conversations": "conv_id string, turn long, role string, text string",
+        "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double",
+    }
+    found = []
+    for name, schema in wanted.items():
+        source = spark.read.option("mergeSchema", "true").parquet(f"{folder}/{name}.parquet")
+        found.append(scan.schema_drift(source, name, T.StructType.fromDDL(schema)))
+    return reduce(DataFrame.union, found).drop("files")
+
+
 @query
 def example_models(spark, folder):
     """Ids of the documents plus one literal NULL id, tested for not_null and
