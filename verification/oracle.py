@@ -1104,6 +1104,36 @@ QUERIES = {
     "check_type_consistency": (("web", "articles"), TYPES),
     "check_total_consistency": (("full_", "summary_full"), TOTALS),
     "check_suite": (("web", "articles", "full_", "summary_full", "mart_contents", "mart_metrics"), SUITE),
+    "check_broken_records": (
+        ("broken_records",),
+        union(
+            [check(n, d, rows_where(c), "broken_records") for n, d, c in RECORD_CHECKS.values()],
+            STRUCTURE.replace("FROM full_", "FROM broken_records"),
+        ),
+    ),
+    "check_broken_models": (
+        ("web", "articles", "full_", "summary_full"),
+        union(
+            check(
+                "foreign_key_integrity", "Source dataset references should be valid",
+                rows_where("content_length % 3 = 0"), "web",
+            ),
+            check(
+                "primary_key_uniqueness", "Wikipedia article IDs should be unique",
+                "count(*) - count(DISTINCT left(article_id, 1))", "articles",
+            ),
+            uniq("stg_articles", "(SELECT left(article_id, 1) AS article_id FROM articles) s", "article_id"),
+            check("missing_required_columns", "Required columns must be present in staging models", "2", "(SELECT 1) one"),
+            check("data_type_consistency", "Common columns should have consistent data types", "1", "(SELECT 1) one"),
+            check("summary_data_integrity", "Summary percentages and totals should be valid", "count(*)", "summary_full"),
+            check("dataset_completeness", "All expected datasets should have records", "1", "(SELECT 1) one"),
+            check(
+                "aggregation_consistency", "Summary totals should match individual record counts",
+                "(sum(total_records + 1) FILTER (WHERE dataset_name <> 'TOTAL') <> (SELECT count(*) FROM full_))::INT",
+                "summary_full",
+            ),
+        ),
+    ),
     "check_contracts": (
         ("raw_web", "broken_articles", "broken_contents", "broken_metrics"),
         f"""{union(
@@ -1154,6 +1184,20 @@ QUERIES = {
         FROM simple_all GROUP BY 1""",
     ),
 }
+CTES["broken_records"] = (
+    ("full_all",),
+    """SELECT * REPLACE (
+      CASE WHEN text_length % 3 = 0 THEN 'high' ELSE quality_class END AS quality_class,
+      CASE WHEN text_length % 5 = 0 THEN 'content' ELSE content_type END AS content_type,
+      CASE WHEN text_length % 7 = 0 THEN 'HOME' ELSE text END AS text,
+      CASE WHEN text_length % 2 = 0 THEN 0 ELSE has_encoding_issues END AS has_encoding_issues,
+      CASE WHEN text_length % 31 = 0 THEN 150 WHEN text_length % 11 = 0 THEN 95 ELSE quality_score END AS quality_score,
+      CASE WHEN text_length % 13 = 0 THEN 1 ELSE is_too_short END AS is_too_short,
+      CASE WHEN text_length % 17 = 0 THEN 1 ELSE is_too_long END AS is_too_long,
+      CASE WHEN text_length % 19 = 0 THEN text_length + 1 ELSE total_japanese_chars END AS total_japanese_chars,
+      CASE WHEN text_length % 23 = 0 THEN 1.5 ELSE whitespace_ratio END AS whitespace_ratio,
+      CASE WHEN text_length % 29 = 0 THEN 1 - is_anomaly ELSE is_anomaly END AS is_anomaly) FROM full_all""",
+)
 CTES["broken_articles"] = (
     ("raw_articles",),
     "SELECT * REPLACE (CASE WHEN title NOT LIKE 'src9-%' THEN id END AS id) FROM raw_articles",

@@ -840,6 +840,53 @@ def check_suite(spark, folder):
     return K.observed_suite(facts, article_rows, summary, checked)
 
 
+@query
+def check_broken_records(spark, folder):
+    """Every record rule over measured rows in which values are falsified by rule."""
+    n = F.col("text_length")
+    every = lambda k, value, column: F.when(n % k == 0, value).otherwise(F.col(column)).alias(column)
+    falsified = {
+        "quality_class": every(3, "high", "quality_class"),
+        "content_type": every(5, "content", "content_type"),
+        "is_nav_word": every(7, True, "is_nav_word"),
+        "has_replacement_char": every(7, False, "has_replacement_char"),
+        "has_encoding_issues": every(2, 0, "has_encoding_issues"),
+        "quality_score": F.when(n % 31 == 0, 150).otherwise(every(11, 95, "quality_score")),
+        "is_too_short": every(13, 1, "is_too_short"),
+        "is_too_long": every(17, 1, "is_too_long"),
+        "total_japanese_chars": every(19, n + 1, "total_japanese_chars"),
+        "whitespace_ratio": every(23, 1.5, "whitespace_ratio"),
+        "is_anomaly": every(29, 1 - F.col("is_anomaly"), "is_anomaly"),
+    }
+    # Written, so that the rules read the falsified values and are not folded into them.
+    rows = materialize(measured_unfiltered(spark, folder), "measures").withColumns(falsified)
+    return K.run_rules(rows, K.record_rules())
+
+
+@query
+def check_broken_models(spark, folder):
+    """Checks of models, keys, schemas and totals over models with falsified rows,
+    columns and sums."""
+    w, a = both(spark, folder, (CHUNK,))
+    w, a = materialize(w, "web"), materialize(a, "articles")
+    blank = F.when(F.col("content_length") % 3 == 0, "").otherwise(F.col("source_dataset"))
+    short = a.withColumn("article_id", F.left("article_id", F.lit(1)))
+    rows = quality.measured_rows(w, a).drop("text")
+    summary = materialize(marts.dataset_quality_summary(rows, RUN_TS), "summary")
+    wrong = summary.withColumn("avg_quality_score", F.col("avg_quality_score") + 100)
+    more = summary.withColumn("total_records", F.col("total_records") + 1)
+    kinds = [w.withColumn("content_length", F.col("content_length").cast("string")).schema["content_length"], a.schema["text_length"]]
+    return K.union_checks(
+        K.run_rules(w.withColumn("source_dataset", blank), [K.source_rule()]),
+        K.keys_unique(short, "stg_articles", "article_id", "primary_key_uniqueness", "Wikipedia article IDs should be unique"),
+        K.missing_in_schema(spark, w.drop("contains_japanese_chars", "source_dataset").columns),
+        K.types_in_schema(spark, [k.dataType.simpleString() for k in kinds]),
+        K.run_rules(wrong, [K.summary_rule()]),
+        K.completeness(summary.filter(F.col("dataset_name") != V.ARTICLE_DATASET), [V.WEB_DATASET, V.ARTICLE_DATASET]),
+        K.total_consistency(rows, more),
+    )
+
+
 @query
 def check_contracts(spark, folder):
     """Declared contracts of sources and marts, over sources and marts in which rows are
