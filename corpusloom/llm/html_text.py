@@ -5,7 +5,10 @@ link density, the same for its neighbours, and what the markup around it says (i
 an article; inside a menu, footer, form, advert, comment list and so on). A decision
 tree trained on a small table of labelled pages decides which blocks are main text.
 Scripts, styles, comments and page heads never become text. What stands in a script,
-style, title, textarea or iframe is not markup: only its own end tag is looked for. Cutting
+style, title, textarea or iframe is not markup: only its own end tag is looked for. Names
+(class, id, role) count on every element that holds text: paragraphs, list items and rows
+too, and an element inside a line that is named as advert, notice, comment or the like is
+left out of the line. Cutting
 a page is a small helper that Spark maps over Arrow batches; features, tree and joining are
 expressions.
 
@@ -18,6 +21,7 @@ clash.
 
 import re
 from collections import Counter
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -67,6 +71,19 @@ FIRM_TAGS = frozenset("nav aside footer menu dialog".split())
 FIRM_WORDS = frozenset(
     "comment comments promo promoted related replies reply respond sponsor sponsored".split()
 )
+# Names by which an element inside a line is no part of its text; elements
+# that end when a like one begins, what they end, and what holds them.
+INLINE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising banner comment comments consent cookie cookies gdpr newsletter "
+    "notice promo promoted share sharing social sponsor sponsored subscribe".split()
+)
+LOOSE_TAGS = {
+    "p": ({"p"}, set()),
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "tr": ({"tr"}, {"table"}),
+}
 MAIN_TAGS = frozenset("article main".split())
 PAGE_TAGS = frozenset("html body".split())
 CONTENT_WORDS = frozenset("article content entry main post story text".split())
@@ -77,7 +94,6 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.DOTALL,
 )
-_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE) for tag in SILENT_TAGS}
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _SIZE = re.compile(r"[0-9][0-9a-z]*")
 _WORD = re.compile(r"[a-z]+")
@@ -94,6 +110,11 @@ BLOCK = T.StructType(
 )
 
 
+@lru_cache(512)
+def end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE)
+
+
 def frame_word(words: list[str]) -> str:
     """The word by which a name marks page frame: the last one, without words for parts."""
     if STATE_WORDS.intersection(words):
@@ -180,6 +201,7 @@ def blocks(html: str) -> list[tuple]:
     pieces: list[str] = []
     # Open block elements as (tag, in article, in frame).
     opened: list[tuple[str, bool, int]] = [("", False, 0)]
+    standing: Counter = Counter()
     linked = 0
     heading = link = False
     silent: Silence | None = None
@@ -204,10 +226,29 @@ def blocks(html: str) -> list[tuple]:
             out.append((" ".join(words), len(words), min(linked, len(words)), int(article), int(frame > 0), int(heading)))
         linked = 0
 
+    def drop(place: int):
+        for tag, _, _ in opened[place:]:
+            standing[tag] -= 1
+        del opened[place:]
+
+    def drop_like(tag: str):
+        """End what ends where this block element begins: an open paragraph, and an element
+        of the same list, table row or entry that has no end tag."""
+        if opened[-1][0] == "p":
+            drop(len(opened) - 1)
+        like, holders = LOOSE_TAGS.get(tag, (set(), set()))
+        if any(standing[t] > 0 for t in like):
+            for place in range(len(opened) - 1, 0, -1):
+                if opened[place][0] in like:
+                    drop(place)
+                    break
+                if opened[place][0] in holders:
+                    break
+
     def closed(tag: str) -> bool:
         """Whether an end tag of this kind follows."""
         if tag not in last_ends:
-            last_ends[tag] = max((m.start() for m in _ENDS[tag].finditer(html)), default=-1)
+            last_ends[tag] = max((m.start() for m in end_of(tag).finditer(html)), default=-1)
         return last_ends[tag] >= at
 
     at = 0
@@ -221,7 +262,7 @@ def blocks(html: str) -> list[tuple]:
         tag = tag.lower()
         if tag in RAW_TAGS and not ending and not attributes.rstrip().endswith("/"):
             if closed(tag):
-                at = _ENDS[tag].search(html, at).end()
+                at = end_of(tag).search(html, at).end()
                 continue
             if tag in CODE_TAGS:
                 at = len(html)
@@ -236,6 +277,12 @@ def blocks(html: str) -> list[tuple]:
             if not attributes.rstrip().endswith("/"):
                 silent = Silence(tag, not closed(tag))
             continue
+        inline = not ending and tag not in BLOCK_TAGS and tag not in VOID_TAGS and "=" in attributes
+        if inline and INLINE_WORDS.intersection(hints(tag, attributes)[0]):
+            # An advert, notice or comment inside a line: its text is left out.
+            pieces.append(" ")
+            silent = Silence(tag, not closed(tag))
+            continue
         if ending:
             outside[tag] -= outside[tag] > 0
         elif tag not in VOID_TAGS:
@@ -249,13 +296,15 @@ def blocks(html: str) -> list[tuple]:
             link = False
             heading = not ending and len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
             if ending:
-                place = next((i for i in range(len(opened) - 1, 0, -1) if opened[i][0] == tag), None)
-                if place is not None:
-                    del opened[place:]
-            elif tag not in ("p", "hr", "li", "dt", "dd", "tr"):
+                if standing[tag] > 0:
+                    drop(next(i for i in range(len(opened) - 1, 0, -1) if opened[i][0] == tag))
+            elif tag != "hr":
+                drop_like(tag)
                 marks, content = hints(tag, attributes)
                 _, in_article, in_frame = opened[-1]
+                content &= tag not in LOOSE_TAGS
                 opened.append((tag, in_article or content, framed(tag, marks, in_article, in_frame)))
+                standing[tag] += 1
     if not silent:
         add(html[at:])
     close()
@@ -281,8 +330,9 @@ def cut(pages: DataFrame) -> DataFrame:
     return source.mapInArrow(cut_up, schema)
 
 
-def features(found: Column, block: Column, at: Column) -> list[Column]:
-    """Numbers that the tree decides on, of a block and its neighbours."""
+def features(found: Column, block: Column, at: Column, any_article: Column) -> list[Column]:
+    """Numbers that the tree decides on, of a block and its neighbours; `any_article`
+    tells of the whole page whether a block of it is in an article."""
 
     def density(b):
         return F.coalesce(b["linked"] / b["words"], F.lit(0.0))
@@ -290,19 +340,23 @@ def features(found: Column, block: Column, at: Column) -> list[Column]:
     before, after = F.get(found, at - 1), F.get(found, at + 1)
     near = [F.coalesce(b["words"], F.lit(0)).cast("double") for b in (block, before, after)]
     flags = [block[k].cast("double") for k in ("article", "frame", "heading")]
-    any_article = F.exists(found, lambda b: b["article"] == 1).cast("double")
     return [*near, density(block), density(before), density(after), *flags, any_article]
 
 
+def with_article(found: DataFrame) -> DataFrame:
+    """Cut pages with `any_article`, worked out once for each page."""
+    return found.withColumn("any_article", F.exists("blocks", lambda b: b["article"] == 1).cast("double"))
+
+
 def labelled(spark) -> DataFrame:
     """Blocks of the labelled pages, with features and a label."""
     rows = [(n, "", html, main) for n, (html, main) in enumerate(PAGES)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, main array<string>")
-    found = cut(pages).join(pages.select("page_id", "main"), "page_id")
+    found = with_article(cut(pages)).join(pages.select("page_id", "main"), "page_id")
     own = found.select(
         "main",
         F.explode(
-            F.transform("blocks", lambda b, i: F.struct(b["text"].alias("text"), F.array(*features(F.col("blocks"), b, i)).alias("x")))
+            F.transform("blocks", lambda b, i: F.struct(b["text"].alias("text"), F.array(*features(F.col("blocks"), b, i, F.col("any_article"))).alias("x")))
         ).alias("b"),
     )
     return own.select(
@@ -328,8 +382,8 @@ def decision(node, x: list[Column]) -> Column:
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars for every row of `pages`."""
     root = trained(pages.sparkSession)
-    found = cut(pages)
-    kept = F.filter("blocks", lambda b, i: decision(root, features(F.col("blocks"), b, i)))
+    found = with_article(cut(pages))
+    kept = F.filter("blocks", lambda b, i: decision(root, features(F.col("blocks"), b, i, F.col("any_article"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     joined = found.select("page_id", "url", text.alias("text"))
     return joined.withColumn("n_chars", F.length("text").cast("long"))

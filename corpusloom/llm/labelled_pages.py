@@ -140,4 +140,20 @@ PAGES = [
         "All pages on walls and roofs</p></div></form></body>",
         ["Moss", "Moss grows on the north wall, where the sun does not reach it.", "Slowly."],
     ),
+    (
+        "<body><article><h1>Oats</h1><p class='advert'>A new oven bakes twice as fast, and this week you pay half of "
+        "its price.</p><p>Oats are sown in spring, as soon as the ground is dry enough to be walked on.</p><ul><li>Rye"
+        "</li><li class='ad'>Win a mill stone for your garden</li><li>Barley</ul><p>They <span class='sponsored'>Order "
+        "flour today</span> ripen late.</p><p class='cookie-notice'>We keep a small file on your machine so that we "
+        "know you when you come back.</p><table><tr><td>Acres</td><td>Forty</td></tr><tr class='promo'><td>Seed at "
+        "half price until Sunday</td></tr></table></article></body>",
+        [
+            "Oats",
+            "Oats are sown in spring, as soon as the ground is dry enough to be walked on.",
+            "Rye",
+            "Barley",
+            "They ripen late.",
+            "Acres Forty",
+        ],
+    ),
 ]

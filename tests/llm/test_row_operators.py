@@ -268,6 +268,42 @@ def test_frame_names(html, frame):
     assert [b[4] for b in html_text.blocks(html)] == [frame]
 
 
+@pytest.mark.parametrize(
+    "marked",
+    [
+        "<p class='advert'>Buy a kettle now and get one free of charge.</p>",
+        "<ul><li class='ad'>Buy a kettle now</li></ul>",
+        "<span class='ad'>Buy a kettle now</span>",
+        "<p class='cookie-notice'>We use cookies to make this site better for all.</p>",
+        "<ul><li class='ad'><p>Buy</p><p>a kettle</p></ul>",
+        "<p class='advert'>Buy a kettle now",
+        "<span class='ad'>Buy <b>a</b> kettle <span>now</span></span>",
+        "<span class='ad'>Buy a kettle now",
+        "<dl><dt class='promo'>Kettle<dd class='promo'>Half price</dl>",
+        "<table><tr class='sponsored'><td>Buy</td></tr></table>",
+    ],
+)
+def test_adverts_and_notices_inside_the_article(spark, marked):
+    html = f"<body><article><h1>Wool</h1><p>Prices fell on Monday.</p>{marked}<p>Yes, they did.</p></article></body>"
+    table = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    assert html_text.main_text(table).first().text == "Wool\nPrices fell on Monday.\nYes, they did."
+
+
+def test_lines_stay_whole_around_what_is_left_out(spark):
+    html = (
+        "<article><p>One <span class='ad'>Buy</span>two <a class='popup' href='#'>three</a>.<ul><li>a<li class='note'>b"
+        "<ul><li>c</ul><li>d</ul><p class='text'>End <em class='highlight'>here</em></article>"
+    )
+    table = spark.createDataFrame([(1, "u", html)] * 2, "page_id long, url string, html string")
+    assert [r.text for r in html_text.main_text(table).collect()] == ["One two three.\na\nb\nc\nd\nEnd here"] * 2
+
+
+def test_long_page_without_article():
+    """Many blocks and end tags of nothing take time in proportion."""
+    html = "</section></ul>".join(f"<div><p>Line {k} of a long page.</p>" for k in range(20_000))
+    assert len(html_text.blocks(html)) == 20_000
+
+
 def test_labelled_pages_are_learned(spark):
     table = spark.createDataFrame(
         [(n, "", html) for n, (html, _) in enumerate(html_text.PAGES)], "page_id long, url string, html string"
