@@ -37,7 +37,7 @@ END = 0
 RANK_GROUP = 1 << 16
 # Bytes that a Python worker's memory of ids takes at most, about, and what an entry costs
 # besides its content.
-MEMORY_BYTES, ENTRY_BYTES = 64 << 20, 240
+MEMORY_BYTES, ENTRY_BYTES = 128 << 20, 240
 # Bytes of text whose words are looked up together.
 SLICE = 2 << 20
 
