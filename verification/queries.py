@@ -12,7 +12,7 @@ from corpusloom.functions import numeric as N
 from corpusloom.functions import text as X
 from corpusloom.operators import aggregates as A
 from corpusloom.operators import chunks as C
-from corpusloom.operators import dedup
+from corpusloom.operators import dedup, sketches
 from corpusloom.operators.dedup import dedup_latest
 from corpusloom.plans import checks as K
 from corpusloom.plans import marts, quality, run, staging
@@ -537,6 +537,39 @@ def rollup_total(spark, folder):
     return rolled.withColumn("avg_chars", N.round_to(N.ratio("characters", "records"), 2))
 
 
+@query
+def chunk_sketches(spark, folder):
+    """Different texts and median lengths per dataset from sketches stored per chunk, held
+    against exact figures: estimates must be within four standard errors, and within the
+    stated rank error, of them."""
+    rows = quality.measured_rows(*both(spark, folder, (CHUNK,)))
+    rows = rows.select("_meta_dataset_name", CHUNK, X.digest("text").alias("text_digest"), "text_length", "japanese_ratio")
+    rows = materialize(rows.withColumnRenamed("_meta_dataset_name", "dataset_name"), "measures")
+    stored = materialize(
+        sketches.chunk_sketches(rows, ["dataset_name", CHUNK], ["text_digest"], ["text_length", "japanese_ratio"]), "sketches"
+    )
+    merged = sketches.merged_sketches(stored, ["dataset_name"]).select(
+        "dataset_name", "records", "chunks",
+        sketches.distinct_estimate("text_digest").alias("texts"),
+        *[sketches.quantile_estimate(c).alias(c) for c in ("text_length", "japanese_ratio")],
+    )
+    # The estimates are one row for each dataset.
+    held = rows.join(materialize(merged, "estimates").withColumnsRenamed({"text_length": "length_at", "japanese_ratio": "ratio_at"}), "dataset_name")
+    off = lambda c, at: F.greatest(
+        F.lit(0.5) - F.count_if(F.col(c) <= F.col(at)) / F.count(c), F.count_if(F.col(c) < F.col(at)) / F.count(c) - F.lit(0.5)
+    )
+    exact = F.count_distinct("text_digest")
+    return held.groupBy("dataset_name", "records", "chunks", "texts").agg(
+        exact.alias("distinct_texts"),
+        off("text_length", "length_at").alias("length_off"),
+        off("japanese_ratio", "ratio_at").alias("ratio_off"),
+    ).select(
+        "dataset_name", "records", "chunks", "distinct_texts",
+        (F.abs(F.col("texts") - F.col("distinct_texts")) <= 4 * sketches.DISTINCT_ERROR * F.col("distinct_texts")).alias("distinct_ok"),
+        ((F.col("length_off") <= sketches.RANK_ERROR) & (F.col("ratio_off") <= sketches.RANK_ERROR)).alias("medians_ok"),
+    )
+
+
 @query
 def rollup_total_median(spark, folder):
     """The full summary with true medians in its TOTAL row, and exact medians of document
