@@ -81,8 +81,9 @@ def preview(col, width: int = 80) -> Column:
 def line_repetition(col, min_lines: int = 4, ratio: float = 0.7) -> Column:
     """1 when a text of enough lines has too few distinct ones, else 0. A text with fewer
     line breaks than that is not cut into lines."""
-    lines = F.split(col, "\n")
-    enough = F.substring_index(col, "\n", min_lines - 1) != col
+    text = F.col(col) if isinstance(col, str) else col
+    lines = F.split(text, "\n")
+    enough = F.substring_index(text, "\n", min_lines - 1) != text
     repeated = F.size(F.array_distinct(lines)) / F.size(lines) < ratio
     return F.when(enough, F.when(repeated, 1).otherwise(0)).otherwise(0)
 
