@@ -1,6 +1,7 @@
 """Table writes that can be repeated: modes, chunk replace, keyed upsert."""
 
 from functools import reduce
+from math import ceil, log2
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -166,13 +167,13 @@ def _rewrite(updates: DataFrame, path: str, hash_of, buckets: int | None, limit:
         remove(spark, staged)
         return
     new = read_table(spark, staged, rows.schema)
-    full = new.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    full = materialize(full, "full-buckets")
-    split = not full.isEmpty()
+    # Counted from footers; at most one row for each bucket.
+    sizes = new.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).collect()
+    full = [(bits, n, min(MOST_BITS, bits + ceil(log2(rows_in / limit)))) for bits, n, rows_in in sizes]
+    full = [bucket for bucket in full if bucket[2] > bucket[0]]
     _swap(spark, path)
-    if split:
-        more = F.ceil(F.log2(F.col("_n") / limit)).cast("int")
-        longer = full.select(*PARTITIONS, F.least(F.col(BITS) + more, F.lit(MOST_BITS)).alias("_to")).where(f"_to > {BITS}")
+    if full:
+        longer = spark.createDataFrame(full, f"{BITS} int, {BUCKET} long, _to int")
         target = spark.read.schema(rows.schema).parquet(path).select(*rows.columns).join(longer, PARTITIONS)
         parts = target.withColumns(bucket_columns(hash_of(target.drop("_to")), F.col("_to"))).drop("_to")
         write_table(parts.select(*rows.columns), staged, "errorifexists", PARTITIONS)
