@@ -67,32 +67,31 @@ def quality_checks(web: DataFrame, articles: DataFrame) -> DataFrame:
     ).select(*SIMPLE_COLUMNS)
 
 
-# Characters that only the ASCII count looks at, unless a script is a class of its own.
-PLAIN = "0-9A-Za-z"
+# White space that ratios count, and characters that are certainly no symbols: what a text
+# mostly consists of is told apart by a table lookup, and only the rest by its category.
+SPACES = (" ", "\t", "\r", "\n", "\u3000")
+NO_SYMBOL = r"0-9A-Za-z\s[^\p{P}\p{S}]"
 
 
 def with_character_counts(df: DataFrame, text: str, length: str, script: str = "narrow") -> DataFrame:
     """Add the characters of the script, of ASCII, white space and symbols of a text.
 
-    Letters and digits, most of a text, are taken out in one pass, and the rest is cut
-    into ASCII and beyond; each class is counted on the short piece that can hold it. A
-    script given as a class may hold anything and is counted on the whole text.
+    One pass takes out ASCII in long runs; the script, which lies beyond ASCII, is
+    counted on what is left. White space is counted by byte search, one character at a
+    time. A script given as a class may hold anything and is counted on the whole text.
     """
-    pieces = df.withColumn("_rest", X.without(F.col(text), PLAIN)).withColumns(
-        {
-            "_beyond": X.without(F.col("_rest"), r"\x00-\x7F"),
-            "_marks": X.without(F.col("_rest"), r" \t\r\n\u3000"),
-        }
-    )
+    body, n = F.col(text), F.length(text)
+    pieces = df.withColumn("_beyond", X.without(body, r"\x00-\x7F"))
     own = F.col("_beyond" if script in V.SCRIPTS else text)
+    spaces = sum((n - F.length(F.replace(body, F.lit(s), F.lit(""))) for s in SPACES), F.lit(0))
     return pieces.withColumns(
         {
             "total_japanese_chars": X.count_class(own, X.script_class(script)),
             "_ascii": F.col(length) - X.length_of("_beyond"),
-            "_space": X.length_of("_rest") - X.length_of("_marks"),
-            "_symbol": X.count_class(F.col("_marks"), r"\p{P}\p{S}"),
+            "_space": spaces.cast("long"),
+            "_symbol": X.length_of(X.without(body, NO_SYMBOL)),
         }
-    ).drop("_rest", "_beyond", "_marks")
+    ).drop("_beyond")
 
 
 def measure(df: DataFrame, text: str, length: str, script: str = "narrow") -> DataFrame:

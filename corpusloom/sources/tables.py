@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.dedup import latest_rows
-from corpusloom.sources.workdir import materialize, partition_values, path_exists, remove
+from corpusloom.sources.workdir import materialize, move, partition_values, path_exists, remove
 
 # A row's bucket is the last `_bits` bits of its key's hash. Buckets of a table may differ
 # in bits, since a bucket that is full is split into longer ones.
@@ -181,17 +181,22 @@ def _rewrite(updates: DataFrame, path: str, hash_of, buckets: int | None, limit:
 
 
 def _swap(spark: SparkSession, path: str) -> None:
-    """Take over complete staged buckets, drop the shorter buckets that they were split
-    from, and drop the staged copy once all is in the table."""
-    staged = f"{path.rstrip('/')}.staged"
+    """Take over complete staged buckets: drop the shorter buckets that they were split
+    from, move each into its place, and drop what is left of the staged copy.
+
+    No row is read or written. A staged bucket is there until it is in its place, so a
+    failure at any point is mended by doing this again.
+    """
+    table, staged = path.rstrip("/"), f"{path.rstrip('/')}.staged"
     if path_exists(spark, f"{staged}/_SUCCESS"):
         new = table_buckets(spark, staged)
-        old = set(table_buckets(spark, path)) if path_exists(spark, path) else set()
-        if new:
-            write_table(spark.read.parquet(staged), path, "overwrite", PARTITIONS, balance=False)
+        old = set(table_buckets(spark, table))
         shorter = {(bits, n % (1 << bits)) for b, n in new for bits in range(b)}
         for bits, n in old & shorter:
-            remove(spark, f"{path.rstrip('/')}/{BITS}={bits}/{BUCKET}={n}")
+            remove(spark, f"{table}/{BITS}={bits}/{BUCKET}={n}")
+        for bits, n in new:
+            bucket = f"{BITS}={bits}/{BUCKET}={n}"
+            move(spark, f"{staged}/{bucket}", f"{table}/{bucket}")
     if path_exists(spark, staged):
         remove(spark, staged)
 

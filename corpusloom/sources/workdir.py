@@ -62,6 +62,16 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Put a folder in the place of another one, which may be there or not."""
+    files, source = _folder(spark, path)
+    _, place = _folder(spark, target)
+    files.delete(place, True)
+    files.mkdirs(place.getParent())
+    if not files.rename(source, place):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several later steps read, and read it back.
 

@@ -172,14 +172,14 @@ def table_write_roundtrip(spark, folder):
 
 @query
 def upsert(spark, folder):
-    """A small table grows more than ten-fold, then gets updates and further rows; its
-    buckets split as they fill."""
+    """A small table grows more than ten-fold, then gets updates and further rows at once;
+    its buckets split as they fill."""
     path = fresh_dir(spark, "upsert")
     orders = table(spark, folder, "orders")
     changed = orders.filter("o_orderstatus = 'O'").withColumn("o_orderpriority", F.lit("REVISED"))
     added = orders.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
-    for updates in (orders.filter("o_orderstatus = 'P'"), orders, changed, added):
-        tables.upsert(updates, path, ["o_orderkey"], rows_per_bucket=5_000)
+    for updates in (orders.filter("o_orderstatus = 'P'"), orders, changed.union(added)):
+        tables.upsert(updates, path, ["o_orderkey"], rows_per_bucket=10_000)
     return tables.read_table(spark, path).select(*orders.columns)
 
 
