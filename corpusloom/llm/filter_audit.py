@@ -30,7 +30,7 @@ from math import factorial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.sources.tables import read_table, write_table
+from corpusloom.sources.tables import write_table
 from corpusloom.sources.workdir import fresh_dir, materialize, path_exists
 
 FILTERS = "ABCDE"
@@ -42,6 +42,9 @@ BATCHES = 4
 _SPACE = r"[ \t-\r]+"
 _E = 1 << FILTERS.index("E")
 _CELL = ("part", "mask", "good", "toxic")
+# Tables of a base folder; a batch without rows leaves one without files.
+_CHANGES = "part string, mask int, good boolean, toxic boolean, n long, _batch int"
+_STATE = "text_key binary, doc_id long, part string, mask int, good boolean, toxic boolean, _batch int"
 
 
 def document_files(spark: SparkSession, path: str, schema, batches: int = BATCHES) -> DataFrame:
@@ -106,7 +109,7 @@ def take_batch(batch: DataFrame, number: int, base: str) -> None:
     lows = lows.withColumn("old", F.lit(None).cast("long"))
     state = None
     if path_exists(rows.sparkSession, f"{base}/state"):
-        state = read_table(rows.sparkSession, f"{base}/state").where(F.col("_batch") < number)
+        state = rows.sparkSession.read.schema(_STATE).parquet(f"{base}/state").where(F.col("_batch") < number)
         held = state.groupBy("text_key").agg(F.min("doc_id").alias("old"))
         held = held.select("text_key", F.lit(None).cast("long").alias("new"), "old")
         lows = lows.union(held).groupBy("text_key").agg(F.min("new").alias("new"), F.min("old").alias("old"))
@@ -137,7 +140,7 @@ def counters(stream: DataFrame, labels: DataFrame, base: str) -> DataFrame:
     spark = stream.sparkSession
     if not path_exists(spark, f"{base}/changes"):
         return spark.createDataFrame([], "part string, mask int, good boolean, toxic boolean, n long")
-    return read_table(spark, f"{base}/changes").groupBy(*_CELL).agg(F.sum("n").alias("n"))
+    return spark.read.schema(_CHANGES).parquet(f"{base}/changes").groupBy(*_CELL).agg(F.sum("n").alias("n"))
 
 
 def with_steps(parts: DataFrame) -> DataFrame:
