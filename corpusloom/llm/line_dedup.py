@@ -5,8 +5,9 @@ Jaccard similarity is `PERCENT` / 100 or more; a line that matches an earlier on
 document id, then line number) is removed, whatever becomes of the earlier line. Lines
 without words stay. The join is exact prefix filtering: words are ordered by rarity,
 two matching lines share a word among the rarest of each, and the length filter, the
-positional filter and a parity bit sketch (its Hamming distance never exceeds the number
-of differing words) discard pairs before the Jaccard similarity is verified.
+positional filter and parity bit sketches (their Hamming distance never exceeds the number
+of differing words) discard pairs before the Jaccard similarity is verified: 128 bits in
+the index, and for longer lines a sketch of two to four bits a word beside the index.
 
 Equal sets are first reduced to their earliest line. Then lines are compared with the
 earliest line that has the same two smallest or largest word hashes, which settles most
@@ -21,7 +22,7 @@ line, and of 32 bits in the index, where an accidental match only costs a compar
 Defined results: null or empty texts have no lines to remove and keep their value; an
 empty table gives an empty result; rows that repeat id and text are one document and get
 the same result; rows that share an id with different texts, or have no id (they come
-last), are ordered by content. A text has at most 2**27 lines. Helper columns are named
+last), are ordered by content. A text of more than 2**27 lines is refused with an error. Helper columns are named
 so that they never clash with columns of the table.
 """
 
@@ -32,6 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytesets import SPACED, mix, slices, text_bytes, word_bounds, word_hashes
+from corpusloom.llm.prefilter import maybe_among
 from corpusloom.sources.workdir import materialize
 
 PERCENT = 75
@@ -39,12 +41,12 @@ LINE_BITS = 27
 DOCUMENTS = 1 << (63 - LINE_BITS)
 # Hash cells that word frequencies are counted in, for the order by rarity.
 CELLS = 1 << 16
-# Narrow rows (one number each) that may be broadcast; more take a shuffled join.
-BROADCAST_ROWS = 1_000_000
+# Lines of more words have a longer sketch too.
+SHORT_WORDS = 64
 
 LINE_NAMES = ["line", "lines", "n", "parity0", "parity1", "low", "high"]
 # Groups that index rows are dealt into, for each shuffle partition; pairs tried at once.
-GROUPS_PER_PARTITION, PAIRS_AT_ONCE = 4, 2_000_000
+GROUPS_PER_PARTITION, PAIRS_AT_ONCE = 4, 250_000
 PACKED = ["word", "place", "rank", "parity0", "parity1", "n"]
 # Lines that are sorted at once, so that the number of a line and a word fit one number.
 LINES_AT_ONCE = 1 << 22
@@ -53,11 +55,6 @@ WORD_BITS, WORD_MASK, INDEX_MASK = np.uint64(40), np.uint64((1 << 40) - 1), np.u
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def few(rows: DataFrame) -> DataFrame:
-    """A stored table of narrow rows, marked for broadcast if it is small enough."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-
 def numbered(documents: DataFrame, name: str) -> DataFrame:
     """`documents` and a number `name` that follows the order of ids.
 
@@ -93,6 +90,8 @@ def line_words(numbers: np.ndarray, texts) -> tuple[np.ndarray, np.ndarray, np.n
     starts, ends, counts = word_bounds(data, offsets, SPACED)
     breaks = np.flatnonzero(data == 0x0A)
     at = np.searchsorted(breaks, starts) - np.repeat(np.searchsorted(breaks, offsets[:-1]), counts)
+    if len(at) and at.max() >> LINE_BITS:
+        raise ValueError(f"a text has more than 2**{LINE_BITS} lines")
     line = (np.repeat(numbers, counts) << LINE_BITS) + at
     hashes = word_hashes(data, starts, ends)
     # Rows are apart even where they repeat a number.
@@ -128,8 +127,8 @@ def repeats(documents: DataFrame, number: str) -> bool:
 
 def lines_of(documents: DataFrame, number: str) -> DataFrame:
     """Per line with words: `line`, which orders all lines of the corpus, `lines` (hash of
-    its word set), size `n`, `parity0` and `parity1` bits, and `low` and `high`, hashes of
-    its two smallest and largest words."""
+    its word set), size `n`, `parity0` and `parity1` bits, `low` and `high`, hashes of
+    its two smallest and largest words, and `wide`, a longer sketch of longer lines."""
 
     def measured(batches):
         for batch in batches:
@@ -143,10 +142,11 @@ def lines_of(documents: DataFrame, number: str) -> DataFrame:
                 low = mix(hashes[first] + mix(hashes[np.minimum(first + 1, last)]))
                 high = ~mix(hashes[last] + mix(hashes[np.maximum(last - 1, first)]))
                 numbers = [sets.view(np.int64), sizes, *parity(hashes, first), low.view(np.int64), high.view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (line, *numbers)], LINE_NAMES)
+                columns = [*(pa.array(c) for c in (line, *numbers)), wide_parity(hashes, sizes)]
+                yield pa.RecordBatch.from_arrays(columns, [*LINE_NAMES, "wide"])
 
     source = documents.select(F.col(number).alias("number"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(measured, ", ".join(f"{name} long" for name in LINE_NAMES))
+    return source.mapInArrow(measured, ", ".join(f"{name} long" for name in LINE_NAMES) + ", wide array<long>")
 
 
 def parity(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
@@ -157,43 +157,111 @@ def parity(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return [np.bitwise_xor.reduceat(half, first).view(np.int64) for half in halves]
 
 
+def wide_parity(hashes: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """Parity bits of the lines of more than `SHORT_WORDS` words, empty for others.
+
+    A line of n words has the power of two from 2 n on as its number of slots, so the
+    sketch of a line can be folded to the length of a shorter one by XOR of its halves.
+    """
+    words = np.where(sizes > SHORT_WORDS, 2 ** np.ceil(np.log2(np.maximum(sizes, 2) / 32)), 0).astype(np.int64)
+    ends = np.cumsum(words)
+    own = np.repeat(sizes > SHORT_WORDS, sizes)
+    slots = np.repeat(64 * words, sizes)[own].astype(np.uint64)
+    at = (np.repeat(64 * (ends - words), sizes)[own] + (hashes[own] & (slots - np.uint64(1))).astype(np.int64))
+    odd = np.bincount(at, minlength=64 * int(words.sum())).astype(np.uint8) & 1
+    bits = np.packbits(odd, bitorder="little").view("<i8")
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(bits))
+
+
+def within(differing, sizes):
+    """Whether sets of so many words together can be similar with so many differing ones."""
+    return F.lit(100 + PERCENT) * differing <= F.lit(100 - PERCENT) * sizes
+
+
+def _bits_apart(a, b):
+    """Differing bits of two arrays of equal length."""
+    return F.aggregate(
+        F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n.cast("int")
+    )
+
+
+def _folded(longer, size):
+    """An array of twice the length `size`, its halves put together by XOR."""
+    return F.zip_with(F.slice(longer, 1, size), F.slice(longer, size + 1, size), lambda x, y: x.bitwiseXOR(y))
+
+
+def plausible(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The pairs that the longer sketches of both lines do not rule out."""
+    own = firsts.where(F.size("wide") > 0).select("line", F.col("n").alias("own_n"), F.col("wide").alias("own_wide"))
+    other = own.select(F.col("line").alias("other"), F.col("own_n").alias("other_n"), F.col("own_wide").alias("other_wide"))
+    both = pairs.join(own, "line", "left").join(other, "other", "left")
+    a, b = F.col("own_wide"), F.col("other_wide")
+    # Sizes of plausible lines are within a third, so lengths are equal, or one is twice the other.
+    apart = (
+        F.when(F.size(a) == F.size(b), _bits_apart(a, b))
+        .when(F.size(a) == 2 * F.size(b), _bits_apart(_folded(a, F.size(b)), b))
+        .when(2 * F.size(a) == F.size(b), _bits_apart(a, _folded(b, F.size(a))))
+    )
+    return both.where(F.coalesce(within(apart, F.col("own_n") + F.col("other_n")), F.lit(True))).select("line", "other")
+
+
 def matching(pairs: DataFrame, documents: DataFrame, number: str) -> DataFrame:
     """The pairs (`line`, `other`) whose word sets reach the similarity."""
     pairs = materialize(pairs, "line-pairs")
-    needed = materialize(pairs.select("line").union(pairs.select("other")).distinct(), "needed")
+    needed = pairs.select("line").union(pairs.select("other")).distinct()
+    needed = materialize(needed.select("line", F.xxhash64("line").alias("key")), "needed")
     cut = documents.select(F.col(number).alias("number"), F.posexplode(F.split("text", "\n")).alias("at", "content"))
     cut = cut.select((F.shiftleft("number", LINE_BITS) + F.col("at")).alias("line"), "content")
-    found = materialize(cut.join(few(needed), "line", "left_semi"), "contents")
+    # Few lines that are not needed get as far as the join.
+    cut = maybe_among(cut.withColumn("key", F.xxhash64("line")), "key", needed).drop("key")
+    found = materialize(cut.join(needed.select("line"), "line", "left_semi"), "contents")
     other = found.select(F.col("line").alias("other"), F.col("content").alias("other_content"))
     both = pairs.join(found, "line").join(other, "other").select("line", "other", "content", "other_content")
 
     def checked(batches):
         for batch in batches:
             for part in slices(batch, "content"):
-                sides = [_sets(part.column(name)) for name in ("content", "other_content")]
-                kept = []
-                for a, b in zip(*sides, strict=True):
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                    kept.append(100 * shared >= PERCENT * (len(a) + len(b) - shared))
+                kept = similar(part.column("content"), part.column("other_content"))
                 pair = pa.RecordBatch.from_arrays([part.column("line"), part.column("other")], ["line", "other"])
-                yield pair.filter(pa.array(kept, pa.bool_()))
+                yield pair.filter(pa.array(kept))
 
     return both.mapInArrow(checked, "line long, other long")
 
 
-def _sets(contents) -> list[np.ndarray]:
+def similar(contents, others) -> np.ndarray:
+    """Row by row, whether the word sets of two columns reach the similarity."""
+    sets = [_distinct(*_row_words(column)) for column in (contents, others)]
+    row, word = (np.concatenate(x) for x in zip(*sets, strict=True))
+    both = np.bincount(row, minlength=len(contents))
+    order = np.lexsort((word, row))
+    row, word = row[order], word[order]
+    again = (row[1:] == row[:-1]) & (word[1:] == word[:-1])
+    shared = np.bincount(row[1:][again], minlength=len(contents))
+    return 100 * shared >= PERCENT * (both - shared)
+
+
+def _row_words(contents) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = text_bytes(contents)
     starts, ends, counts = word_bounds(data, offsets, SPACED)
-    return [np.unique(x) for x in np.split(word_hashes(data, starts, ends), np.cumsum(counts)[:-1])]
+    return np.repeat(np.arange(len(counts)), counts), word_hashes(data, starts, ends)
+
+
+def _distinct(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((word, row))
+    row, word = row[order], word[order]
+    fresh = np.append(True, (row[1:] != row[:-1]) | (word[1:] != word[:-1]))[: len(row)]
+    return row[fresh], word[fresh]
 
 
 def by_ends(firsts: DataFrame) -> DataFrame:
     """Candidates by equal smallest or largest words: the earliest such line."""
-    rows = firsts.where("n > 1").select(F.explode(F.array("low", "high")).alias("key"), "line", "n")
-    lead = F.min(F.struct("line", "n")).alias("lead")
+    rows = firsts.where("n > 1").select(F.explode(F.array("low", "high")).alias("key"), "line", "n", "parity0", "parity1")
+    lead = F.min(F.struct("line", "n", "parity0", "parity1")).alias("lead")
     led = rows.join(rows.groupBy("key").agg(lead), "key").where(F.col("lead.line") < F.col("line"))
     n, m = F.col("n"), F.col("lead.n")
     led = led.where(F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m))
+    apart = [F.bit_count(F.col(name).bitwiseXOR(F.col(f"lead.{name}"))) for name in ("parity0", "parity1")]
+    led = led.where(within(apart[0] + apart[1], n + m))
     return led.groupBy("line").agg(F.min("lead.line").alias("other"))
 
 
@@ -332,7 +400,7 @@ def by_prefix(documents: DataFrame, number: str, firsts: DataFrame, settled: Dat
     known = settled.select("line", F.lit(True).alias("closed"))
     # A closed line is only an earlier line for others: its number is passed on negative.
     rank = F.when(F.col("closed"), -F.col("line") - 1).otherwise(F.col("line"))
-    own = firsts.join(few(known), "line", "left").select("line", rank.alias("rank"), "n", "parity0", "parity1")
+    own = firsts.join(known, "line", "left").select("line", rank.alias("rank"), "n", "parity0", "parity1")
     index = prefix_index(documents, number, word_cells(documents))
     rows = index.join(own, "line").select("rank", "n", "parity0", "parity1", "rarest")
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -343,13 +411,15 @@ def by_prefix(documents: DataFrame, number: str, firsts: DataFrame, settled: Dat
 def removed_lines(documents: DataFrame, number: str) -> DataFrame:
     """`line` of every line to remove; `documents` has its number in column `number`."""
     lines = materialize(lines_of(documents, number), "lines")
-    earliest = lines.groupBy("lines").agg(F.min("line").alias("first"))
-    again = lines.select("line", "lines").join(earliest, "lines").where("line <> first")
-    again = materialize(again.select("line"), "repeated")
-    firsts = lines.join(few(again), "line", "left_anti")
-    settled = materialize(matching(by_ends(firsts), documents, number).select("line").distinct(), "settled")
-    late = matching(by_prefix(documents, number, firsts, settled), documents, number).select("line").distinct()
-    return again.union(settled).union(materialize(late, "late")).distinct()
+    earliest = lines.groupBy("lines").agg(F.min("line").alias("line")).select("line")
+    firsts = materialize(lines.join(earliest, "line", "left_semi").drop("lines"), "firsts")
+    ends = plausible(by_ends(firsts), firsts)
+    settled = materialize(matching(ends, documents, number).select("line").distinct(), "settled")
+    near = plausible(by_prefix(documents, number, firsts, settled), firsts)
+    late = materialize(matching(near, documents, number).select("line").distinct(), "late")
+    # Joined by line, not by the hash of its words, which many lines may share.
+    stay = firsts.select("line").join(settled, "line", "left_anti").join(late, "line", "left_anti")
+    return lines.select("line").join(stay, "line", "left_anti")
 
 
 def _free(documents: DataFrame, name: str) -> str:
@@ -385,6 +455,19 @@ def report(documents: DataFrame) -> DataFrame:
     )
 
 
+def _without(lines, gone):
+    """The array `lines` without the places `gone`, which ascend: the stretches between
+    them, so that each line is looked at once."""
+
+    def stretches(x):
+        start = lambda i: F.when(i == 0, 0).otherwise(F.get(gone, i - 1) + 1)
+        end = lambda i: F.coalesce(F.get(gone, i), F.size(x))
+        return F.transform(F.sequence(F.lit(0), F.size(gone)), lambda i: F.slice(x, start(i) + 1, end(i) - start(i)))
+
+    # A variable of the outer lambda, so the text is split once.
+    return F.flatten(F.get(F.transform(F.array(lines), stretches), F.lit(0)))
+
+
 def dedup(documents: DataFrame, drop_emptied: bool = False) -> DataFrame:
     """`documents` without the removed lines; `n_chars`, if there, follows the text.
 
@@ -396,7 +479,7 @@ def dedup(documents: DataFrame, drop_emptied: bool = False) -> DataFrame:
     gone = materialize(removals(rows, number), "removals")
     found = rows.join(gone, number, "left")
     own = F.col(f"{number}_gone")
-    kept = F.filter(F.split(F.col("text").cast("string"), "\n"), lambda line, i: ~F.array_contains(own, i))
+    kept = _without(F.split(F.col("text").cast("string"), "\n"), own)
     text = F.when(own.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     columns = {"text": text}
     if "n_chars" in documents.columns:

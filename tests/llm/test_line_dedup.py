@@ -69,7 +69,6 @@ def test_index_alone_finds_every_match(spark, monkeypatch):
     monkeypatch.setattr(
         line_dedup, "by_ends", lambda firsts: firsts.select("line", F.col("line").alias("other")).where("1 = 0")
     )
-    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
     found = line_dedup.report(frame(spark, rows)).collect()
     assert {r.doc_id: list(r.removed_lines) for r in found} == {i: g for (i, _), g in expected(rows).items()}
 
@@ -119,3 +118,57 @@ def test_lines_beyond_one_packed_number(monkeypatch):
     hashes[0], hashes[-1], hashes[-2] = 1, 2, 3
     ordered = line_dedup.by_rarity(np.ones(n, np.int64), hashes, steps)
     assert ordered[[0, 1, -2, -1]].tolist() == [1, 9, 3, 2]
+
+
+def test_longer_sketches_never_exceed_the_difference(spark):
+    """Folded or not, sketches differ in at most as many bits as sets in words, and rule out strangers."""
+    rnd = np.random.default_rng(3)
+    base = np.unique(rnd.integers(0, 1 << 40, 140, dtype=np.uint64))
+    sets = [base, base[:120], np.append(base, rnd.integers(0, 1 << 40, 40, dtype=np.uint64))]
+    sets += [rnd.integers(0, 1 << 40, 130, dtype=np.uint64), base[:40]]
+    wide = line_dedup.wide_parity(np.concatenate(sets), np.array([len(s) for s in sets])).to_pylist()
+    assert [len(w) for w in wide] == [8, 4, 8, 8, 0]
+    rows = [(i, len(s), w) for i, (s, w) in enumerate(zip(sets, wide, strict=True))]
+    firsts = spark.createDataFrame(rows, "line long, n long, wide array<long>")
+    pairs = spark.createDataFrame([(a, b) for a in range(5) for b in range(a)], "line long, other long")
+    found = {(r.line, r.other) for r in line_dedup.plausible(pairs, firsts).collect()}
+    for a in range(5):
+        for b in range(a):
+            shared = len(np.intersect1d(sets[a], sets[b]))
+            union = len(sets[a]) + len(sets[b]) - shared
+            if 4 * shared >= 3 * union:
+                assert (a, b) in found
+    # Without a sketch of one side nothing is ruled out.
+    assert found == {(1, 0), (2, 0), (4, 0), (4, 1), (4, 2), (4, 3)}
+
+
+def test_long_lines_match_brute_force(spark):
+    """Lines of 60 to 300 words around the threshold, whose sketches have different lengths."""
+    rnd = random.Random(9)
+    base = [[f"v{rnd.randrange(900)}" for _ in range(n)] for n in (66, 70, 128, 130, 140, 260, 300)]
+    rows = []
+    for doc_id in range(60):
+        line = list(rnd.choice(base))
+        for _ in range(rnd.randrange(len(line) // 4)):
+            line[rnd.randrange(len(line))] = f"v{rnd.randrange(900)}"
+        rows.append((doc_id, " ".join(line[rnd.randrange(12) :])))
+    found = line_dedup.report(frame(spark, rows)).collect()
+    assert {r.doc_id: list(r.removed_lines) for r in found} == {i: g for (i, _), g in expected(rows).items()}
+
+
+def test_one_text_of_many_removed_lines(spark):
+    """Removing most of 100,000 lines of one text takes one walk over it."""
+    lines = ["same words here" if i % 3 else f"own{i}" for i in range(100_000)]
+    out = line_dedup.dedup(frame(spark, [(1, "\n".join(lines))])).collect()
+    assert out[0].text.split("\n") == [line for i, line in enumerate(lines) if i % 3 == 0 or i == 1]
+
+
+def test_texts_of_too_many_lines_are_refused(monkeypatch):
+    monkeypatch.setattr(line_dedup, "LINE_BITS", 3)
+    text = pa.array(["\n".join("abcdefghi")])
+    try:
+        line_dedup.line_words(np.arange(1), text)
+    except ValueError as refused:
+        assert "2**3 lines" in str(refused)
+    else:
+        raise AssertionError("a ninth line must be refused")
