@@ -11,8 +11,9 @@ the index, and for longer lines a sketch of two to four bits a word beside the i
 
 Equal sets are first reduced to their earliest line. Then lines are compared with the
 earliest line that has the same two smallest or largest word hashes, which settles most
-copies in large groups by one comparison; all lines that are still open are compared
-through the whole prefix index. Words are cut, hashed and ordered in Arrow batches (a
+copies in large groups by one comparison; all lines that are still open go through the
+whole prefix index, and there the candidate with the closest sketch is tried first, then
+every other one of the lines that it did not settle. Words are cut, hashed and ordered in Arrow batches (a
 version with built-in expressions only cost too much, see the README); grouping and
 joins are Spark's.
 
@@ -384,18 +385,19 @@ def _near(table: pa.Table) -> pa.Table:
         a, b = a[kept], b[kept]
         both = n[a] + n[b]
         differing = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-        kept = (100 + PERCENT) * differing <= (100 - PERCENT) * both
-        a, b, both = a[kept], b[kept], both[kept]
+        kept_sketch = (100 + PERCENT) * differing <= (100 - PERCENT) * both
+        a, b, both = a[kept_sketch], b[kept_sketch], both[kept_sketch]
         # Words before the shared one can agree in the shorter part, words behind it too.
         most = np.minimum(place[a], place[b]) + np.minimum(n[a] - place[a], n[b] - place[b])
         kept = (100 + PERCENT) * most >= PERCENT * both
-        found.append(np.stack([line[a[kept]], line[b[kept]]]))
-    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-    return pa.table({"line": pairs[0], "other": pairs[1]})
+        found.append(np.stack([line[a[kept]], line[b[kept]], differing[kept_sketch][kept]]))
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
+    return pa.table({"line": pairs[0], "other": pairs[1], "apart": pairs[2]})
 
 
 def by_prefix(documents: DataFrame, number: str, firsts: DataFrame, settled: DataFrame) -> DataFrame:
-    """Candidates of every open line: earlier lines that share one of the rarest words."""
+    """Candidates of every open line: earlier lines that share one of the rarest words,
+    and in how many bits of the sketches they are apart."""
     spark = documents.sparkSession
     known = settled.select("line", F.lit(True).alias("closed"))
     # A closed line is only an earlier line for others: its number is passed on negative.
@@ -404,7 +406,7 @@ def by_prefix(documents: DataFrame, number: str, firsts: DataFrame, settled: Dat
     index = prefix_index(documents, number, word_cells(documents))
     rows = index.join(own, "line").select("rank", "n", "parity0", "parity1", "rarest")
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = dealt(rows, groups).groupBy("part").applyInArrow(_near, "line long, other long")
+    pairs = dealt(rows, groups).groupBy("part").applyInArrow(_near, "line long, other long, apart long")
     return pairs.distinct()
 
 
@@ -415,10 +417,17 @@ def removed_lines(documents: DataFrame, number: str) -> DataFrame:
     firsts = materialize(lines.join(earliest, "line", "left_semi").drop("lines"), "firsts")
     ends = plausible(by_ends(firsts), firsts)
     settled = materialize(matching(ends, documents, number).select("line").distinct(), "settled")
-    near = plausible(by_prefix(documents, number, firsts, settled), firsts)
-    late = materialize(matching(near, documents, number).select("line").distinct(), "late")
+    near = materialize(by_prefix(documents, number, firsts, settled), "near")
+    # One match settles a line, so the closest candidate is tried before all others are.
+    best = near.groupBy("line").agg(F.min(F.struct("apart", "other")).alias("best")).select("line", "best.other")
+    close = materialize(matching(plausible(best, firsts), documents, number).select("line"), "close")
+    left = near.select("line", "other").join(close, "line", "left_anti").join(best, ["line", "other"], "left_anti")
+    late = matching(plausible(left, firsts), documents, number).select("line").distinct()
+    late = materialize(late, "late")
     # Joined by line, not by the hash of its words, which many lines may share.
-    stay = firsts.select("line").join(settled, "line", "left_anti").join(late, "line", "left_anti")
+    stay = firsts.select("line")
+    for gone in (settled, close, late):
+        stay = stay.join(gone, "line", "left_anti")
     return lines.select("line").join(stay, "line", "left_anti")
 
 
