@@ -87,15 +87,19 @@ class FileOrder:
     rows: int
     dense: bool
 
-    def number(self, positions: DataFrame) -> DataFrame:
-        """Add the ordinal to rows of the source that carry file and row number.
+    def number(self, positions: DataFrame, strict: bool = False) -> DataFrame:
+        """Add the ordinal to rows of the source that carry file and row number. Rows of files
+        that are not listed are left out, or with `strict` refused.
 
         The list of files is broadcast while its counted size allows; texts are then never
         shuffled, whatever the planner's own limit. Beyond that the planner chooses.
         """
         entries = F.broadcast(self.entries) if self.files <= BROADCAST_FILES else self.entries
         keyed = positions.withColumn(FILE, F.xxhash64(FILE))
-        return keyed.join(entries, FILE).withColumn(ORDINAL, F.col("_first") + F.col(ROW)).drop(FILE, ROW, "_first")
+        unknown = F.raise_error(F.lit("a file is not in the order of its source")).cast("long")
+        first = F.coalesce(F.col("_first"), unknown) if strict else F.col("_first")
+        joined = keyed.join(entries, FILE, "left" if strict else "inner")
+        return joined.withColumn(ORDINAL, first + F.col(ROW)).drop(FILE, ROW, "_first")
 
 
 def file_order_of(df: DataFrame) -> FileOrder:

@@ -40,6 +40,11 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [e.getPath().getName() for e in files.listStatus(target)] if files.exists(target) else []
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, target = _folder(spark, path)
+    return files.exists(target) and files.getFileStatus(target).isDirectory()
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a partition column, from the folders right below `path`."""
     return [n.split("=", 1)[1] for n in folder_names(spark, path) if n.startswith(f"{column}=")]

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import digest
 from corpusloom.operators.chunks import validate_chunks
 from corpusloom.operators.dedup import latest_rows
+from corpusloom.sources.scan import FILE, ORDINAL, ROW, FileOrder
 from corpusloom.sources.tables import PARTITIONS, read_table, upsert_latest, write_table
-from corpusloom.sources.workdir import folder_names, mark, partition_values, path_exists, remove
+from corpusloom.sources.workdir import folder_names, is_folder, mark, partition_values, path_exists, remove
 
 
 def file_stream(
@@ -25,6 +26,15 @@ def file_stream(
     return reader.parquet(folder)
 
 
+def table_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 64) -> DataFrame:
+    """A Parquet table as a stream, be it a folder of files or a single file (which a file
+    stream reads by its name from the folder around it)."""
+    if is_folder(spark, path):
+        return file_stream(spark, path, schema, files_per_batch=files_per_batch)
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return file_stream(spark, folder, schema, name, files_per_batch)
+
+
 def drain(query) -> None:
     """Wait until the stream has processed what was available."""
     query.awaitTermination()
@@ -39,9 +49,14 @@ def ingest_chunks(
     config: str,
     run_ts: str,
     cap: int | None = None,
+    order: FileOrder | None = None,
 ):
     """Store a file stream in chunks of `chunk_size` rows per source file.
 
+    With the `order` of the whole source, chunks are those of the batch path instead: rows
+    are numbered over all its files, and a file that is not in it is refused. A chunk that
+    crosses the end of a file then lies in two partitions.
+
     A row's chunk comes from the full path of its file (partitions carry a digest of
     it) and its position in that file, never from the batch number. A replayed batch
     therefore overwrites the partitions it wrote before, and the table holds every row
@@ -52,8 +67,11 @@ def ingest_chunks(
         "*",
         path.alias("source_file"),
         F.left(digest(path), F.lit(32)).alias("source_key"),
-        F.col("_metadata.row_index").cast("long").alias("_row"),
+        F.col("_metadata.row_index").cast("long").alias(ROW),
     )
+    if order is not None:
+        keyed = positioned.withColumn(FILE, F.col("source_file"))
+        positioned = order.number(keyed, strict=True).withColumnRenamed(ORDINAL, ROW)
     index = F.floor(F.col("_row") / chunk_size).cast("long")
     rows = positioned.withColumns(
         {
@@ -67,11 +85,13 @@ def ingest_chunks(
     )
 
     def store(batch: DataFrame, _batch_id: int) -> None:
-        lengths = batch.groupBy("source_key").agg((F.max("_row") + 1).alias("_length"))
-        # One row per file of the batch, whose number the stream bounds.
-        clamped = batch.join(F.broadcast(lengths), "source_key").withColumn(
-            "_meta_end_idx", F.least("_meta_end_idx", "_length")
-        )
+        if order is not None:
+            sized = batch.withColumn("_length", F.lit(order.rows).cast("long"))
+        else:
+            lengths = batch.groupBy("source_key").agg((F.max("_row") + 1).alias("_length"))
+            # One row per file of the batch, whose number the stream bounds.
+            sized = batch.join(F.broadcast(lengths), "source_key")
+        clamped = sized.withColumn("_meta_end_idx", F.least("_meta_end_idx", "_length"))
         if cap is not None:
             clamped = clamped.filter(F.col("_row") - F.col("_meta_start_idx") < cap)
         write_table(

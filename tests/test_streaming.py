@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import values as V
 from corpusloom.plans import staging
-from corpusloom.sources import tables
+from corpusloom.sources import scan, tables
 from corpusloom.sources.workdir import fresh_dir
 from corpusloom.streaming import jobs
 from verification import queries as Q
@@ -138,3 +138,24 @@ def test_equal_file_names_in_two_folders(spark):
         rows = tables.read_table(spark, table)
         assert rows.count() == 20 and rows.select("source_key").distinct().count() == 2
         assert rows.agg(F.max("_meta_end_idx")).first()[0] == 10
+
+
+def test_tables_that_are_folders(spark, tmp_path):
+    """The stream queries over tables of several files give what they give over one file."""
+    for name in ("documents", "pages"):
+        rows = spark.read.parquet(f"{FOLDER}/{name}.parquet")
+        rows.repartitionByRange(3, rows.columns[0]).sortWithinPartitions(rows.columns[0]).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in ("stream_ingest", "stream_staging", "stream_dedup", "stream_dedup_compacted", "stream_quality_counts"):
+        one, many = (Q.REGISTRY[name](spark, folder) for folder in (FOLDER, str(tmp_path)))
+        assert many.count() == one.count() > 0, name
+        assert many.exceptAll(one).count() == 0, name
+
+
+def test_ingest_refuses_a_file_that_its_order_lacks(spark):
+    source = fresh_dir(spark, "src")
+    schema = split_documents(spark, source, 2)
+    order = scan.file_order_of(spark.read.parquet(source))
+    spark.read.parquet(source).limit(5).coalesce(1).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="not in the order"):
+        stream = jobs.file_stream(spark, source, schema)
+        jobs.drain(jobs.ingest_chunks(stream, fresh_dir(spark, "t"), fresh_dir(spark, "c"), 20, "d", "c", RUN, order=order))

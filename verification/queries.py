@@ -944,17 +944,18 @@ def check_contracts(spark, folder):
 
 def _stream(spark, folder, name):
     schema = table(spark, folder, name).schema
-    return jobs.file_stream(spark, folder, schema, f"{name}.parquet", files_per_batch=1)
+    return jobs.table_stream(spark, f"{folder}/{name}.parquet", schema, files_per_batch=1)
 
 
 @query
 def stream_ingest(spark, folder):
     base = fresh_dir(spark, "stream-ingest")
     docs = _stream(spark, folder, "documents")
+    order = scan.file_order_of(table(spark, folder, "documents"))
     stored, ckpt = f"{base}/table", f"{base}/checkpoint"
     jobs.drain(
         jobs.ingest_chunks(
-            docs, stored, ckpt, SIZE, V.ARTICLE_DATASET, V.ARTICLE_CONFIG, RUN_TS
+            docs, stored, ckpt, SIZE, V.ARTICLE_DATASET, V.ARTICLE_CONFIG, RUN_TS, order=order
         )
     )
     return tables.read_table(spark, stored).select(
