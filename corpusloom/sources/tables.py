@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.dedup import latest_rows
-from corpusloom.sources.workdir import materialize, move, partition_values, path_exists, remove
+from corpusloom.sources.workdir import materialize, move_each, partition_values, path_exists, remove, remove_each
 
 # A row's bucket is the last `_bits` bits of its key's hash. Buckets of a table may differ
 # in bits, since a bucket that is full is split into longer ones.
@@ -113,7 +113,7 @@ def table_buckets(spark: SparkSession, path: str) -> list[tuple[int, int]]:
 
 
 def is_keyed(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path) and BITS in spark.read.parquet(path).columns
+    return bool(partition_values(spark, path, BITS))
 
 
 def located(rows: DataFrame, hashed: Column, buckets: list[tuple[int, int]]) -> DataFrame:
@@ -180,23 +180,36 @@ def _rewrite(updates: DataFrame, path: str, hash_of, buckets: int | None, limit:
         _swap(spark, path)
 
 
+def _by_bits(buckets: list[tuple[int, int]]) -> dict[int, set[int]]:
+    numbers = {bits: set() for bits, _ in buckets}
+    for bits, n in buckets:
+        numbers[bits].add(n)
+    return numbers
+
+
 def _swap(spark: SparkSession, path: str) -> None:
     """Take over complete staged buckets: drop the shorter buckets that they were split
     from, move each into its place, and drop what is left of the staged copy.
 
-    No row is read or written. A staged bucket is there until it is in its place, so a
-    failure at any point is mended by doing this again.
+    No row is read or written. Where all buckets of a length are new, their common folder
+    is moved; else as many folders are moved as there are new buckets. A staged bucket is
+    there until it is in its place, so a failure at any point is mended by doing this again.
     """
     table, staged = path.rstrip("/"), f"{path.rstrip('/')}.staged"
     if path_exists(spark, f"{staged}/_SUCCESS"):
-        new = table_buckets(spark, staged)
-        old = set(table_buckets(spark, table))
-        shorter = {(bits, n % (1 << bits)) for b, n in new for bits in range(b)}
-        for bits, n in old & shorter:
-            remove(spark, f"{table}/{BITS}={bits}/{BUCKET}={n}")
-        for bits, n in new:
-            bucket = f"{BITS}={bits}/{BUCKET}={n}"
-            move(spark, f"{staged}/{bucket}", f"{table}/{bucket}")
+        new, old = _by_bits(table_buckets(spark, staged)), _by_bits(table_buckets(spark, table))
+        for bits, numbers in old.items():
+            split = numbers & {n % (1 << bits) for b, longer in new.items() if b > bits for n in longer}
+            if split == numbers:
+                remove(spark, f"{table}/{BITS}={bits}")
+            elif split:
+                remove_each(spark, f"{table}/{BITS}={bits}", [f"{BUCKET}={n}" for n in split])
+        for bits, numbers in new.items():
+            folder = f"{BITS}={bits}"
+            if old.get(bits, set()) <= numbers:
+                move_each(spark, staged, table, [folder])
+            else:
+                move_each(spark, f"{staged}/{folder}", f"{table}/{folder}", [f"{BUCKET}={n}" for n in numbers])
     if path_exists(spark, staged):
         remove(spark, staged)
 

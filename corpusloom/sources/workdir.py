@@ -35,9 +35,15 @@ def _folder(spark: SparkSession, path: str):
 
 
 def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of what lies in a folder; none if it is not there."""
+    """Names of what lies in a folder; none if it is not there. They are fetched as one
+    string, since a call for each of many names takes long; no name has a slash."""
     files, target = _folder(spark, path)
-    return [e.getPath().getName() for e in files.listStatus(target)] if files.exists(target) else []
+    if not files.exists(target):
+        return []
+    entries = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(files.listStatus(target))
+    text = spark.sparkContext._jvm.org.apache.commons.lang3.ArrayUtils.toString(entries)[1:-1]
+    parent = files.makeQualified(target).toString().rstrip("/") + "/"
+    return text.removeprefix(parent).split(f",{parent}") if text else []
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
@@ -67,14 +73,26 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
-def move(spark: SparkSession, path: str, target: str) -> None:
-    """Put a folder in the place of another one, which may be there or not."""
-    files, source = _folder(spark, path)
-    _, place = _folder(spark, target)
-    files.delete(place, True)
-    files.mkdirs(place.getParent())
-    if not files.rename(source, place):
-        raise OSError(f"{path} could not be moved to {target}")
+def remove_each(spark: SparkSession, folder: str, names) -> None:
+    """Delete some folders below one folder."""
+    files, place = _folder(spark, folder)
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        files.delete(to_path(place, name), True)
+
+
+def move_each(spark: SparkSession, folder: str, target: str, names) -> None:
+    """Put some folders below `folder` in the places of those of the same names below
+    `target`, which may be there or not."""
+    files, source = _folder(spark, folder)
+    place = _folder(spark, target)[1]
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files.mkdirs(place)
+    for name in names:
+        new = to_path(place, name)
+        files.delete(new, True)
+        if not files.rename(to_path(source, name), new):
+            raise OSError(f"{folder}/{name} could not be moved to {target}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

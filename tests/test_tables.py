@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import dedup
 from corpusloom.operators.dedup import dedup_latest
 from corpusloom.sources import tables
-from corpusloom.sources.workdir import fresh_dir
+from corpusloom.sources.workdir import folder_names, fresh_dir
 
 
 def rows(df):
@@ -260,3 +260,27 @@ def test_interrupted_swap_is_finished_by_the_next_update(spark, monkeypatch):
     tables.upsert(frame(spark, [(4, "newer")]), path, ["k"])
     got = dict(rows(tables.read_table(spark, path).select("k", "v")))
     assert len(got) == 20 and got[3] == "new" and got[4] == "newer" and got[5] == "old"
+
+
+def test_update_of_all_buckets_moves_folders_of_buckets(spark, monkeypatch):
+    """As many moves as there are lengths of buckets, not one for each bucket; an update
+    of a few moves those alone."""
+    path, moved = fresh_dir(spark, "table"), []
+    real = tables.move_each
+    monkeypatch.setattr(tables, "move_each", lambda s, f, t, names: (moved.append(len(names)), real(s, f, t, names)))
+    rows = spark.range(4000).select("id", F.lit(0).alias("v"))
+    tables.upsert(rows, path, ["id"], buckets=64, rows_per_bucket=1000)
+    tables.upsert(rows.withColumn("v", F.lit(1)), path, ["id"], rows_per_bucket=1000)
+    assert len(tables.table_buckets(spark, path)) == 64 and moved == [1, 1]
+    tables.upsert(spark.createDataFrame([(5, 2)], "id long, v int"), path, ["id"], rows_per_bucket=1000)
+    assert moved == [1, 1, 1] and len(tables.table_buckets(spark, path)) == 64
+    counts = {r["v"]: r["count"] for r in tables.read_table(spark, path).groupBy("v").count().collect()}
+    assert counts == {1: 3999, 2: 1}
+
+
+def test_names_in_a_folder(spark, tmp_path):
+    names = ["a", "b, c", "_bits=1", " d", "[e]", "é"]
+    for name in names:
+        (tmp_path / name).mkdir()
+    assert sorted(folder_names(spark, str(tmp_path))) == sorted(names)
+    assert folder_names(spark, f"{tmp_path}/a") == [] and folder_names(spark, f"{tmp_path}/none") == []
