@@ -114,14 +114,23 @@ def is_nav_word(text) -> Column:
     return F.when(short, upper(word).isin(*V.NAV_WORDS)).otherwise(F.lit(False))
 
 
-def full_content_type(text, length, ratio) -> Column:
+def made_of(text, char_class: str) -> Column:
+    """Whether a text consists of characters of a regex class body, at least one. The first
+    one is looked at alone before the whole text is."""
+    t = _c(text)
+    return F.left(t, F.lit(1)).rlike(f"^[{char_class}]") & t.rlike(rf"^[{char_class}]+\z")
+
+
+def full_content_type(text, length, ratio, nav_word=None) -> Column:
+    """`nav_word` names a column that tells whether the text is a navigation word, if there
+    is one."""
     t = _c(text)
     return ladder(
         [
             (_c(length) < V.TOO_SHORT, "ui_element"),
-            (t.rlike(r"^[0-9年月日/.:\- ]+\z"), "date_only"),
-            (t.rlike(r"^[\p{P}\p{S} ]+\z"), "punctuation_only"),
-            (is_nav_word(t) | (_c(ratio) < 0.1), "navigation"),
+            (made_of(t, r"0-9年月日/.:\- "), "date_only"),
+            (made_of(t, r"\p{P}\p{S} "), "punctuation_only"),
+            ((is_nav_word(t) if nav_word is None else _c(nav_word)) | (_c(ratio) < 0.1), "navigation"),
         ],
         "content",
     )

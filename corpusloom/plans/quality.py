@@ -1,5 +1,7 @@
 """Per-record quality scores and the per-dataset anomaly analysis."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +71,7 @@ def quality_checks(web: DataFrame, articles: DataFrame) -> DataFrame:
 
 # White space that ratios count, and characters that are certainly no symbols: what a text
 # mostly consists of is told apart by a table lookup, and only the rest by its category.
-SPACES = (" ", "\t", "\r", "\n", "\u3000")
+SPACES, WIDE_SPACE = (" ", "\t", "\r", "\n"), "\u3000"
 NO_SYMBOL = r"0-9A-Za-z\s[^\p{P}\p{S}]"
 
 
@@ -77,21 +79,23 @@ def with_character_counts(df: DataFrame, text: str, length: str, script: str = "
     """Add the characters of the script, of ASCII, white space and symbols of a text.
 
     One pass takes out ASCII in long runs; the script, which lies beyond ASCII, is
-    counted on what is left. White space is counted by byte search, one character at a
-    time. A script given as a class may hold anything and is counted on the whole text.
+    counted on what is left. White space is taken out by byte search, one character at a
+    time, and symbols are counted without it. A script given as a class may hold anything
+    and is counted on the whole text. What nobody reads is not counted.
     """
-    body, n = F.col(text), F.length(text)
-    pieces = df.withColumn("_beyond", X.without(body, r"\x00-\x7F"))
+    bare = reduce(lambda left, s: F.replace(left, F.lit(s), F.lit("")), SPACES, F.col(text))
+    pieces = df.withColumn("_bare", bare).withColumn("_beyond", X.without(F.col(text), r"\x00-\x7F"))
     own = F.col("_beyond" if script in V.SCRIPTS else text)
-    spaces = sum((n - F.length(F.replace(body, F.lit(s), F.lit(""))) for s in SPACES), F.lit(0))
+    wide = F.length("_bare") - F.length(F.replace(F.col("_bare"), F.lit(WIDE_SPACE), F.lit("")))
+    spaces = F.length(text) - F.length("_bare")
     return pieces.withColumns(
         {
             "total_japanese_chars": X.count_class(own, X.script_class(script)),
             "_ascii": F.col(length) - X.length_of("_beyond"),
-            "_space": spaces.cast("long"),
-            "_symbol": X.length_of(X.without(body, NO_SYMBOL)),
+            "_space": (spaces + wide).cast("long"),
+            "_symbol": X.length_of(X.without(F.col("_bare"), NO_SYMBOL)),
         }
-    ).drop("_beyond")
+    ).drop("_bare", "_beyond")
 
 
 def measure(df: DataFrame, text: str, length: str, script: str = "narrow") -> DataFrame:
@@ -121,7 +125,7 @@ def measure(df: DataFrame, text: str, length: str, script: str = "narrow") -> Da
         {
             "quality_score": R.quality_score(length, "japanese_ratio"),
             "quality_class": R.quality_class(length, "japanese_ratio"),
-            "content_type": R.full_content_type(text, length, "japanese_ratio"),
+            "content_type": R.full_content_type(text, length, "japanese_ratio", "is_nav_word"),
         }
     )
     return scored.withColumn(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import values as V
+from corpusloom.functions import rules as R
 from corpusloom.functions import text as X
 from corpusloom.operators import aggregates as A
 from corpusloom.operators import sketches
@@ -340,3 +341,11 @@ def test_character_counts_equal_plain_ones(spark):
             | (F.col("_symbol") != X.count_class(F.col("t"), r"\p{P}\p{S}"))
         )
         assert plain.count() == 0
+
+
+def test_content_types_look_at_the_first_character(spark):
+    texts = ["", " ", "2024年1月", "2024x", "x2024", "--- !", "-a", "a-", "+1", "日本", "。、😀", "é", "HOME", "1\n", "\n1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for body in (r"0-9年月日/.:\- ", r"\p{P}\p{S} "):
+        pairs = df.select(R.made_of("t", body).alias("a"), F.col("t").rlike(rf"^[{body}]+\z").alias("b")).collect()
+        assert all(r["a"] == r["b"] for r in pairs) and any(r["a"] for r in pairs)
