@@ -36,21 +36,17 @@ FLAG_COUNTS = {"encoding_issues": "has_encoding_issues", "repetition": "has_repe
 LENGTH_CELL, RATIO_CELLS, RATIO_SUBCELLS = 1024, 1 << 12, 1 << 32
 
 
-def _narrow(quality: DataFrame) -> DataFrame:
+SUMMARY_COLUMNS = ("text_length", "japanese_ratio", "quality_score", "quality_class", "content_type", "is_anomaly")
+
+
+def summary_columns(quality: DataFrame) -> list[str]:
     """What the summary looks at of every record: numbers, flags and short labels."""
-    flags = [c for c in FLAG_COUNTS.values() if c in quality.columns]
-    chunk = [c for c in ("_meta_chunk_index",) if c in quality.columns]
-    return quality.select(
-        F.col("_meta_dataset_name").alias("dataset_name"),
-        "text_length",
-        "japanese_ratio",
-        "quality_score",
-        "quality_class",
-        "content_type",
-        "is_anomaly",
-        *flags,
-        *chunk,
-    )
+    optional = [c for c in (*FLAG_COUNTS.values(), "_meta_chunk_index") if c in quality.columns]
+    return ["_meta_dataset_name", *SUMMARY_COLUMNS, *optional]
+
+
+def _narrow(quality: DataFrame) -> DataFrame:
+    return quality.select(*summary_columns(quality)).withColumnRenamed("_meta_dataset_name", "dataset_name")
 
 
 def _dataset_level(records: DataFrame) -> DataFrame:

@@ -343,6 +343,22 @@ def test_character_counts_equal_plain_ones(spark):
         assert plain.count() == 0
 
 
+def test_summary_columns_need_no_symbols(spark, plan_of):
+    """Records for the summary and its total are written without counting what it does not read."""
+    records = Q.measured(spark, FOLDER)
+    assert r"\p{S}]]++" in plan_of(records)
+    plan = plan_of(records.select(*marts.summary_columns(records)))
+    assert r"\p{S}]]++" not in plan and "japanese_ratio" in plan
+    written = []
+    real = Q.materialize
+    Q.materialize = lambda df, name: (written.append(df.columns), real(df, name))[1]
+    try:
+        (row,) = Q.check_total_consistency(spark, FOLDER).collect()
+    finally:
+        Q.materialize = real
+    assert row["failing_records"] == 0 and "symbol_ratio" not in written[0]
+
+
 def test_content_types_look_at_the_first_character(spark):
     texts = ["", " ", "2024年1月", "2024x", "x2024", "--- !", "-a", "a-", "+1", "日本", "。、😀", "é", "HOME", "1\n", "\n1"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
