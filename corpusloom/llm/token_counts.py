@@ -2,11 +2,12 @@
 
 A text is cut where no piece can reach across (before a blank, and at line ends). The
 count of a prefix that ends at a cut is the count at the cut before it plus the tokens
-of the part between; each distinct part is encoded once and remembered. Inside a part,
+of the part between; each distinct part is solved once and remembered. Inside a part,
 a second recursion runs over characters: the tokens of a prefix are those of a shorter
 prefix plus one last piece, and the right last piece is the one that forms a stable pair
 with the token before it. So a count for every prefix is known, and truncation and
-budget questions are answered without encoding any prefix.
+budget questions are answered without encoding any prefix. The count of a part is that of its last prefix;
+the library then checks it, once for each distinct part.
 
 Defined results: a null or empty text has no tokens, no bytes, and fits any limit;
 repeated rows are counted one by one; very long texts and very long words cost time
@@ -78,10 +79,11 @@ class PieceModel:
             raise ValueError("a piece reaches across a blank")
         self.lines_apart = not any("\n" in p for p in self.scores)
         self.stable = Memory(self.is_stable)
-        # The library sets a blank before a text; a part without one follows a line end.
+        # The last prefix of a part is the part. The library checks each distinct one; it sets
+        # a blank before a text, and a part without one follows a line end.
         line_end = len(model.encode("\n"))
-        self.blank_part = Memory(lambda word: len(model.encode(word)) if word else self.cost(BLANK))
-        self.bare_part = Memory(lambda word: len(model.encode("\n" + word)) - line_end)
+        self.blank_part = Memory(lambda word: self.checked(BLANK + word, len(model.encode(word)) if word else self.cost(BLANK)))
+        self.bare_part = Memory(lambda word: self.checked(word, len(model.encode("\n" + word)) - line_end))
 
     def merge(self, text: str) -> list[str]:
         """Merge the best-scored neighbours, leftmost first, until none is a piece."""
@@ -134,6 +136,12 @@ class PieceModel:
             counts[size], _ = self.merged(part)
         return counts
 
+    def checked(self, part: str, expected: int) -> int:
+        """The count of a whole part by the recursion. If the library counts otherwise, its
+        count holds."""
+        found = self.prefixes(part)[-1]
+        return found if found == expected else expected
+
     def merged(self, prefix: str) -> tuple[int, int]:
         """Count and last token of a prefix that has no stable last piece."""
         tokens = self.merge(prefix)

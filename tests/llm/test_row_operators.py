@@ -311,3 +311,18 @@ def test_labelled_pages_are_learned(spark):
     found = {r.page_id: r.text for r in html_text.main_text(table).collect()}
     wrong = sum(found[n] != "\n".join(main) for n, (_, main) in enumerate(html_text.PAGES))
     assert wrong <= 1
+
+
+def test_whole_counts_come_from_the_recursion(monkeypatch):
+    """Each distinct part is solved by the recursion once; the library only checks it."""
+    path = public_tokenizers.path(token_counts.MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    model, solved = token_counts.PieceModel(path), []
+    real = model.prefixes
+    monkeypatch.setattr(model, "prefixes", lambda part: (solved.append(part), real(part))[1])
+    text = "One two one two\n<s> 日本語の文章です😀 " + "long" * 500 + "日本" * 300 + "  two\n\none"
+    assert model.count(text) == len(library.encode(text)) and model.count("") == 0
+    assert {"▁One", "▁two", "▁one", "▁<s>"[1:], "one"} <= set(solved) and len(solved) == len(set(solved))
+    for part in solved:
+        expected = len(library.encode(part[1:])) if part[0] == "▁" else len(library.encode("\n" + part)) - len(library.encode("\n"))
+        assert real(part)[-1] == expected, part[:40]
