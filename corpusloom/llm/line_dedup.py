@@ -7,7 +7,8 @@ without words stay. The join is exact prefix filtering: words are ordered by rar
 two matching lines share a word among the rarest of each, and the length filter, the
 positional filter and parity bit sketches (their Hamming distance never exceeds the number
 of differing words) discard pairs before the Jaccard similarity is verified: 128 bits in
-the index, and for longer lines a sketch of two to four bits a word beside the index.
+the index, with one to two bits a word (1024 at most) for lines of more than 128 words, and
+for longer lines a sketch of two to four bits a word beside the index.
 
 Equal sets are first reduced to their earliest line. Then lines are compared with the
 earliest line that has the same two smallest or largest word hashes, which settles most
@@ -34,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytesets import SPACED, mix, slices, text_bytes, word_bounds, word_hashes
-from corpusloom.llm.prefilter import maybe_among
+from corpusloom.llm.prefilter import only_among
 from corpusloom.sources.workdir import materialize
 
 PERCENT = 75
@@ -44,11 +45,13 @@ DOCUMENTS = 1 << (63 - LINE_BITS)
 CELLS = 1 << 16
 # Lines of more words have a longer sketch too.
 SHORT_WORDS = 64
+# Lines of more words have a sketch of 1 to 2 bits a word in the index, up to so many 64-bit words.
+INDEX_SHORT, INDEX_SKETCH = 128, 16
 
 LINE_NAMES = ["line", "lines", "n", "parity0", "parity1", "low", "high"]
 # Groups that index rows are dealt into, for each shuffle partition; pairs tried at once.
 GROUPS_PER_PARTITION, PAIRS_AT_ONCE = 4, 250_000
-PACKED = ["word", "place", "rank", "parity0", "parity1", "n"]
+PACKED = ["word", "place", "rank", "parity0", "parity1", "n", "wide"]
 # Lines that are sorted at once, so that the number of a line and a word fit one number.
 LINES_AT_ONCE = 1 << 22
 WORD_BITS, WORD_MASK, INDEX_MASK = np.uint64(40), np.uint64((1 << 40) - 1), np.uint64((1 << 32) - 1)
@@ -164,9 +167,22 @@ def wide_parity(hashes: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     A line of n words has the power of two from 2 n on as its number of slots, so the
     sketch of a line can be folded to the length of a shorter one by XOR of its halves.
     """
-    words = np.where(sizes > SHORT_WORDS, 2 ** np.ceil(np.log2(np.maximum(sizes, 2) / 32)), 0).astype(np.int64)
+    return _sketches(hashes, sizes, np.where(sizes > SHORT_WORDS, _power_of_two(sizes, 32), 0))
+
+
+def index_words(sizes: np.ndarray) -> np.ndarray:
+    """How many 64-bit words the sketch has that a line of so many words takes into the index."""
+    return np.where(sizes > INDEX_SHORT, np.minimum(_power_of_two(sizes, 64), INDEX_SKETCH), 0)
+
+
+def _power_of_two(sizes: np.ndarray, share: int) -> np.ndarray:
+    return (2 ** np.ceil(np.log2(np.maximum(sizes, share) / share))).astype(np.int64)
+
+
+def _sketches(hashes: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> pa.ListArray:
+    """Parity bits of each line in so many 64-bit words."""
     ends = np.cumsum(words)
-    own = np.repeat(sizes > SHORT_WORDS, sizes)
+    own = np.repeat(words > 0, sizes)
     slots = np.repeat(64 * words, sizes)[own].astype(np.uint64)
     at = (np.repeat(64 * (ends - words), sizes)[own] + (hashes[own] & (slots - np.uint64(1))).astype(np.int64))
     odd = np.bincount(at, minlength=64 * int(words.sum())).astype(np.uint8) & 1
@@ -210,12 +226,11 @@ def matching(pairs: DataFrame, documents: DataFrame, number: str) -> DataFrame:
     """The pairs (`line`, `other`) whose word sets reach the similarity."""
     pairs = materialize(pairs, "line-pairs")
     needed = pairs.select("line").union(pairs.select("other")).distinct()
-    needed = materialize(needed.select("line", F.xxhash64("line").alias("key")), "needed")
+    needed = materialize(needed.select(F.xxhash64("line").alias("key")).distinct(), "needed")
     cut = documents.select(F.col(number).alias("number"), F.posexplode(F.split("text", "\n")).alias("at", "content"))
     cut = cut.select((F.shiftleft("number", LINE_BITS) + F.col("at")).alias("line"), "content")
     # Few lines that are not needed get as far as the join.
-    cut = maybe_among(cut.withColumn("key", F.xxhash64("line")), "key", needed).drop("key")
-    found = materialize(cut.join(needed.select("line"), "line", "left_semi"), "contents")
+    found = materialize(only_among(cut.withColumn("key", F.xxhash64("line")), "key", needed).drop("key"), "contents")
     other = found.select(F.col("line").alias("other"), F.col("content").alias("other_content"))
     both = pairs.join(found, "line").join(other, "other").select("line", "other", "content", "other_content")
 
@@ -302,7 +317,8 @@ def by_rarity(sizes: np.ndarray, hashes: np.ndarray, steps: np.ndarray) -> np.nd
 
 
 def prefix_index(documents: DataFrame, number: str, cells: np.ndarray) -> DataFrame:
-    """Per line of at least three words, `line` and its rarest words as an array `rarest`.
+    """Per line of at least three words, `line`, its rarest words as an array `rarest`, and
+    `wide`, the sketch of a line of more than `INDEX_SHORT` words.
 
     Words are ordered by the logarithm of their cell's count, in 1024 steps, then by
     hash. Sets of one or two words match equal sets only.
@@ -322,10 +338,11 @@ def prefix_index(documents: DataFrame, number: str, cells: np.ndarray) -> DataFr
                 words = pa.array(packed[kept].view(np.int32))
                 bounds = np.append(0, np.cumsum(prefix)).astype(np.int32)
                 rarest = pa.ListArray.from_arrays(pa.array(bounds), words)
-                yield pa.RecordBatch.from_arrays([pa.array(line), rarest], ["line", "rarest"])
+                wide = _sketches(hashes, sizes, np.where(sizes > 2, index_words(sizes), 0))
+                yield pa.RecordBatch.from_arrays([pa.array(line), rarest, wide], ["line", "rarest", "wide"])
 
     source = documents.select(F.col(number).alias("number"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(ordered, "line long, rarest array<int>")
+    return source.mapInArrow(ordered, "line long, rarest array<int>, wide array<long>")
 
 
 def dealt(index: DataFrame, groups: int) -> DataFrame:
@@ -345,14 +362,36 @@ def dealt(index: DataFrame, groups: int) -> DataFrame:
             columns = [word, place.astype("<u4")]
             columns += [np.asarray(batch.column(n)).astype("<i8")[rows] for n in ("rank", "parity0", "parity1")]
             columns.append(np.asarray(batch.column("n")).astype("<u4")[rows])
+            bits = np.asarray(batch.column("wide").flatten()).astype("<i8")
+            starts = np.asarray(batch.column("wide").offsets) - batch.column("wide").offsets[0].as_py()
             parts = [order[low:high] for low, high in zip(cuts, [*cuts[1:], len(order)], strict=True)]
             arrays = [pa.array([int(group[p[0]]) for p in parts], pa.int32())]
             arrays += [pa.array([values[p].tobytes() for p in parts], pa.binary()) for values in columns]
+            spans = [_spans(starts[:-1][rows[p]], np.diff(starts)[rows[p]]) for p in parts]
+            arrays.append(pa.array([bits[span].tobytes() for span in spans], pa.binary()))
             yield pa.RecordBatch.from_arrays(arrays, ["part", *PACKED])
 
     return index.mapInArrow(packed, ", ".join(["part int", *(f"{name} binary" for name in PACKED)]))
 
 
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all stretches of so many elements from each start."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _sketches_apart(bits: np.ndarray, starts: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of the sketches of rows `a` and `b`, the longer folded; 0 where a row has none."""
+    out = np.zeros(len(a), np.int64)
+    for pair in {*zip(sizes[a].tolist(), sizes[b].tolist(), strict=True)}:
+        if not all(pair):
+            continue
+        at = np.flatnonzero((sizes[a] == pair[0]) & (sizes[b] == pair[1]))
+        sides = [bits[starts[x[at]][:, None] + np.arange(k)] for x, k in zip((a, b), pair, strict=True)]
+        sides = [np.bitwise_xor.reduce(s.reshape(len(at), -1, min(pair)), axis=1) for s in sides]
+        out[at] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _near(table: pa.Table) -> pa.Table:
     """Plausible pairs of one group of words: an open line and an earlier one."""
 
@@ -362,8 +401,10 @@ def _near(table: pa.Table) -> pa.Table:
     word, rank = joined("word", "<u4"), joined("rank", "<i8")
     place, n = joined("place", "<u4").astype(np.int64), joined("n", "<u4").astype(np.int64)
     bits = np.stack([joined(name, "<u8") for name in ("parity0", "parity1")], axis=1)
+    wide, lengths = joined("wide", "<u8"), index_words(n)
+    starts = np.cumsum(lengths) - lengths
     order = np.lexsort((n, word))
-    word, rank, bits, place, n = (x[order] for x in (word, rank, bits, place, n))
+    word, rank, bits, place, n, starts, lengths = (x[order] for x in (word, rank, bits, place, n, starts, lengths))
     line = np.where(rank < 0, -rank - 1, rank)
     # Rows of a word lie together, ordered by size: a row's partners are a range.
     bucket = np.cumsum(np.append(True, word[1:] != word[:-1]))
@@ -390,7 +431,10 @@ def _near(table: pa.Table) -> pa.Table:
         # Words before the shared one can agree in the shorter part, words behind it too.
         most = np.minimum(place[a], place[b]) + np.minimum(n[a] - place[a], n[b] - place[b])
         kept = (100 + PERCENT) * most >= PERCENT * both
-        found.append(np.stack([line[a[kept]], line[b[kept]], differing[kept_sketch][kept]]))
+        a, b, both, differing = a[kept], b[kept], both[kept], differing[kept_sketch][kept]
+        differing = np.maximum(differing, _sketches_apart(wide, starts, lengths, a, b))
+        kept = (100 + PERCENT) * differing <= (100 - PERCENT) * both
+        found.append(np.stack([line[a[kept]], line[b[kept]], differing[kept]]))
     pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
     return pa.table({"line": pairs[0], "other": pairs[1], "apart": pairs[2]})
 
@@ -404,7 +448,7 @@ def by_prefix(documents: DataFrame, number: str, firsts: DataFrame, settled: Dat
     rank = F.when(F.col("closed"), -F.col("line") - 1).otherwise(F.col("line"))
     own = firsts.join(known, "line", "left").select("line", rank.alias("rank"), "n", "parity0", "parity1")
     index = prefix_index(documents, number, word_cells(documents))
-    rows = index.join(own, "line").select("rank", "n", "parity0", "parity1", "rarest")
+    rows = index.join(own, "line").select("rank", "n", "parity0", "parity1", "rarest", "wide")
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = dealt(rows, groups).groupBy("part").applyInArrow(_near, "line long, other long, apart long")
     return pairs.distinct()

@@ -21,3 +21,12 @@ def maybe_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     held = rows.withColumn("_map", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "_map")
     bit = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1)
     return held.where(bit == 1).select(*rows.columns)
+
+
+def only_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose 64-bit key is in `wanted`, which has each key once and no other column.
+
+    Not a semi-join: the planner moves one below the join with the bitmaps, and all rows
+    are shuffled.
+    """
+    return maybe_among(rows, key, wanted).join(wanted, key)

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpusloom.llm import line_dedup
+from corpusloom.llm.prefilter import only_among
 
 SCHEMA = "doc_id long, text string, number string, n_chars long"
 
@@ -172,3 +173,32 @@ def test_texts_of_too_many_lines_are_refused(monkeypatch):
         assert "2**3 lines" in str(refused)
     else:
         raise AssertionError("a ninth line must be refused")
+
+
+def test_long_unlike_lines_leave_no_candidates(spark):
+    """Lines of 150 to 400 words that share a rare word are ruled out in the index."""
+    rnd = random.Random(4)
+    rows = []
+    for i, n in enumerate([150, 160, 200, 256, 257, 300, 390, 400] * 4):
+        rows.append((i, " ".join([f"rare{i % 3}", *(f"v{rnd.randrange(100_000)}" for _ in range(n))])))
+    rows.append((90, rows[7][1] + " more words"))
+    documents = frame(spark, rows).withColumn("number", F.col("doc_id"))
+    lines = line_dedup.lines_of(documents, "number")
+    near = line_dedup.by_prefix(documents, "number", lines, lines.select("line").where("1 = 0"))
+    pairs = [(r.line >> line_dedup.LINE_BITS, r.other >> line_dedup.LINE_BITS) for r in near.collect()]
+    assert pairs == [(90, 7)]
+
+
+def test_only_lines_that_may_be_needed_are_shuffled(spark, plan_of):
+    """The bitmaps are looked up below the join with the keys, not above it."""
+    keys = spark.range(100).select(F.xxhash64("id").alias("key"))
+    wanted = spark.range(5).select(F.xxhash64("id").alias("key")).distinct()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = only_among(keys, "key", wanted)
+        plan = plan_of(found)
+        assert found.count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
