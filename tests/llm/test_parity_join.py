@@ -120,3 +120,37 @@ def test_components(spark):
     roots = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert roots == {**{k: 0 for k in range(13)}, 100: 80, 90: 80, 80: 80}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_similar_sets_share_as_many_parts_as_stated():
+    rng = np.random.default_rng(8)
+    filtered = 0
+    for _ in range(800):
+        size = int(rng.integers(1, 600))
+        base = rng.integers(0, 2**63, size, dtype=np.int64).astype(np.uint64)
+        drop = int(rng.integers(0, max(1, size // 5) + 1))
+        new = rng.integers(0, 2**63, int(rng.integers(0, max(1, size // 5) + 1)), dtype=np.int64).astype(np.uint64)
+        a, b = np.unique(base), np.unique(np.append(base[drop:], new))
+        if not len(b) or not parity_join.similar(len(np.intersect1d(a, b)), len(a), len(b)):
+            continue
+        shared = np.intersect1d(parity_join.part_keys(a), parity_join.part_keys(b))
+        last = parity_join.band_of(max(len(a), len(b))) & 1
+        for own in (a, b):
+            least = parity_join.least_shared(own)[last]
+            assert np.count_nonzero(shared & np.uint64(1) == last) >= least
+            filtered += least > 1
+    assert filtered > 100
+
+
+def test_sets_that_share_too_little_are_not_compared(spark):
+    """A common passage gives shared parts, but too few of them for two similar texts."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = [f"{passage} " + " ".join(f"d{i}w{k}" for k in range(240)) for i in range(20)]
+    rows = [(i, t, "own") for i, t in enumerate([*texts, texts[3] + " end"])]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    sets = parity_join.members(frame)
+    shared = parity_join.shared_parts(frame)
+    assert shared.select("node").distinct().count() == 21
+    held = parity_join.enough(shared, sets)
+    assert held.select("node").distinct().count() == 2
+    assert [c for i, _, c in found(spark, [(i, t) for i, t, _ in rows]) if i in (3, 20)] == [3, 3]
